@@ -3,7 +3,7 @@
 ``LEAD``/``LAG`` over ``PARTITION BY account ORDER BY seq`` puts a whole account
 into one window group, i.e. one task; an account holding a third of a 100 TB
 ledger would run on one core.  Here the window is ``PARTITION BY account,
-bucket`` with ``bucket = floor(seq / span)``: a group never exceeds ``span``
+bucket`` with ``bucket = seq div span``: a group never exceeds ``span``
 rows.  Rows at bucket edges still need the neighbour in the adjacent non-empty
 bucket; for that, each (account, bucket) contributes its first and last row to
 a small "edge" table (partial aggregation, one row per group), a window over
@@ -49,41 +49,50 @@ def add_neighbors(
             {**{o: F.lead(s).over(w) for o, s in lead.items()}, **{o: F.lag(s).over(w) for o, s in lag.items()}}
         )
 
-    bucket = F.floor(F.col(order) / F.lit(span)).cast("long")
+    bucket = F.expr(f"`{order}` div {int(span)}")
     base = df.withColumn(_BUCKET, bucket).withColumn(_GHOST, F.lit(False))
 
-    sources = sorted(set(lead.values()) | set(lag.values()) | {order})
-    payload = F.struct(*[F.col(c).alias(c) for c in sources])
+    # Edge rows of each (key, bucket): one aggregate per value column, so the
+    # buffers stay fixed-width for numeric/date/boolean values and Spark can
+    # use a partial hash aggregation (strings fall back to a sort aggregate).
+    lead_src = sorted(set(lead.values()) | {order})
+    lag_src = sorted(set(lag.values()) | {order})
     edge_aggs = []
     if lead:
-        edge_aggs.append(F.min_by(payload, F.col(order)).alias("_head"))
+        edge_aggs += [F.min_by(c, order).alias(f"_h_{c}") for c in lead_src if c != order]
+        edge_aggs.append(F.min(order).alias(f"_h_{order}"))
     if lag:
-        edge_aggs.append(F.max_by(payload, F.col(order)).alias("_tail"))
+        edge_aggs += [F.max_by(c, order).alias(f"_t_{c}") for c in lag_src if c != order]
+        edge_aggs.append(F.max(order).alias(f"_t_{order}"))
     edges = base.groupBy(key, _BUCKET).agg(*edge_aggs)
     by_bucket = Window.partitionBy(key).orderBy(_BUCKET)
     near = []
     if lead:
-        near.append(F.lead("_head").over(by_bucket).alias("_next_head"))
+        near += [F.lead(f"_h_{c}").over(by_bucket).alias(f"_nh_{c}") for c in lead_src]
     if lag:
-        near.append(F.lag("_tail").over(by_bucket).alias("_prev_tail"))
+        near += [F.lag(f"_t_{c}").over(by_bucket).alias(f"_pt_{c}") for c in lag_src]
     edges = edges.select(key, _BUCKET, *near)
 
-    ghosts = []
-    if lead:
-        ghosts.append(
-            edges.where(F.col("_next_head").isNotNull()).select(
-                key, _BUCKET, *[F.col(f"_next_head.{c}").alias(c) for c in sources], F.lit(True).alias(_GHOST)
-            )
+    # Both ghost kinds come out of the one edge table (one scan, one aggregation).
+    all_src = sorted(set(lead_src if lead else []) | set(lag_src if lag else []))
+    types = {f.name: f.dataType for f in base.schema.fields}
+
+    def ghost(prefix: str, srcs: list[str]):
+        return F.struct(
+            *[(F.col(f"{prefix}{c}") if c in srcs else F.lit(None).cast(types[c])).alias(c) for c in all_src]
         )
+
+    kinds = []
+    if lead:
+        kinds.append(ghost("_nh_", lead_src))
     if lag:
-        ghosts.append(
-            edges.where(F.col("_prev_tail").isNotNull()).select(
-                key, _BUCKET, *[F.col(f"_prev_tail.{c}").alias(c) for c in sources], F.lit(True).alias(_GHOST)
-            )
-        )
-    stacked = base
-    for g in ghosts:
-        stacked = stacked.unionByName(g, allowMissingColumns=True)
+        kinds.append(ghost("_pt_", lag_src))
+    ghosts = (
+        edges.select(key, _BUCKET, F.explode(F.array(*kinds)).alias("_g"))
+        .where(F.col(f"_g.{order}").isNotNull())
+        .select(key, _BUCKET, *[F.col(f"_g.{c}").alias(c) for c in all_src], F.lit(True).alias(_GHOST))
+    )
+    stacked = base.unionByName(ghosts, allowMissingColumns=True)
 
     w = Window.partitionBy(key, _BUCKET).orderBy(order)
     out = stacked.withColumns(

@@ -48,7 +48,7 @@ def backward_paired() -> Column:
     return (
         (F.col("credit_amount") > F.lit(0))
         & (F.col("prev_debit") == F.col("credit_amount"))
-        & has_number("prev_txn_no")
+        & F.coalesce(F.col("prev_numbered"), F.lit(False))
     )
 
 
@@ -74,11 +74,20 @@ def with_next_credit(ledger: DataFrame, span: int | None = DEFAULT_SPAN) -> Data
     return add_neighbors(ledger, KEY, ORDER, lead={"next_credit": "credit_amount"}, span=span)
 
 
-def with_prev_debit(ledger: DataFrame, span: int | None = DEFAULT_SPAN) -> DataFrame:
-    """Add ``prev_debit`` and ``prev_txn_no`` of the previous row in the account."""
-    return add_neighbors(
-        ledger, KEY, ORDER, lag={"prev_debit": "debit_amount", "prev_txn_no": "ledger_txn_no"}, span=span
-    )
+def _numbered(ledger: DataFrame) -> DataFrame:
+    return ledger.withColumn("_numbered", has_number("ledger_txn_no"))
+
+
+def with_prev_debit(ledger: DataFrame, span: int | None = DEFAULT_SPAN, keep_number: bool = False) -> DataFrame:
+    """Add ``prev_debit`` and ``prev_numbered`` (and ``prev_txn_no`` if asked) of the previous row.
+
+    Classification only needs to know whether the previous row had a number; a
+    boolean keeps the edge aggregation fixed-width.
+    """
+    lag = {"prev_debit": "debit_amount", "prev_numbered": "_numbered"}
+    if keep_number:
+        lag["prev_txn_no"] = "ledger_txn_no"
+    return add_neighbors(_numbered(ledger), KEY, ORDER, lag=lag, span=span).drop("_numbered")
 
 
 def classify_forward(ledger: DataFrame, span: int | None = DEFAULT_SPAN) -> DataFrame:
@@ -92,17 +101,17 @@ def classify_backward(ledger: DataFrame, span: int | None = DEFAULT_SPAN) -> Dat
 def classify_both(ledger: DataFrame, span: int | None = DEFAULT_SPAN) -> DataFrame:
     """Both classes from one neighbour pass, plus the next row's date.
 
-    Adds ``next_credit``, ``next_date``, ``prev_debit``, ``prev_txn_no``,
+    Adds ``next_credit``, ``next_date``, ``prev_debit``, ``prev_numbered``,
     ``forward_type`` and ``pair_type`` (backward).
     """
     d = add_neighbors(
-        ledger,
+        _numbered(ledger),
         KEY,
         ORDER,
         lead={"next_credit": "credit_amount", "next_date": "date"},
-        lag={"prev_debit": "debit_amount", "prev_txn_no": "ledger_txn_no"},
+        lag={"prev_debit": "debit_amount", "prev_numbered": "_numbered"},
         span=span,
-    )
+    ).drop("_numbered")
     return d.withColumns({"forward_type": forward_class(), "pair_type": backward_class()})
 
 

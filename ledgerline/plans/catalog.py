@@ -118,7 +118,9 @@ def pair_next_credit_bucketed(spark: SparkSession, sf_dir: str) -> DataFrame:
 )
 def pair_prev_debit(spark: SparkSession, sf_dir: str) -> DataFrame:
     led = fixture_inputs(spark, sf_dir).ledger
-    return pairing.with_prev_debit(led).select("account_number", "seq", "prev_debit", "prev_txn_no")
+    return pairing.with_prev_debit(led, keep_number=True).select(
+        "account_number", "seq", "prev_debit", "prev_txn_no"
+    )
 
 
 @register(
