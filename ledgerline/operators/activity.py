@@ -16,7 +16,9 @@ from pyspark.sql import functions as F
 from ledgerline.config import DEFAULT_SPAN
 from ledgerline.functions import has_number
 from ledgerline.operators.enrich import add_customer, add_mapped_date
-from ledgerline.operators.pairing import CR_PAIRED, DR_WITH_PAIRED_CR, DR_WITH_TXN, classify_both
+from ledgerline.operators.neighbors import add_neighbors
+from ledgerline.operators.pairing import CR_PAIRED, DR_WITH_PAIRED_CR, DR_WITH_TXN, classify_backward, classify_both
+from ledgerline.operators.sequence import dense_position
 from ledgerline.operators.tally import tally_rows
 
 
@@ -47,3 +49,69 @@ def account_activity(
         }
     )
     return tally_rows(rows)
+
+
+def account_activity_shifted(
+    ledger: DataFrame,
+    customers: DataFrame,
+    mappings: DataFrame | None = None,
+    span: int | None = DEFAULT_SPAN,
+) -> DataFrame:
+    """The per-account form with the reference's literal credit attribution.
+
+    A debit's partner is the row right after it *in the whole ledger* (same
+    account, class ``CR_paired``); the partner's credit, date and mapped date
+    are then read one kept row further on (LEAD over the kept rows of the
+    account), which shifts credits up by one kept row.  Kept rows here include
+    unnumbered ones until the final filter, as in the reference.  Ties (from
+    duplicate customers or mappings) make that LEAD order-dependent, so use
+    this mode on inputs without duplicate keys.
+
+    Three neighbour passes, each bucketed: backward classes per account, the
+    global next row over the dense whole-ledger position, and the LEAD over
+    kept rows per account.
+    """
+    span = span or DEFAULT_SPAN
+    pos = dense_position(ledger, "seq", "original_order", span)
+    classified = classify_backward(pos, span).withColumn("_all", F.lit(0))
+    nxt = add_neighbors(
+        classified,
+        "_all",
+        "original_order",
+        lead={
+            "_g_account": "account_number",
+            "_g_type": "pair_type",
+            "_g_credit": "credit_amount",
+            "_g_date": "date",
+        },
+        span=span,
+    ).drop("_all")
+    partner = (F.col("_g_account") == F.col("account_number")) & (F.col("_g_type") == F.lit(CR_PAIRED))
+    kept = nxt.where(F.col("pair_type") != F.lit(CR_PAIRED))
+    enriched = add_mapped_date(add_customer(kept, customers), mappings)
+    joined = enriched.withColumns(
+        {
+            "_p_credit": F.when(partner, F.col("_g_credit")),
+            "_p_date": F.when(partner, F.col("_g_date")),
+            "_p_txn_date": F.when(partner, F.col("txn_date")),
+        }
+    )
+    shifted = add_neighbors(
+        joined,
+        "account_number",
+        "original_order",
+        lead={"_n_credit": "_p_credit", "_n_date": "_p_date", "_n_txn_date": "_p_txn_date"},
+        span=span,
+    )
+    is_dr = F.col("pair_type") == F.lit(DR_WITH_TXN)
+    own_date = F.when(is_dr & F.col("txn_date").isNotNull(), F.col("txn_date")).otherwise(F.col("date"))
+    rows = shifted.where(has_number("ledger_txn_no")).withColumns(
+        {
+            "debit": F.col("debit_amount"),
+            "credit": F.coalesce(F.col("_n_credit"), F.col("credit_amount"), F.lit(0.0)),
+            "final_date": F.when(is_dr & F.col("_n_txn_date").isNotNull(), F.col("_n_txn_date"))
+            .when(is_dr & F.col("_n_date").isNotNull(), F.col("_n_date"))
+            .otherwise(own_date),
+        }
+    )
+    return tally_rows(rows)

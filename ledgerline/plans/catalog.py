@@ -9,9 +9,10 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
-from ledgerline.config import REPORT_OPTIONS
+from ledgerline.config import DEFAULT_CHUNK_SIZE, REPORT_OPTIONS
 from ledgerline.functions import date_text
-from ledgerline.operators import activity, enrich, pairing, prepare, report, rollup, tally
+from ledgerline.functions import extract_txn_number as extract_number
+from ledgerline.operators import activity, enrich, pairing, prepare, report, rollup, sequence, tally
 from ledgerline.plans import oracle
 from ledgerline.plans.inputs import fixture_inputs
 from ledgerline.sources import fixtures
@@ -24,6 +25,8 @@ _ORACLE: dict[str, str] = {}
 # A deliberately fine bucket span: at test scale it puts most accounts over
 # many buckets, so the edge-stitching path of the neighbour lookup is exercised.
 FINE_SPAN = 256
+# Positional slices use the reference's default chunk size.
+REPORT_CHUNK = DEFAULT_CHUNK_SIZE
 
 
 def register(name: str, sql: str | None = None) -> Callable[[Query], Query]:
@@ -87,6 +90,39 @@ def ledger_row_count(spark: SparkSession, sf_dir: str) -> DataFrame:
     return prepare.row_count(fixtures.fixture_ledger(spark, sf_dir))
 
 
+@register(
+    "ledger_sequence",
+    "select account_number, seq, cast(row_number() over (order by seq) as bigint) original_order from ledger",
+)
+def ledger_sequence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    led = fixture_inputs(spark, sf_dir).ledger.select("account_number", "seq")
+    return sequence.dense_position(led, "seq", "original_order", span=FINE_SPAN * 16)
+
+
+@register(
+    "ledger_slice",
+    f"""select account_number, seq, original_order, (original_order - 1) // {REPORT_CHUNK} chunk
+        from (select account_number, seq, cast(row_number() over (order by seq) as bigint) original_order
+              from ledger)""",
+)
+def ledger_slice(spark: SparkSession, sf_dir: str) -> DataFrame:
+    led = fixture_inputs(spark, sf_dir).ledger.select("account_number", "seq")
+    return sequence.positional_chunks(led, REPORT_CHUNK).select("account_number", "seq", "original_order", "chunk")
+
+
+@register(
+    "extract_txn_number",
+    """select narration_id, nullif(regexp_extract(narration, 'Txn No:\\s*(TXN\\w+)', 1, 'i'), '') txn_number
+       from (select o_orderkey narration_id,
+                    case when o_orderkey % 7 = 0 then concat('Cash deposit ', cast(o_orderkey as varchar))
+                         else concat('Payment, txn no: TXN', cast(o_orderkey as varchar), ' done') end narration
+             from orders)""",
+)
+def extract_txn_number(spark: SparkSession, sf_dir: str) -> DataFrame:
+    notes = fixtures.fixture_narrations(spark, sf_dir)
+    return notes.select("narration_id", extract_number("narration").alias("txn_number"))
+
+
 # ---- pairing ------------------------------------------------------------------------
 
 
@@ -258,3 +294,9 @@ def account_rollup_fine_buckets(spark: SparkSession, sf_dir: str) -> DataFrame:
     inp = fixture_inputs(spark, sf_dir)
     rows = activity.account_activity(inp.ledger, inp.customers, inp.mappings, span=FINE_SPAN)
     return rollup.account_rollup(rows, "minmax", span=FINE_SPAN)
+
+
+@register("account_activity_shifted", "select * from activity_shifted")
+def account_activity_shifted(spark: SparkSession, sf_dir: str) -> DataFrame:
+    inp = fixture_inputs(spark, sf_dir, with_duplicates=False)
+    return activity.account_activity_shifted(inp.ledger, inp.customers, inp.mappings)

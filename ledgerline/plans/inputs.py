@@ -26,3 +26,12 @@ def fixture_inputs(
         ledger=prepare_ledger(fixtures.fixture_ledger(spark, sf_dir, span)),
         mappings=prepare_mappings(fixtures.fixture_mappings(spark, sf_dir)),
     )
+
+
+def stored_inputs(spark: SparkSession, paths: dict[str, str]) -> Inputs:
+    """Prepared inputs read from stored Parquet tables (see ``fixtures.materialize``)."""
+    return Inputs(
+        customers=prepare_customers(spark.read.parquet(paths["customers"])),
+        ledger=prepare_ledger(spark.read.parquet(paths["ledger"])),
+        mappings=prepare_mappings(spark.read.parquet(paths["mappings"])),
+    )

@@ -111,3 +111,11 @@ def test_forward_and_backward_give_same_pairs(spark):
     fwd = pairing.classify_forward(led, span=2).where("pair_type = 'DR_with_paired_CR'").count()
     bwd = pairing.classify_backward(led, span=2).where("pair_type = 'CR_paired'").count()
     assert fwd == bwd == 1
+
+
+@pytest.mark.parametrize("span", [1, 2, 1 << 22])
+def test_shifted_mode_moves_credit_up(spark, span):
+    rows = [("DR", "100", "n1"), ("CR", "100", None), ("DR", "200", "n2"), ("CR", "200", None)]
+    led = prepare_ledger(ledger(spark, rows))
+    out = activity.account_activity_shifted(led, prepare_customers(customers(spark)), None, span=span)
+    assert [r.total_credit for r in out.orderBy("seq").collect()] == [200.0, 0.0]
