@@ -15,7 +15,11 @@ from ledgerline.functions import extract_txn_number as extract_number
 from ledgerline.operators import activity, enrich, pairing, prepare, report, rollup, sequence, tally
 from ledgerline.plans import oracle
 from ledgerline.plans.inputs import fixture_inputs
+from ledgerline.session import scratch_path
 from ledgerline.sources import fixtures
+from ledgerline.sources.readers import read_batches
+from ledgerline.streaming import pairing as streaming
+from pyspark.sql import functions as F
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -300,3 +304,41 @@ def account_rollup_fine_buckets(spark: SparkSession, sf_dir: str) -> DataFrame:
 def account_activity_shifted(spark: SparkSession, sf_dir: str) -> DataFrame:
     inp = fixture_inputs(spark, sf_dir, with_duplicates=False)
     return activity.account_activity_shifted(inp.ledger, inp.customers, inp.mappings)
+
+
+# ---- streaming ----------------------------------------------------------------------------
+
+STREAM_ARRIVALS = 4
+
+
+@register(
+    "stream_pairing",
+    "select account_number, seq, forward_type pair_type, next_credit from cls where next_seq is not null",
+)
+def stream_pairing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    base = scratch_path(spark, "stream-pairing")
+    sink = streaming.run_chunked(
+        spark, fixtures.fixture_ledger(spark, sf_dir), streaming.pair_stream, base, STREAM_ARRIVALS
+    )
+    out = spark.read.parquet(sink)
+    return out.where(~F.col("late")).select("account_number", "seq", "pair_type", "next_credit")
+
+
+@register(
+    "stream_tally",
+    "select p.* from per_txn p join nb n on p.seq = n.seq where n.next_seq is not null",
+)
+def stream_tally(spark: SparkSession, sf_dir: str) -> DataFrame:
+    inp = fixture_inputs(spark, sf_dir)
+    base = scratch_path(spark, "stream-tally")
+
+    def build(stream: DataFrame) -> DataFrame:
+        return streaming.tally_stream(streaming.pair_stream(stream), inp.customers, inp.mappings)
+
+    sink = streaming.run_chunked(spark, fixtures.fixture_ledger(spark, sf_dir), build, base, STREAM_ARRIVALS)
+    return streaming_read(spark, sink)
+
+
+def streaming_read(spark: SparkSession, sink: str) -> DataFrame:
+    """The stream's appended batches read back as one table."""
+    return read_batches(spark, [sink])
