@@ -1,8 +1,8 @@
 """Readers and writers for the three inputs and the report.
 
-Delimited files are read with an explicit all-STRING schema (no inference
-pass over the data, account numbers keep their leading zeros); typed casts
-happen in the prepare operators.  Parquet is read as is, with pushdown.
+Delimited files are read with every column as text (no inference pass over
+the data, account numbers keep their leading zeros); typed casts happen in the
+prepare operators.  Parquet is read as is, with pushdown.
 """
 
 from __future__ import annotations
@@ -21,10 +21,6 @@ LEDGER_COLUMNS = (
 MAPPING_COLUMNS = ("AccountNumber", "Date", "TransactionNumber")
 
 
-def _text_schema(columns: Sequence[str]) -> T.StructType:
-    return T.StructType([T.StructField(c, T.StringType(), True) for c in columns])
-
-
 def _format_of(path: str, fmt: str | None) -> str:
     if fmt:
         return fmt
@@ -35,13 +31,9 @@ def read_input(spark: SparkSession, path: str, columns: Sequence[str], fmt: str
     """Read one input table; CSV with header and an all-text schema."""
     fmt = _format_of(path, fmt)
     if fmt == "csv":
-        df = (
-            spark.read.schema(_text_schema(columns))
-            .option("header", True)
-            .option("multiLine", True)
-            .option("enforceSchema", False)
-            .csv(path)
-        )
+        # Without inferSchema every column is read as STRING: no inference pass
+        # over the data, and account numbers keep their leading zeros.
+        df = spark.read.option("header", True).option("inferSchema", False).option("multiLine", True).csv(path)
     elif fmt == "parquet":
         df = spark.read.parquet(path)
     else:
