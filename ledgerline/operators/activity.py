@@ -18,7 +18,7 @@ from ledgerline.functions import has_number
 from ledgerline.operators.enrich import add_customer, add_mapped_date
 from ledgerline.operators.neighbors import add_neighbors
 from ledgerline.operators.pairing import CR_PAIRED, DR_WITH_PAIRED_CR, DR_WITH_TXN, classify_backward, classify_both
-from ledgerline.operators.sequence import dense_position
+from ledgerline.session import ensure_checkpoint_dir
 from ledgerline.operators.tally import tally_rows
 
 
@@ -56,6 +56,7 @@ def account_activity_shifted(
     customers: DataFrame,
     mappings: DataFrame | None = None,
     span: int | None = DEFAULT_SPAN,
+    cut_lineage: bool = True,
 ) -> DataFrame:
     """The per-account form with the reference's literal credit attribution.
 
@@ -68,16 +69,18 @@ def account_activity_shifted(
     this mode on inputs without duplicate keys.
 
     Three neighbour passes, each bucketed: backward classes per account, the
-    global next row over the dense whole-ledger position, and the LEAD over
-    kept rows per account.
+    global next row (arrival order is ``seq``, so the next position is the next
+    ``seq``), and the LEAD over kept rows per account.  Each pass reads its
+    input twice (rows and edge table), so before the last pass the enriched
+    kept rows are checkpointed to the shared checkpoint folder (an eager,
+    reliable checkpoint) instead of recomputing the first two passes.
     """
     span = span or DEFAULT_SPAN
-    pos = dense_position(ledger, "seq", "original_order", span)
-    classified = classify_backward(pos, span).withColumn("_all", F.lit(0))
+    classified = classify_backward(ledger, span).withColumn("_all", F.lit(0))
     nxt = add_neighbors(
         classified,
         "_all",
-        "original_order",
+        "seq",
         lead={
             "_g_account": "account_number",
             "_g_type": "pair_type",
@@ -89,17 +92,30 @@ def account_activity_shifted(
     partner = (F.col("_g_account") == F.col("account_number")) & (F.col("_g_type") == F.lit(CR_PAIRED))
     kept = nxt.where(F.col("pair_type") != F.lit(CR_PAIRED))
     enriched = add_mapped_date(add_customer(kept, customers), mappings)
-    joined = enriched.withColumns(
-        {
-            "_p_credit": F.when(partner, F.col("_g_credit")),
-            "_p_date": F.when(partner, F.col("_g_date")),
-            "_p_txn_date": F.when(partner, F.col("txn_date")),
-        }
+    joined = enriched.select(
+        "account_number",
+        "seq",
+        "date",
+        "ledger_txn_no",
+        "debit_amount",
+        "credit_amount",
+        "opening_balance",
+        "closing_balance",
+        "pair_type",
+        "customer_name",
+        "customer_amount",
+        "txn_date",
+        F.when(partner, F.col("_g_credit")).alias("_p_credit"),
+        F.when(partner, F.col("_g_date")).alias("_p_date"),
+        F.when(partner, F.col("txn_date")).alias("_p_txn_date"),
     )
+    if cut_lineage:
+        ensure_checkpoint_dir(joined.sparkSession)
+        joined = joined.checkpoint(eager=True)
     shifted = add_neighbors(
         joined,
         "account_number",
-        "original_order",
+        "seq",
         lead={"_n_credit": "_p_credit", "_n_date": "_p_date", "_n_txn_date": "_p_txn_date"},
         span=span,
     )
