@@ -42,7 +42,7 @@ def account_rollup(rows: DataFrame, balance_mode: str = "minmax", span: int | No
     """Fold per-row results (``account_activity`` or per-transaction rows) per account."""
     if balance_mode not in ("minmax", "boundary"):
         raise ValueError(f"unknown balance_mode {balance_mode!r}")
-    bucket = F.floor(F.col("seq") / F.lit(span or (1 << 62))).cast("long")
+    bucket = F.expr(f"seq div {int(span or (1 << 62))}")
 
     first_stage = []
     for m in _MONEY_SUMS:

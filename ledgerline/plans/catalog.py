@@ -342,3 +342,17 @@ def stream_tally(spark: SparkSession, sf_dir: str) -> DataFrame:
 def streaming_read(spark: SparkSession, sink: str) -> DataFrame:
     """The stream's appended batches read back as one table."""
     return read_batches(spark, [sink])
+
+
+@register(
+    "stream_pairing_flushed",
+    "select account_number, seq, forward_type pair_type, next_credit from cls",
+)
+def stream_pairing_flushed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Stream output plus the pending rows read back from state: the whole batch result."""
+    base = scratch_path(spark, "stream-flushed")
+    sink = streaming.run_chunked(
+        spark, fixtures.fixture_ledger(spark, sf_dir), streaming.pair_stream, base, STREAM_ARRIVALS
+    )
+    rows = spark.read.parquet(sink).unionByName(streaming.pending_rows(spark, streaming.checkpoint_of(base)))
+    return rows.where(~F.col("late")).select("account_number", "seq", "pair_type", "next_credit")

@@ -33,7 +33,7 @@ from pyspark.sql import types as T
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 
 from ledgerline.operators.enrich import add_customer, add_mapped_date, effective_date
-from ledgerline.operators.pairing import CR_TRANSACTION, DR_UNPAIRED, DR_WITH_PAIRED_CR, OTHER
+from ledgerline.operators.pairing import CR_TRANSACTION, DR_UNPAIRED, DR_WITH_PAIRED_CR, OTHER, forward_class
 from ledgerline.operators.tally import tally_rows
 
 ROW_FIELDS = [
@@ -199,6 +199,23 @@ def ledger_file_stream(
     return reader.parquet(path)
 
 
+def checkpoint_of(base_path: str) -> str:
+    return f"{base_path}/ckpt"
+
+
+def pending_rows(spark: SparkSession, checkpoint_path: str) -> DataFrame:
+    """The rows still waiting for a successor, read from a stopped query's checkpoint.
+
+    They have no next row, so they classify as unpaired (``next_credit`` null);
+    the result has the stream's output schema and can be unioned with it.
+    """
+    state = spark.read.format("statestore").option("stateVarName", "pending").load(checkpoint_path)
+    rows = state.select(F.col("key.account_number").alias("account_number"), "value.*")
+    rows = rows.withColumn("next_credit", F.lit(None).cast(T.DoubleType()))
+    rows = rows.withColumns({"pair_type": forward_class(), "late": F.lit(False)})
+    return rows.select(*[f.name for f in OUTPUT_SCHEMA.fields])
+
+
 def run_chunked(
     spark: SparkSession,
     ledger_input: DataFrame,
@@ -217,7 +234,7 @@ def run_chunked(
     bounds = ledger_input.agg(F.min("seq").alias("lo"), F.max("seq").alias("hi")).first()
     lo, hi = (bounds["lo"] or 0), (bounds["hi"] or 0)
     step = (hi - lo) // parts + 1
-    inbox, sink, ckpt = f"{base_path}/in", f"{base_path}/out", f"{base_path}/ckpt"
+    inbox, sink, ckpt = f"{base_path}/in", f"{base_path}/out", checkpoint_of(base_path)
     from ledgerline.operators.prepare import prepare_ledger
 
     for i in range(parts):

@@ -30,3 +30,14 @@ def test_pair_spanning_arrivals_and_late_row(spark):
     assert out[1].pair_type == "DR_with_paired_CR" and out[1].next_credit == 100.0
     assert out[3].pair_type == "DR_unpaired"
     assert 4 not in out  # still pending
+
+
+def test_flushed_stream_equals_batch(spark):
+    raw = fixtures.fixture_ledger(spark, SF_SMALL)
+    base = scratch_path(spark, "t-stream-flush")
+    sink = streaming.run_chunked(spark, raw, streaming.pair_stream, base, parts=2)
+    rows = spark.read.parquet(sink).unionByName(streaming.pending_rows(spark, streaming.checkpoint_of(base)))
+    got = rows.where(~F.col("late")).select("seq", "pair_type", "next_credit")
+    want = classify_forward(prepare_ledger(raw)).select("seq", "pair_type", "next_credit")
+    assert got.count() == want.count()
+    assert got.exceptAll(want).count() == 0 and want.exceptAll(got).count() == 0
