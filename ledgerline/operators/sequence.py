@@ -53,12 +53,23 @@ def positional_chunks(df: DataFrame, chunk_size: int, order: str = "seq", span:
 
 
 def sequence_from_files(df: DataFrame, out: str = "seq") -> DataFrame:
-    """Add ``out`` from Parquet file order: files by path, then row index in the file.
+    """Add ``out``: a unique arrival order following file order (files by path).
 
-    ``seq = file_ordinal << 40 | row_index``.  Needs a DataFrame read straight
-    from Parquet (it uses the hidden ``_metadata`` column).  The file table is
-    one row per file.
+    ``df`` must be read straight from files (it uses the hidden ``_metadata``
+    column).  Parquet: ``seq = file_ordinal << 40 | row_index``.  Other
+    formats have no row index, so rows are numbered inside each file split
+    (``monotonically_increasing_id`` runs in read order within a task) and the
+    splits, ordered by (path, block start), get prefix-sum offsets; ``seq`` is
+    then the dense position in file order.  The split and file tables hold one
+    row per split/file.
     """
+    meta_fields = df.select("_metadata").schema["_metadata"].dataType.fieldNames()
+    if "row_index" in meta_fields:
+        return _sequence_from_row_index(df, out)
+    return _sequence_from_splits(df, out)
+
+
+def _sequence_from_row_index(df: DataFrame, out: str) -> DataFrame:
     meta = df.select("*", F.col("_metadata.file_path").alias("_sf_path"), F.col("_metadata.row_index").alias("_sf_row"))
     files = meta.select("_sf_path").distinct()
     ranked = files.select(
@@ -67,3 +78,28 @@ def sequence_from_files(df: DataFrame, out: str = "seq") -> DataFrame:
     joined = meta.join(ranked, F.col("_sf_path") == F.col("_sf_p"), "left")
     packed = F.shiftleft(F.col("_sf_ord").cast("long"), ROW_INDEX_BITS) + F.col("_sf_row")
     return joined.withColumn(out, packed).drop("_sf_path", "_sf_row", "_sf_p", "_sf_ord")
+
+
+def _sequence_from_splits(df: DataFrame, out: str) -> DataFrame:
+    meta = df.select(
+        "*",
+        F.col("_metadata.file_path").alias("_sf_path"),
+        F.col("_metadata.file_block_start").alias("_sf_block"),
+        F.monotonically_increasing_id().alias("_sf_id"),
+    )
+    splits = meta.groupBy("_sf_path", "_sf_block").agg(
+        F.min("_sf_id").alias("_sf_first"), F.count(F.lit(1)).alias("_sf_n")
+    )
+    earlier = Window.orderBy("_sf_path", "_sf_block").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = splits.select(
+        F.col("_sf_path").alias("_sf_p"),
+        F.col("_sf_block").alias("_sf_b"),
+        "_sf_first",
+        F.coalesce(F.sum("_sf_n").over(earlier), F.lit(0)).alias("_sf_off"),
+    )
+    cond = (F.col("_sf_path") == F.col("_sf_p")) & (F.col("_sf_block") == F.col("_sf_b"))
+    joined = meta.join(offsets, cond, "left")
+    position = F.col("_sf_off") + (F.col("_sf_id") - F.col("_sf_first")) + F.lit(1)
+    return joined.withColumn(out, position.cast("long")).drop(
+        "_sf_path", "_sf_block", "_sf_id", "_sf_p", "_sf_b", "_sf_first", "_sf_off"
+    )

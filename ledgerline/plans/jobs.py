@@ -14,6 +14,7 @@ from pyspark.sql import DataFrame, SparkSession
 from ledgerline.config import TallyOptions
 from ledgerline.operators import activity, report, rollup, tally
 from ledgerline.operators.prepare import prepare_customers, prepare_ledger, prepare_mappings
+from ledgerline.operators.sequence import sequence_from_files
 from ledgerline.plans.inputs import Inputs
 from ledgerline.sources import readers
 
@@ -44,10 +45,14 @@ def per_account_report(inp: Inputs, options: TallyOptions) -> DataFrame:
 def read_inputs(
     spark: SparkSession, accounts_path: str, ledger_path: str, mapping_path: str | None = None, order_col: str = "seq"
 ) -> Inputs:
+    """Read and prepare the inputs; a ledger without ``order_col`` is ordered by file order."""
     mappings = prepare_mappings(readers.read_mappings(spark, mapping_path)) if mapping_path else None
+    raw_ledger = readers.read_ledger(spark, ledger_path)
+    if order_col not in raw_ledger.columns:
+        raw_ledger = sequence_from_files(raw_ledger, order_col)
     return Inputs(
         customers=prepare_customers(readers.read_customers(spark, accounts_path)),
-        ledger=prepare_ledger(readers.read_ledger(spark, ledger_path), order_col),
+        ledger=prepare_ledger(raw_ledger, order_col),
         mappings=mappings,
     )
 

@@ -38,3 +38,13 @@ def test_pipeline_from_csv(spark):
         "customer_amount", "debit_count", "credit_count", "tally_value",
     ]
     assert os.path.isdir(out2)
+
+
+def test_pipeline_orders_csv_ledger_without_seq_by_file_order(spark):
+    base = tempfile.mkdtemp(prefix="ledgerline-csv2-")
+    rows = [("DR", "5", "n1"), ("CR", "5", None), ("DR", "8", "n2"), ("CR", "9", None)]
+    _write_csv(customers(spark, [("Ann", "A1", "1")]), f"{base}/acc.csv")
+    _write_csv(ledger(spark, rows).orderBy("seq").drop("seq"), f"{base}/led.csv")
+    out = jobs.run_pipeline(spark, f"{base}/acc.csv", f"{base}/led.csv", f"{base}/out", options=REPORT_OPTIONS)
+    got = {r.transaction_nos: r.total_credit for r in read_report_csv(spark, out).collect()}
+    assert got == {"n1": "5.00", "n2": "0.00"}

@@ -28,3 +28,21 @@ def test_sequence_from_parquet_files(spark):
     df = spark.read.parquet(os.path.join(out, "part*"))
     rows = sequence_from_files(df).orderBy("seq").collect()
     assert [r.id for r in rows] == list(range(30))
+
+
+def test_sequence_from_csv_splits(spark):
+    out = tempfile.mkdtemp(prefix="ledgerline-seqcsv-")
+    for i in range(2):
+        rows = "\n".join(f"{i * 1000 + j},x{j % 7}" for j in range(1000))
+        with open(os.path.join(out, f"part{i}.csv"), "w") as fh:
+            fh.write("n,tag\n" + rows + "\n")
+    old = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "2000")  # many splits per file
+    try:
+        df = spark.read.option("header", True).csv(out)
+        assert df.rdd.getNumPartitions() > 4
+        rows = sequence_from_files(df).orderBy("seq").collect()
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", old)
+    assert [int(r.n) for r in rows] == list(range(2000))
+    assert [r.seq for r in rows] == list(range(1, 2001))
