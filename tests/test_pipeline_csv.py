@@ -48,3 +48,10 @@ def test_pipeline_orders_csv_ledger_without_seq_by_file_order(spark):
     out = jobs.run_pipeline(spark, f"{base}/acc.csv", f"{base}/led.csv", f"{base}/out", options=REPORT_OPTIONS)
     got = {r.transaction_nos: r.total_credit for r in read_report_csv(spark, out).collect()}
     assert got == {"n1": "5.00", "n2": "0.00"}
+
+
+def test_command_line_arguments():
+    from ledgerline.__main__ import parse_args
+
+    a = parse_args(["--customers", "c", "--ledger", "l", "--output", "o", "--form", "account", "--dates", "--span", "64"])
+    assert a.form == "account" and a.dates and not a.debit and a.span == 64 and a.mapping is None
