@@ -22,7 +22,7 @@ def parse_args(argv: list[str] | None = None) -> argparse.Namespace:
     p.add_argument("--customers", required=True, help="customer table (CSV or Parquet)")
     p.add_argument("--ledger", required=True, help="ledger table (CSV or Parquet); file order if it has no seq")
     p.add_argument("--mapping", help="optional table of dated transaction numbers")
-    p.add_argument("--output", required=True, help="output folder for the CSV report")
+    p.add_argument("--output", help="output folder for the CSV report (default output/tally_results.csv)")
     p.add_argument("--form", choices=("transaction", "account"), default="transaction")
     for flag in ("dates", "debit", "credit", "opening-balance", "closing-balance", "customer-amount"):
         p.add_argument(f"--{flag}", action="store_true", help=f"include the {flag.replace('-', ' ')} column")

@@ -9,7 +9,8 @@ from dataclasses import dataclass
 # dense ``seq`` (row position) it bounds a window group to 4M rows.
 DEFAULT_SPAN = 1 << 22
 
-# The reference's default output file name and chunk size.
+# The reference's default output folder, file name and chunk size.
+DEFAULT_OUTPUT_DIR = "output"
 DEFAULT_OUTPUT_FILENAME = "tally_results.csv"
 DEFAULT_CHUNK_SIZE = 10000
 
@@ -34,6 +35,13 @@ class TallyOptions:
     attribution: str = "own"
     # Rows of the positional chunking (``ledger_slice``).
     chunk_size: int = DEFAULT_CHUNK_SIZE
+    # Where ``run_pipeline`` writes when no output path is given (a folder of CSV parts).
+    output_dir: str = DEFAULT_OUTPUT_DIR
+    output_filename: str = DEFAULT_OUTPUT_FILENAME
+
+    @property
+    def output_path(self) -> str:
+        return f"{self.output_dir.rstrip('/')}/{self.output_filename}"
 
     def __post_init__(self) -> None:
         if self.balance_mode not in ("minmax", "boundary"):

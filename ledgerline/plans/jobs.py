@@ -61,12 +61,17 @@ def run_pipeline(
     spark: SparkSession,
     accounts_path: str,
     ledger_path: str,
-    output_path: str,
+    output_path: str | None = None,
     mapping_path: str | None = None,
     options: TallyOptions = TallyOptions(),
     form: str = "transaction",
 ) -> str:
-    """Build the report and write it as a CSV folder at ``output_path``."""
+    """Build the report and write it as a CSV folder at ``output_path``.
+
+    Without a path the report goes to ``options.output_path``
+    (``output/tally_results.csv`` by default, a folder of CSV parts).
+    """
+    output_path = output_path or options.output_path
     inp = read_inputs(spark, accounts_path, ledger_path, mapping_path)
     if form == "transaction":
         out = per_transaction_report(inp, options)
