@@ -28,6 +28,7 @@ def parse_args(argv: list[str] | None = None) -> argparse.Namespace:
         p.add_argument(f"--{flag}", action="store_true", help=f"include the {flag.replace('-', ' ')} column")
     p.add_argument("--balance-mode", choices=("minmax", "boundary"), default="minmax")
     p.add_argument("--attribution", choices=("own", "shifted"), default="own")
+    p.add_argument("--money", choices=("double", "cents"), default="double", help="amount equality rule")
     p.add_argument("--span", type=int, default=DEFAULT_SPAN, help="rows per window group bound (seq units)")
     return p.parse_args(argv)
 
@@ -44,6 +45,7 @@ def main(argv: list[str] | None = None) -> None:
         neighbor_span=a.span,
         balance_mode=a.balance_mode,
         attribution=a.attribution,
+        money=a.money,
     )
     spark = SparkSession.builder.appName("ledgerline").getOrCreate()
     run_pipeline(spark, a.customers, a.ledger, a.output, a.mapping, options, a.form)

@@ -33,6 +33,9 @@ class TallyOptions:
     # Credit attribution of the per-account form: "own" (the row's own paired
     # credit) or "shifted" (the literal LEAD over kept rows).
     attribution: str = "own"
+    # Ledger money: "double" (as read; exact double equality pairs, as in the
+    # reference) or "cents" (DECIMAL(18,2) reading: amounts rounded to cents).
+    money: str = "double"
     # Rows of the positional chunking (``ledger_slice``).
     chunk_size: int = DEFAULT_CHUNK_SIZE
     # Where ``run_pipeline`` writes when no output path is given (a folder of CSV parts).
@@ -48,6 +51,8 @@ class TallyOptions:
             raise ValueError(f"balance_mode must be 'minmax' or 'boundary', not {self.balance_mode!r}")
         if self.attribution not in ("own", "shifted"):
             raise ValueError(f"attribution must be 'own' or 'shifted', not {self.attribution!r}")
+        if self.money not in ("double", "cents"):
+            raise ValueError(f"money must be 'double' or 'cents', not {self.money!r}")
         if self.neighbor_span <= 0 or self.chunk_size <= 0:
             raise ValueError("neighbor_span and chunk_size must be positive")
 

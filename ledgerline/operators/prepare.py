@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ledgerline.functions import as_date, lenient_double
+from ledgerline.functions import as_date, lenient_double, round_money
 
 # Ledger transaction types, compared exactly (case and blanks count).
 DEBIT_TYPE = "DR"
@@ -35,23 +35,36 @@ def prepare_mappings(df: DataFrame) -> DataFrame:
     )
 
 
-def prepare_ledger(df: DataFrame, order_col: str = "seq") -> DataFrame:
+def prepare_ledger(df: DataFrame, order_col: str = "seq", money: str = "double") -> DataFrame:
     """Ledger rows typed, money nulls as 0.0, and debit/credit split by type.
 
     ``order_col`` (arrival order, unique) is required: the reference numbers
     rows in file order, which a parallel reader does not keep by itself.  Use
     ``ledgerline.operators.sequence.sequence_from_files`` to derive one.
+
+    ``money="double"`` keeps amounts as read (pairing compares doubles exactly,
+    as the reference does); ``money="cents"`` reads them as DECIMAL(18,2)
+    values, i.e. rounded to cents, so equal cent amounts always pair.
     """
     if order_col not in df.columns:
         raise ValueError(f"ledger needs an arrival-order column {order_col!r}")
+    if money not in ("double", "cents"):
+        raise ValueError(f"money must be 'double' or 'cents', not {money!r}")
+
+    def amount(name: str):
+        value = lenient_double(F.col(name))
+        if money == "cents":
+            value = round_money(value)
+        return F.coalesce(value, F.lit(0.0))
+
     typed = df.select(
         _text(df, "AccountNumber").alias("account_number"),
         as_date(F.col("Date"), df.schema["Date"].dataType).alias("date"),
         _text(df, "Type").alias("transaction_type"),
-        F.coalesce(lenient_double(F.col("Amount")), F.lit(0.0)).alias("amount"),
+        amount("Amount").alias("amount"),
         _text(df, "TransactionNumber").alias("ledger_txn_no"),
-        F.coalesce(lenient_double(F.col("OpeningBalance")), F.lit(0.0)).alias("opening_balance"),
-        F.coalesce(lenient_double(F.col("ClosingBalance")), F.lit(0.0)).alias("closing_balance"),
+        amount("OpeningBalance").alias("opening_balance"),
+        amount("ClosingBalance").alias("closing_balance"),
         F.col(order_col).cast(T.LongType()).alias("seq"),
     )
     return split_debit_credit(typed)

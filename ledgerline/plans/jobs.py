@@ -43,7 +43,12 @@ def per_account_report(inp: Inputs, options: TallyOptions) -> DataFrame:
 
 
 def read_inputs(
-    spark: SparkSession, accounts_path: str, ledger_path: str, mapping_path: str | None = None, order_col: str = "seq"
+    spark: SparkSession,
+    accounts_path: str,
+    ledger_path: str,
+    mapping_path: str | None = None,
+    order_col: str = "seq",
+    money: str = "double",
 ) -> Inputs:
     """Read and prepare the inputs; a ledger without ``order_col`` is ordered by file order."""
     mappings = prepare_mappings(readers.read_mappings(spark, mapping_path)) if mapping_path else None
@@ -52,7 +57,7 @@ def read_inputs(
         raw_ledger = sequence_from_files(raw_ledger, order_col)
     return Inputs(
         customers=prepare_customers(readers.read_customers(spark, accounts_path)),
-        ledger=prepare_ledger(raw_ledger, order_col),
+        ledger=prepare_ledger(raw_ledger, order_col, money),
         mappings=mappings,
     )
 
@@ -72,7 +77,7 @@ def run_pipeline(
     (``output/tally_results.csv`` by default, a folder of CSV parts).
     """
     output_path = output_path or options.output_path
-    inp = read_inputs(spark, accounts_path, ledger_path, mapping_path)
+    inp = read_inputs(spark, accounts_path, ledger_path, mapping_path, money=options.money)
     if form == "transaction":
         out = per_transaction_report(inp, options)
     elif form == "account":

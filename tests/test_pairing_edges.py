@@ -119,3 +119,12 @@ def test_shifted_mode_moves_credit_up(spark, span):
     led = prepare_ledger(ledger(spark, rows))
     out = activity.account_activity_shifted(led, prepare_customers(customers(spark)), None, span=span)
     assert [r.total_credit for r in out.orderBy("seq").collect()] == [200.0, 0.0]
+
+
+def test_cents_money_pairs_sub_cent_noise(spark):
+    rows = [("DR", "0.30000000000000004", "n1"), ("CR", "0.3", None)]
+    led_double = prepare_ledger(ledger(spark, rows))
+    led_cents = prepare_ledger(ledger(spark, rows), money="cents")
+    cus = prepare_customers(customers(spark))
+    assert tally.tally_per_transaction(led_double, cus).first().total_credit == 0.0
+    assert tally.tally_per_transaction(led_cents, cus).first().total_credit == 0.3
