@@ -3,17 +3,19 @@
 ``LEAD``/``LAG`` over ``PARTITION BY account ORDER BY seq`` puts a whole account
 into one window group, i.e. one task; an account holding a third of a 100 TB
 ledger would run on one core.  Here the window is ``PARTITION BY account,
-bucket`` with ``bucket = seq div span``: a group never exceeds ``span``
-rows.  Rows at bucket edges still need the neighbour in the adjacent non-empty
-bucket; for that, each (account, bucket) contributes its first and last row to
-a small "edge" table (partial aggregation, one row per group), a window over
-the *buckets* of an account finds the neighbouring edges, and these edge rows
-are added to the adjacent bucket as ghost rows before the one big window.
-Ghosts sort before/after every real row of the bucket, so the plain
-``lead``/``lag`` finds them, and they are dropped afterwards.
-
-Cost: one shuffle of the ledger (the window's), plus the edge table, whose size
-is the number of non-empty (account, bucket) pairs.  No join of the big side.
+bucket``: ordinary accounts form one bucket, hot accounts (see ``skew``) are
+cut into ``seq div span`` buckets, so a group stays bounded.  Rows at bucket
+edges still need the neighbour in the adjacent non-empty bucket; for that,
+each bucket of a hot account contributes its first and last row to a small
+"edge" table (partial aggregation, one row per bucket), a window over the
+*buckets* of an account finds the neighbouring edges, and these edge rows are
+added to the adjacent bucket as ghost rows before the one big window.  Ghosts
+sort before/after every real row of the bucket, so the plain ``lead``/``lag``
+finds them, and they are dropped afterwards.
+
+Cost: one shuffle of the ledger (the window's), a count per account (narrow
+scan, partial aggregation), a broadcast of the bounded hot-account table, and
+an edge table over hot accounts only.  No shuffle join of the big side.
 """
 
 from __future__ import annotations
@@ -23,7 +25,8 @@ from collections.abc import Mapping
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-_BUCKET = "_nb_bucket"
+from ledgerline.operators.skew import BUCKET, HOT, Split, as_split, with_buckets
+
 _GHOST = "_nb_ghost"
 
 
@@ -33,28 +36,29 @@ def add_neighbors(
     order: str,
     lead: Mapping[str, str] | None = None,
     lag: Mapping[str, str] | None = None,
-    span: int | None = None,
+    span: "int | Split | None" = None,
 ) -> DataFrame:
     """Add ``lead`` columns (next row's value) and ``lag`` columns (previous row's).
 
     ``lead``/``lag`` map output name -> source column.  ``order`` must be unique
     within ``key``.  ``span=None`` uses one window per key (only for keys known
-    to be small); otherwise buckets of ``span`` order units.
+    to be small); an int or ``Split`` cuts hot keys into ``order`` buckets.
     """
     lead = dict(lead or {})
     lag = dict(lag or {})
-    if span is None:
+    split = as_split(span)
+    if split is None:
         w = Window.partitionBy(key).orderBy(order)
         return df.withColumns(
             {**{o: F.lead(s).over(w) for o, s in lead.items()}, **{o: F.lag(s).over(w) for o, s in lag.items()}}
         )
 
-    bucket = F.expr(f"`{order}` div {int(span)}")
-    base = df.withColumn(_BUCKET, bucket).withColumn(_GHOST, F.lit(False))
+    base = with_buckets(df, key, order, split).withColumn(_GHOST, F.lit(False))
 
-    # Edge rows of each (key, bucket): one aggregate per value column, so the
-    # buffers stay fixed-width for numeric/date/boolean values and Spark can
-    # use a partial hash aggregation (strings fall back to a sort aggregate).
+    # Edge rows of each (hot key, bucket): one aggregate per value column, so
+    # the buffers stay fixed-width for numeric/date/boolean values and Spark
+    # uses a partial hash aggregation.  Keys that are not hot have one bucket
+    # and need no edges.
     lead_src = sorted(set(lead.values()) | {order})
     lag_src = sorted(set(lag.values()) | {order})
     edge_aggs = []
@@ -64,14 +68,14 @@ def add_neighbors(
     if lag:
         edge_aggs += [F.max_by(c, order).alias(f"_t_{c}") for c in lag_src if c != order]
         edge_aggs.append(F.max(order).alias(f"_t_{order}"))
-    edges = base.groupBy(key, _BUCKET).agg(*edge_aggs)
-    by_bucket = Window.partitionBy(key).orderBy(_BUCKET)
+    edges = base.where(F.col(HOT)).groupBy(key, BUCKET).agg(*edge_aggs)
+    by_bucket = Window.partitionBy(key).orderBy(BUCKET)
     near = []
     if lead:
         near += [F.lead(f"_h_{c}").over(by_bucket).alias(f"_nh_{c}") for c in lead_src]
     if lag:
         near += [F.lag(f"_t_{c}").over(by_bucket).alias(f"_pt_{c}") for c in lag_src]
-    edges = edges.select(key, _BUCKET, *near)
+    edges = edges.select(key, BUCKET, *near)
 
     # Both ghost kinds come out of the one edge table (one scan, one aggregation).
     all_src = sorted(set(lead_src if lead else []) | set(lag_src if lag else []))
@@ -88,14 +92,14 @@ def add_neighbors(
     if lag:
         kinds.append(ghost("_pt_", lag_src))
     ghosts = (
-        edges.select(key, _BUCKET, F.explode(F.array(*kinds)).alias("_g"))
+        edges.select(key, BUCKET, F.explode(F.array(*kinds)).alias("_g"))
         .where(F.col(f"_g.{order}").isNotNull())
-        .select(key, _BUCKET, *[F.col(f"_g.{c}").alias(c) for c in all_src], F.lit(True).alias(_GHOST))
+        .select(key, BUCKET, *[F.col(f"_g.{c}").alias(c) for c in all_src], F.lit(True).alias(_GHOST))
     )
     stacked = base.unionByName(ghosts, allowMissingColumns=True)
 
-    w = Window.partitionBy(key, _BUCKET).orderBy(order)
+    w = Window.partitionBy(key, BUCKET).orderBy(order)
     out = stacked.withColumns(
         {**{o: F.lead(s).over(w) for o, s in lead.items()}, **{o: F.lag(s).over(w) for o, s in lag.items()}}
     )
-    return out.where(~F.col(_GHOST)).drop(_BUCKET, _GHOST)
+    return out.where(~F.col(_GHOST)).drop(BUCKET, HOT, _GHOST)

@@ -3,8 +3,9 @@
 Numeric parts (sums, counts, min/max) aggregate partially on the map side.
 Transaction numbers and dates are joined with a newline in arrival order.  A
 plain ``listagg`` would buffer every row of a group in one task; instead the
-lists are built in two stages: per (account, name, seq bucket) -- at most
-``span`` rows each -- and then the bucket strings in bucket order.  Nulls are
+lists are built in two stages: per (account, name, bucket) -- hot accounts
+cut into ``seq`` buckets of bounded size, others whole (see ``skew``) -- and
+then the bucket strings in bucket order.  Nulls are
 skipped and an all-null list is null at both stages, as in SQL STRING_AGG.
 The final list of an account is, by definition of the report, as long as the
 account's history; the numeric columns never need it.
@@ -21,6 +22,7 @@ from pyspark.sql import functions as F
 from ledgerline.config import DEFAULT_SPAN
 from ledgerline.functions import round_money
 from ledgerline.functions.money import SUM_DECIMAL
+from ledgerline.operators.skew import BUCKET, HOT, WHOLE, Split, as_split, with_buckets
 
 # List separator of the per-account text columns (chr(10), a newline).
 LIST_SEPARATOR = "\n"
@@ -38,11 +40,15 @@ def _special(c):
     return F.isnan(c) | (F.abs(c) == F.lit(float("inf")))
 
 
-def account_rollup(rows: DataFrame, balance_mode: str = "minmax", span: int | None = DEFAULT_SPAN) -> DataFrame:
+def account_rollup(rows: DataFrame, balance_mode: str = "minmax", span: "int | Split | None" = DEFAULT_SPAN) -> DataFrame:
     """Fold per-row results (``account_activity`` or per-transaction rows) per account."""
     if balance_mode not in ("minmax", "boundary"):
         raise ValueError(f"unknown balance_mode {balance_mode!r}")
-    bucket = F.expr(f"seq div {int(span or (1 << 62))}")
+    split = as_split(span)
+    if split is None:
+        rows = rows.withColumn(BUCKET, F.lit(WHOLE).cast("long"))
+    else:
+        rows = with_buckets(rows, "account_number", "seq", split).drop(HOT)
 
     first_stage = []
     for m in _MONEY_SUMS:
@@ -63,7 +69,7 @@ def account_rollup(rows: DataFrame, balance_mode: str = "minmax", span: int | No
         ordered_list("transaction_nos", "seq").alias("_nos"),
         ordered_list("dates", "seq").alias("_dates"),
     ]
-    buckets = rows.withColumn("_rb", bucket).groupBy(*GROUP, "_rb").agg(*first_stage)
+    buckets = rows.withColumnRenamed(BUCKET, "_rb").groupBy(*GROUP, "_rb").agg(*first_stage)
 
     second_stage = []
     for m in _MONEY_SUMS:

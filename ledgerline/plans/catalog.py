@@ -13,6 +13,7 @@ from ledgerline.config import DEFAULT_CHUNK_SIZE, REPORT_OPTIONS
 from ledgerline.functions import date_text
 from ledgerline.functions import extract_txn_number as extract_number
 from ledgerline.operators import activity, enrich, pairing, prepare, report, rollup, sequence, tally
+from ledgerline.operators.skew import Split
 from ledgerline.plans import oracle
 from ledgerline.plans.inputs import fixture_inputs
 from ledgerline.session import scratch_path
@@ -26,9 +27,10 @@ Query = Callable[[SparkSession, str], DataFrame]
 _QUERIES: dict[str, Query] = {}
 _ORACLE: dict[str, str] = {}
 
-# A deliberately fine bucket span: at test scale it puts most accounts over
-# many buckets, so the edge-stitching path of the neighbour lookup is exercised.
-FINE_SPAN = 256
+# A deliberately fine split: at test scale it makes most accounts "hot" and cuts
+# them over many buckets, so the edge-stitching path of the neighbour lookup
+# and the two-stage lists are exercised on the whole test ledger.
+FINE_SPAN = Split(span=256, hot_rows=4)
 # Positional slices use the reference's default chunk size.
 REPORT_CHUNK = DEFAULT_CHUNK_SIZE
 
@@ -100,7 +102,7 @@ def ledger_row_count(spark: SparkSession, sf_dir: str) -> DataFrame:
 )
 def ledger_sequence(spark: SparkSession, sf_dir: str) -> DataFrame:
     led = fixture_inputs(spark, sf_dir).ledger.select("account_number", "seq")
-    return sequence.dense_position(led, "seq", "original_order", span=FINE_SPAN * 16)
+    return sequence.dense_position(led, "seq", "original_order", span=4096)
 
 
 @register(

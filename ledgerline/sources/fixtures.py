@@ -23,6 +23,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ledgerline.config import DEFAULT_SPAN
+from ledgerline.operators.skew import BUCKET, HOT, Split, with_buckets
 
 
 def base_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -84,14 +85,15 @@ def raw_ledger(spark: SparkSession, sf_dir: str) -> DataFrame:
 def _running_totals(df: DataFrame, key: str, order: str, value: str, span: int) -> DataFrame:
     """Add ``_before`` (sum of earlier rows) and ``_through`` (including this row).
 
-    Exact DECIMAL prefix sums per ``key`` in ``order``.  The per-key window is
-    cut into ``order`` buckets of ``span``; each bucket gets one extra leading
-    row carrying the total of the key's earlier buckets (from a small
-    per-bucket table), so the running sum needs no join and no task holds a
-    whole key.
+    Exact DECIMAL prefix sums per ``key`` in ``order``.  Hot keys are cut into
+    ``order`` buckets of ``span`` (others stay whole, see ``operators.skew``);
+    each bucket of a hot key gets one extra leading row carrying the total of
+    the key's earlier buckets (from a small per-bucket table), so the running
+    sum needs no join and no task holds a whole key.
     """
-    b = df.withColumn("_b", F.expr(f"`{order}` div {int(span)}")).withColumn("_carry_row", F.lit(False))
-    bucket_sums = b.groupBy(key, "_b").agg(F.sum(value).alias("_bsum"))
+    b = with_buckets(df, key, order, Split(span)).withColumnRenamed(BUCKET, "_b")
+    b = b.withColumn("_carry_row", F.lit(False))
+    bucket_sums = b.where(F.col(HOT)).groupBy(key, "_b").agg(F.sum(value).alias("_bsum"))
     earlier = Window.partitionBy(key).orderBy("_b").rowsBetween(Window.unboundedPreceding, -1)
     carry = bucket_sums.select(
         key,
@@ -103,7 +105,7 @@ def _running_totals(df: DataFrame, key: str, order: str, value: str, span: int)
     stacked = b.unionByName(carry, allowMissingColumns=True)
     within = Window.partitionBy(key, "_b").orderBy(order).rowsBetween(Window.unboundedPreceding, 0)
     running = stacked.withColumn("_through", F.sum(value).over(within)).where(~F.col("_carry_row"))
-    return running.withColumn("_before", F.col("_through") - F.col(value)).drop("_b", "_carry_row")
+    return running.withColumn("_before", F.col("_through") - F.col(value)).drop("_b", "_carry_row", HOT)
 
 
 def ledger_derived(spark: SparkSession, sf_dir: str, span: int = DEFAULT_SPAN) -> DataFrame:
