@@ -11,8 +11,10 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-# Text date layouts accepted besides ISO ``yyyy-MM-dd``.
+# Text date layouts accepted besides ISO ``yyyy-MM-dd``, and the
+# shape an ISO date must have (Spark's cast would also take '2024' or '2024-01').
 EXTRA_DATE_FORMATS = ("yyyy/MM/dd",)
+ISO_DATE_TEXT = r"^\s*\d{4}-\d{1,2}-\d{1,2}([ T].*)?$"
 
 
 def as_date(c: Column, dtype: T.DataType) -> Column:
@@ -22,7 +24,7 @@ def as_date(c: Column, dtype: T.DataType) -> Column:
     if isinstance(dtype, (T.TimestampType, T.TimestampNTZType)):
         return c.cast("date")
     text = c.cast("string")
-    parsed = [text.try_cast("date")]
+    parsed = [F.when(text.rlike(ISO_DATE_TEXT), text.try_cast("date"))]
     parsed += [F.try_to_date(text, fmt) for fmt in EXTRA_DATE_FORMATS]
     return F.coalesce(*parsed)
 

@@ -15,6 +15,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 # Scale used for money arithmetic and the decimal type of sums.
 MONEY_SCALE = 100.0
@@ -27,9 +28,18 @@ def round_money(c: Column | str) -> Column:
     return F.round(c * F.lit(MONEY_SCALE), 0) / F.lit(MONEY_SCALE)
 
 
-def lenient_double(c: Column | str) -> Column:
+# The number text accepted by the lenient cast -- decimal or
+# exponent notation, or nan/inf/infinity, with optional sign and blanks.  Spark's
+# own cast would also take Java suffixes such as '1.5d'; those become null here.
+NUMBER_TEXT = r"^\s*[+-]?((\d+(\.\d*)?|\.\d+)([eE][+-]?\d+)?|(?i:nan|inf|infinity))\s*$"
+
+
+def lenient_double(c: Column | str, dtype: T.DataType | None = None) -> Column:
     """Text or number to DOUBLE; unparsable text becomes null instead of an error."""
     c = F.col(c) if isinstance(c, str) else c
+    if dtype is None or isinstance(dtype, T.StringType):
+        text = c.cast("string")
+        return F.when(text.rlike(NUMBER_TEXT), _try_cast(text, "double"))
     return _try_cast(c, "double")
 
 

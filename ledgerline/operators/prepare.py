@@ -22,7 +22,7 @@ def prepare_customers(df: DataFrame) -> DataFrame:
     return df.select(
         _text(df, "AccountNumber").alias("account_number"),
         _text(df, "CustomerName").alias("customer_name"),
-        lenient_double(F.col("Amount")).alias("customer_amount"),
+        lenient_double(F.col("Amount"), df.schema["Amount"].dataType).alias("customer_amount"),
     )
 
 
@@ -52,7 +52,7 @@ def prepare_ledger(df: DataFrame, order_col: str = "seq", money: str = "double")
         raise ValueError(f"money must be 'double' or 'cents', not {money!r}")
 
     def amount(name: str):
-        value = lenient_double(F.col(name))
+        value = lenient_double(F.col(name), df.schema[name].dataType)
         if money == "cents":
             value = round_money(value)
         return F.coalesce(value, F.lit(0.0))

@@ -45,3 +45,16 @@ def test_as_date_from_text_and_timestamp(spark):
 def test_extract_txn_number(spark, text, want):
     df = spark.createDataFrame([(text,)], "s string")
     assert df.select(extract_txn_number("s").alias("n")).first().n == want
+
+
+def test_lenient_double_rejects_java_suffixes(spark):
+    df = spark.createDataFrame([("1.5d",), ("2f",), (" 3 ",), ("1e3",), ("NaN",), ("-inf",), (".5",), ("1,000",)], "s string")
+    got = [r.v for r in df.select(lenient_double("s").alias("v")).collect()]
+    assert got[:4] == [None, None, 3.0, 1000.0]
+    assert got[4] != got[4] and got[5] == float("-inf") and got[6] == 0.5 and got[7] is None
+
+
+def test_as_date_rejects_partial_dates(spark):
+    df = spark.createDataFrame([("2024",), ("2024-01",), ("2024-1-5",)], "s string")
+    got = [r.d for r in df.select(as_date(F.col("s"), T.StringType()).alias("d")).collect()]
+    assert got == [None, None, datetime.date(2024, 1, 5)]
