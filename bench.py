@@ -22,7 +22,9 @@ import time
 
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
-from ledgerline.operators import activity, pairing, rollup, sequence, tally  # noqa: E402
+from ledgerline.config import TallyOptions  # noqa: E402
+from ledgerline.operators import activity, pairing, sequence, tally  # noqa: E402
+from ledgerline.plans import jobs  # noqa: E402
 from ledgerline.plans.catalog import FINE_SPAN  # noqa: E402
 from ledgerline.plans.inputs import stored_inputs  # noqa: E402
 from ledgerline.session import local_session, scratch_path  # noqa: E402
@@ -33,12 +35,8 @@ RUNS = 3
 HEADLINE = {
     "tally_per_transaction": lambda i: tally.tally_per_transaction(i.ledger, i.customers, i.mappings),
     "account_activity": lambda i: activity.account_activity(i.ledger, i.customers, i.mappings),
-    "account_rollup": lambda i: rollup.account_rollup(
-        activity.account_activity(i.ledger, i.customers, i.mappings), "minmax"
-    ),
-    "account_rollup_boundary": lambda i: rollup.account_rollup(
-        activity.account_activity(i.ledger, i.customers, i.mappings), "boundary"
-    ),
+    "account_rollup": lambda i: jobs.per_account(i, TallyOptions(balance_mode="minmax")),
+    "account_rollup_boundary": lambda i: jobs.per_account(i, TallyOptions(balance_mode="boundary")),
     "pair_next_credit": lambda i: pairing.with_next_credit(i.ledger),
     "pair_next_credit_bucketed": lambda i: pairing.with_next_credit(i.ledger, span=FINE_SPAN),
     "ledger_sequence": lambda i: sequence.dense_position(i.ledger.select("account_number", "seq")),

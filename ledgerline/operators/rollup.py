@@ -40,15 +40,24 @@ def _special(c):
     return F.isnan(c) | (F.abs(c) == F.lit(float("inf")))
 
 
-def account_rollup(rows: DataFrame, balance_mode: str = "minmax", span: "int | Split | None" = DEFAULT_SPAN) -> DataFrame:
-    """Fold per-row results (``account_activity`` or per-transaction rows) per account."""
+def account_rollup(
+    rows: DataFrame,
+    balance_mode: str = "minmax",
+    span: "int | Split | None" = DEFAULT_SPAN,
+    hot: DataFrame | None = None,
+) -> DataFrame:
+    """Fold per-row results (``account_activity`` or per-transaction rows) per account.
+
+    ``hot``: hot accounts from ``skew.hot_keys(ledger, ...)``; pass it so the
+    account counts come from the ledger scan rather than from ``rows``' plan.
+    """
     if balance_mode not in ("minmax", "boundary"):
         raise ValueError(f"unknown balance_mode {balance_mode!r}")
     split = as_split(span)
     if split is None:
         rows = rows.withColumn(BUCKET, F.lit(WHOLE).cast("long"))
     else:
-        rows = with_buckets(rows, "account_number", "seq", split).drop(HOT)
+        rows = with_buckets(rows, "account_number", "seq", split, hot).drop(HOT)
 
     first_stage = []
     for m in _MONEY_SUMS:

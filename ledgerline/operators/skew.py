@@ -45,12 +45,25 @@ def as_split(span: "int | Split | None") -> Split | None:
     return Split(int(span))
 
 
-def with_buckets(df: DataFrame, key: str, order: str, split: Split) -> DataFrame:
-    """Add ``_sk_hot`` (key is hot) and ``_sk_bucket`` (``order div span`` if hot, else constant)."""
+def hot_keys(df: DataFrame, key: str, split: Split) -> DataFrame:
+    """Keys with more than ``split.threshold`` rows: columns ``_sk_key``, ``_sk_hot``.
+
+    At most ``rows(df) / threshold`` rows, whatever the data.
+    """
     counts = df.groupBy(key).agg(F.count(F.lit(1)).alias("_sk_n"))
-    hot = counts.where(F.col("_sk_n") > F.lit(split.threshold)).select(
+    return counts.where(F.col("_sk_n") > F.lit(split.threshold)).select(
         F.col(key).alias("_sk_key"), F.lit(True).alias(HOT)
     )
+
+
+def with_buckets(df: DataFrame, key: str, order: str, split: Split, hot: DataFrame | None = None) -> DataFrame:
+    """Add ``_sk_hot`` (key is hot) and ``_sk_bucket`` (``order div span`` if hot, else constant).
+
+    ``hot`` (from ``hot_keys``) may be computed once from a cheaper source,
+    e.g. the ledger scan, instead of recomputing ``df``'s plan for the count.
+    """
+    if hot is None:
+        hot = hot_keys(df, key, split)
     joined = df.join(F.broadcast(hot), F.col(key).eqNullSafe(F.col("_sk_key")), "left").drop("_sk_key")
     is_hot = F.coalesce(F.col(HOT), F.lit(False))
     return joined.withColumn(HOT, is_hot).withColumn(BUCKET, bucket_of(order, split, is_hot))

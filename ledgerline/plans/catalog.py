@@ -13,7 +13,7 @@ from ledgerline.config import DEFAULT_CHUNK_SIZE, REPORT_OPTIONS
 from ledgerline.functions import date_text
 from ledgerline.functions import extract_txn_number as extract_number
 from ledgerline.operators import activity, enrich, pairing, prepare, report, rollup, sequence, tally
-from ledgerline.operators.skew import Split
+from ledgerline.operators.skew import Split, hot_keys
 from ledgerline.plans import oracle
 from ledgerline.plans.inputs import fixture_inputs
 from ledgerline.session import scratch_path
@@ -280,26 +280,34 @@ def pair_own_credit(spark: SparkSession, sf_dir: str) -> DataFrame:
     return account_activity(spark, sf_dir).select("account_number", "seq", "total_credit")
 
 
+def _rollup(spark: SparkSession, sf_dir: str, form: str, balance_mode: str, split: Split) -> DataFrame:
+    inp = fixture_inputs(spark, sf_dir)
+    if form == "activity":
+        rows = activity.account_activity(inp.ledger, inp.customers, inp.mappings, span=split)
+    else:
+        rows = tally.tally_per_transaction(inp.ledger, inp.customers, inp.mappings, span=split)
+    hot = hot_keys(inp.ledger, "account_number", split)
+    return rollup.account_rollup(rows, balance_mode, span=split, hot=hot)
+
+
 @register("account_rollup", oracle.rollup_sql("activity", "minmax"))
 def account_rollup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return rollup.account_rollup(account_activity(spark, sf_dir), "minmax")
+    return _rollup(spark, sf_dir, "activity", "minmax", Split())
 
 
 @register("account_rollup_boundary", oracle.rollup_sql("activity", "boundary"))
 def account_rollup_boundary(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return rollup.account_rollup(account_activity(spark, sf_dir), "boundary")
+    return _rollup(spark, sf_dir, "activity", "boundary", Split())
 
 
 @register("transaction_rollup", oracle.rollup_sql("per_txn", "minmax"))
 def transaction_rollup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return rollup.account_rollup(tally_per_transaction(spark, sf_dir), "minmax")
+    return _rollup(spark, sf_dir, "per_txn", "minmax", Split())
 
 
 @register("account_rollup_fine_buckets", oracle.rollup_sql("activity", "minmax"))
 def account_rollup_fine_buckets(spark: SparkSession, sf_dir: str) -> DataFrame:
-    inp = fixture_inputs(spark, sf_dir)
-    rows = activity.account_activity(inp.ledger, inp.customers, inp.mappings, span=FINE_SPAN)
-    return rollup.account_rollup(rows, "minmax", span=FINE_SPAN)
+    return _rollup(spark, sf_dir, "activity", "minmax", FINE_SPAN)
 
 
 @register("account_activity_shifted", "select * from activity_shifted")

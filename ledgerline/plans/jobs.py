@@ -15,6 +15,7 @@ from ledgerline.config import TallyOptions
 from ledgerline.operators import activity, report, rollup, tally
 from ledgerline.operators.prepare import prepare_customers, prepare_ledger, prepare_mappings
 from ledgerline.operators.sequence import sequence_from_files
+from ledgerline.operators.skew import Split, hot_keys
 from ledgerline.plans.inputs import Inputs
 from ledgerline.sources import readers
 
@@ -31,7 +32,8 @@ def per_account_rows(inp: Inputs, options: TallyOptions = TallyOptions()) -> Dat
 
 def per_account(inp: Inputs, options: TallyOptions = TallyOptions()) -> DataFrame:
     rows = per_account_rows(inp, options)
-    return rollup.account_rollup(rows, options.balance_mode, span=options.neighbor_span)
+    hot = hot_keys(inp.ledger, "account_number", Split(options.neighbor_span))
+    return rollup.account_rollup(rows, options.balance_mode, span=options.neighbor_span, hot=hot)
 
 
 def per_transaction_report(inp: Inputs, options: TallyOptions) -> DataFrame:
