@@ -17,6 +17,7 @@ from ledgerline.config import DEFAULT_SPAN
 from ledgerline.functions import has_number
 from ledgerline.operators.enrich import add_customer, add_mapped_date
 from ledgerline.operators.neighbors import add_neighbors
+from ledgerline.operators.skew import as_split, hot_keys
 from ledgerline.operators.pairing import CR_PAIRED, DR_WITH_PAIRED_CR, DR_WITH_TXN, classify_backward, classify_both
 from ledgerline.session import ensure_checkpoint_dir
 from ledgerline.operators.tally import tally_rows
@@ -76,7 +77,11 @@ def account_activity_shifted(
     reliable checkpoint) instead of recomputing the first two passes.
     """
     span = span or DEFAULT_SPAN
-    classified = classify_backward(ledger, span).withColumn("_all", F.lit(0))
+    split = as_split(span)
+    classified = classify_backward(ledger, split).withColumn("_all", F.lit(0))
+    # Whether the single global key is "hot" depends only on the row count:
+    # take it from the ledger scan, not from the classified plan.
+    global_hot = hot_keys(ledger.select(F.lit(0).alias("_all")), "_all", split)
     nxt = add_neighbors(
         classified,
         "_all",
@@ -87,7 +92,8 @@ def account_activity_shifted(
             "_g_credit": "credit_amount",
             "_g_date": "date",
         },
-        span=span,
+        span=split,
+        hot=global_hot,
     ).drop("_all")
     partner = (F.col("_g_account") == F.col("account_number")) & (F.col("_g_type") == F.lit(CR_PAIRED))
     kept = nxt.where(F.col("pair_type") != F.lit(CR_PAIRED))
@@ -117,7 +123,8 @@ def account_activity_shifted(
         "account_number",
         "seq",
         lead={"_n_credit": "_p_credit", "_n_date": "_p_date", "_n_txn_date": "_p_txn_date"},
-        span=span,
+        span=split,
+        hot=hot_keys(ledger, "account_number", split),
     )
     is_dr = F.col("pair_type") == F.lit(DR_WITH_TXN)
     own_date = F.when(is_dr & F.col("txn_date").isNotNull(), F.col("txn_date")).otherwise(F.col("date"))

@@ -37,12 +37,14 @@ def add_neighbors(
     lead: Mapping[str, str] | None = None,
     lag: Mapping[str, str] | None = None,
     span: "int | Split | None" = None,
+    hot: DataFrame | None = None,
 ) -> DataFrame:
     """Add ``lead`` columns (next row's value) and ``lag`` columns (previous row's).
 
     ``lead``/``lag`` map output name -> source column.  ``order`` must be unique
     within ``key``.  ``span=None`` uses one window per key (only for keys known
     to be small); an int or ``Split`` cuts hot keys into ``order`` buckets.
+    ``hot`` (``skew.hot_keys``) may come from a cheaper source than ``df``.
     """
     lead = dict(lead or {})
     lag = dict(lag or {})
@@ -53,7 +55,7 @@ def add_neighbors(
             {**{o: F.lead(s).over(w) for o, s in lead.items()}, **{o: F.lag(s).over(w) for o, s in lag.items()}}
         )
 
-    base = with_buckets(df, key, order, split).withColumn(_GHOST, F.lit(False))
+    base = with_buckets(df, key, order, split, hot).withColumn(_GHOST, F.lit(False))
 
     # Edge rows of each (hot key, bucket): one aggregate per value column, so
     # the buffers stay fixed-width for numeric/date/boolean values and Spark
