@@ -261,6 +261,22 @@ def report_projection(spark: SparkSession, sf_dir: str) -> DataFrame:
     return report.project_report(tally_per_transaction(spark, sf_dir), REPORT_OPTIONS)
 
 
+@register("batches_combined", "select * from per_txn")
+def batches_combined(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Results kept per batch, then read back from many Parquet folders as one table.
+
+    The tally is computed over the whole ledger (so no pair is lost at a batch
+    edge), its rows are cut into positional batches of the reference's chunk
+    size and written as one folder per batch in a single parallel job; the
+    folders are then read as one table.
+    """
+    result = tally_per_transaction(spark, sf_dir)
+    batched = sequence.positional_chunks(result, REPORT_CHUNK).drop("original_order")
+    base = scratch_path(spark, "batches")
+    batched.write.partitionBy("chunk").parquet(f"{base}/out")
+    return read_batches(spark, [f"{base}/out/chunk=*"]).select(*result.columns)
+
+
 # ---- per-account form ---------------------------------------------------------------------
 
 

@@ -24,6 +24,7 @@ CHEAP = [
     "account_activity_shifted",
     "ledger_slice",
     "extract_txn_number",
+    "batches_combined",
 ]
 
 
