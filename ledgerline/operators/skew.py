@@ -10,8 +10,9 @@ rows.  So no group ever exceeds ``max(span, hot_rows)`` rows.
 Hot keys are found by one count per key (partial aggregation, a narrow scan).
 At most ``N / hot_rows`` keys can be hot, so the hot-key table has a proven
 size bound and is broadcast explicitly (``DEFAULT_SPAN`` = 4M rows gives at
-most 250,000 hot keys per 10^12 ledger rows, a few MB); ordinary keys never
-touch the bucket machinery.
+most 250,000 hot keys per 10^12 ledger rows, a few MB; thresholds under 2^20
+rows leave the choice to Spark's size check); ordinary keys never touch the
+bucket machinery.
 """
 
 from __future__ import annotations
@@ -25,6 +26,10 @@ from ledgerline.config import DEFAULT_SPAN
 
 # Bucket id of keys that are not split (any constant works: one group per key).
 WHOLE = -1
+# The hot-key table is broadcast by hint only when its bound N / threshold is
+# small: at a threshold of 2^20 rows that is under 10^6 keys per 10^12 rows.
+# Below it (fine test splits) Spark's own size check picks the join.
+BROADCAST_MIN_THRESHOLD = 1 << 20
 BUCKET = "_sk_bucket"
 HOT = "_sk_hot"
 
@@ -64,7 +69,9 @@ def with_buckets(df: DataFrame, key: str, order: str, split: Split, hot: DataFra
     """
     if hot is None:
         hot = hot_keys(df, key, split)
-    joined = df.join(F.broadcast(hot), F.col(key).eqNullSafe(F.col("_sk_key")), "left").drop("_sk_key")
+    if split.threshold >= BROADCAST_MIN_THRESHOLD:
+        hot = F.broadcast(hot)
+    joined = df.join(hot, F.col(key).eqNullSafe(F.col("_sk_key")), "left").drop("_sk_key")
     is_hot = F.coalesce(F.col(HOT), F.lit(False))
     return joined.withColumn(HOT, is_hot).withColumn(BUCKET, bucket_of(order, split, is_hot))
 
