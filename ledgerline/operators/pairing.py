@@ -8,8 +8,9 @@ Two classifications of the same pairs:
 * backward (per-account report): every row gets the *previous* row's debit and
   number and is ``DR_with_txn`` / ``CR_paired`` / ``other``.
 
-Both are one neighbour pass (``add_neighbors``) -- one shuffle on account --
-and always run before any join, so join fan-out cannot disturb adjacency.
+Both are one neighbour pass (``add_neighbors``) -- one shuffle of the ledger on
+(account, bucket), hot accounts split -- and always run before any join, so
+join fan-out cannot disturb adjacency.
 """
 
 from __future__ import annotations

@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import os
 import tempfile
 import uuid
 
@@ -37,23 +36,24 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     On a cluster this setting must name shared storage and is only read.  A
     local-mode session without it (tests) gets a fresh temporary folder.
     """
-    configured = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get(
-        "spark.checkpoint.dir", None
-    )
+    try:
+        sc = spark.sparkContext
+    except Exception:  # Spark Connect exposes no SparkContext; the server owns the setting
+        sc = None
+    configured = spark.conf.get("spark.checkpoint.dir", None)
+    if not configured and sc is not None:
+        configured = sc.getConf().get("spark.checkpoint.dir", None)
     if not configured:
-        if not spark.sparkContext.master.startswith("local"):
+        if sc is None or not sc.master.startswith("local"):
             raise RuntimeError("spark.checkpoint.dir must name a shared folder on a cluster")
         configured = tempfile.mkdtemp(prefix="ledgerline-ckpt-")
         spark.conf.set("spark.checkpoint.dir", configured)
-    if spark.sparkContext.getCheckpointDir() is None:
-        spark.sparkContext.setCheckpointDir(configured)
+    if sc is not None and sc.getCheckpointDir() is None:
+        sc.setCheckpointDir(configured)
     return configured
 
 
 def scratch_path(spark: SparkSession, label: str) -> str:
-    """A new, unique folder name under the shared checkpoint folder."""
+    """A new, unique folder name under the shared checkpoint folder (Spark's writers create it)."""
     root = ensure_checkpoint_dir(spark).rstrip("/")
-    path = f"{root}/ledgerline/{label}-{uuid.uuid4().hex}"
-    if "://" not in path:
-        os.makedirs(path, exist_ok=True)
-    return path
+    return f"{root}/ledgerline/{label}-{uuid.uuid4().hex}"
