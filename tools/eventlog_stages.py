@@ -1,4 +1,4 @@
-"""Summarize stage and job times from a Spark event log folder (zstd or plain).
+"""Summarize job, stage and longest-task times from a Spark event log folder (zstd or plain).
 
 Usage: python tools/eventlog_stages.py <eventlog dir> [job description] [min ms]
 """
@@ -16,7 +16,7 @@ import zstandard
 def events(folder: str):
     for f in sorted(glob.glob(f"{folder}/**/*", recursive=True)):
         name = f.rsplit("/", 1)[-1]
-        if name.startswith(".") or name.startswith("appstatus"):
+        if not (name.startswith("events_") or name.startswith("local-") or name.startswith("app-")):
             continue
         try:
             raw = open(f, "rb").read()
@@ -33,7 +33,7 @@ def main() -> None:
     folder = sys.argv[1]
     want = sys.argv[2] if len(sys.argv) > 2 else None
     min_ms = int(sys.argv[3]) if len(sys.argv) > 3 else 100
-    jobs, stages, stage_job = {}, {}, {}
+    jobs, stages, stage_job, longest = {}, {}, {}, {}
     for e in events(folder):
         ev = e["Event"]
         if ev == "SparkListenerJobStart":
@@ -43,6 +43,10 @@ def main() -> None:
                 stage_job[s] = e["Job ID"]
         elif ev == "SparkListenerJobEnd":
             jobs[e["Job ID"]][2] = e["Completion Time"]
+        elif ev == "SparkListenerTaskEnd":
+            info = e["Task Info"]
+            ms = info["Finish Time"] - info["Launch Time"]
+            longest[e["Stage ID"]] = max(longest.get(e["Stage ID"], 0), ms)
         elif ev == "SparkListenerStageCompleted":
             si = e["Stage Info"]
             if "Submission Time" in si:
@@ -54,7 +58,7 @@ def main() -> None:
     for sid, (ms, n, name) in sorted(stages.items()):
         jd = jobs.get(stage_job.get(sid), [None])[0]
         if ms >= min_ms and (not want or jd == want):
-            print(f"  stage {sid} job {stage_job.get(sid)} {ms} ms tasks={n} {name}")
+            print(f"  stage {sid} job {stage_job.get(sid)} {ms} ms tasks={n} longest_task={longest.get(sid, 0)} ms {name}")
 
 
 if __name__ == "__main__":
