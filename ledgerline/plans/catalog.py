@@ -11,12 +11,12 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerline.config import DEFAULT_CHUNK_SIZE, REPORT_OPTIONS
+from ledgerline.config import DEFAULT_CHUNK_SIZE, REPORT_OPTIONS, TallyOptions
 from ledgerline.functions import date_text
 from ledgerline.functions import extract_txn_number as extract_number
 from ledgerline.operators import activity, enrich, pairing, prepare, report, rollup, sequence, tally
 from ledgerline.operators.skew import Split, hot_keys
-from ledgerline.plans import oracle
+from ledgerline.plans import jobs, oracle
 from ledgerline.plans.inputs import fixture_inputs
 from ledgerline.session import scratch_path
 from ledgerline.sources import fixtures
@@ -322,6 +322,22 @@ def transaction_rollup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _rollup(spark, sf_dir, "per_txn", "minmax", Split())
 
 
+ACCOUNT_REPORT_OPTIONS = TallyOptions(
+    include_dates=True, include_closing_balance=True, include_customer_amount=True, balance_mode="minmax"
+)
+
+
+@register(
+    "account_report_projection",
+    "select account_number, customer_name, transaction_nos, dates, closing_balance, customer_amount, "
+    "debit_count, credit_count, tally_value from (" + oracle.rollup_sql("activity", "minmax") + ")",
+)
+def account_report_projection(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The per-account report with its column flags (closing balance and customer amount on)."""
+    inp = fixture_inputs(spark, sf_dir)
+    return jobs.per_account_report(inp, ACCOUNT_REPORT_OPTIONS)
+
+
 @register("account_rollup_fine_buckets", oracle.rollup_sql("activity", "minmax"))
 def account_rollup_fine_buckets(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _rollup(spark, sf_dir, "activity", "minmax", FINE_SPAN)
