@@ -57,3 +57,21 @@ def scratch_path(spark: SparkSession, label: str) -> str:
     """A new, unique folder name under the shared checkpoint folder (Spark's writers create it)."""
     root = ensure_checkpoint_dir(spark).rstrip("/")
     return f"{root}/ledgerline/{label}-{uuid.uuid4().hex}"
+
+
+def recommended_conf(ledger_bytes: int, target_partition_bytes: int = 128 << 20) -> dict[str, str]:
+    """Settings for a cluster run over a ledger of ``ledger_bytes`` (on storage).
+
+    Shuffle partitions are sized so that one holds about ``target_partition_bytes``
+    of ledger (AQE coalesces small ones and splits skewed join partitions);
+    scans read splits of the same size.
+    """
+    partitions = max(200, -(-int(ledger_bytes) // target_partition_bytes))
+    return {
+        "spark.sql.adaptive.enabled": "true",
+        "spark.sql.adaptive.coalescePartitions.enabled": "true",
+        "spark.sql.adaptive.skewJoin.enabled": "true",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(target_partition_bytes),
+        "spark.sql.shuffle.partitions": str(partitions),
+        "spark.sql.files.maxPartitionBytes": str(target_partition_bytes),
+    }

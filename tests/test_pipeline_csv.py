@@ -55,3 +55,22 @@ def test_command_line_arguments():
 
     a = parse_args(["--customers", "c", "--ledger", "l", "--output", "o", "--form", "account", "--dates", "--span", "64"])
     assert a.form == "account" and a.dates and not a.debit and a.span == 64 and a.mapping is None
+
+
+def test_command_line_main_writes_report(spark):
+    from ledgerline.__main__ import main
+
+    base = tempfile.mkdtemp(prefix="ledgerline-cli-")
+    _write_csv(customers(spark, [("Ann", "A1", "1")]), f"{base}/acc.csv")
+    _write_csv(ledger(spark, [("DR", "4", "n1"), ("CR", "4", None)]), f"{base}/led.csv")
+    main(["--customers", f"{base}/acc.csv", "--ledger", f"{base}/led.csv", "--output", f"{base}/out", "--credit"])
+    rows = read_report_csv(spark, f"{base}/out").collect()
+    assert [(r.transaction_nos, r.total_credit, r.tally_value) for r in rows] == [("n1", "4.00", "0.00")]
+
+
+def test_recommended_conf_sizes_partitions():
+    from ledgerline.session import recommended_conf
+
+    conf = recommended_conf(100 * (1 << 40))
+    assert int(conf["spark.sql.shuffle.partitions"]) == 800 * 1024
+    assert recommended_conf(1)["spark.sql.shuffle.partitions"] == "200"
