@@ -59,14 +59,19 @@ def scratch_path(spark: SparkSession, label: str) -> str:
     return f"{root}/ledgerline/{label}-{uuid.uuid4().hex}"
 
 
+MAX_SHUFFLE_PARTITIONS = 1 << 16
+
+
 def recommended_conf(ledger_bytes: int, target_partition_bytes: int = 128 << 20) -> dict[str, str]:
     """Settings for a cluster run over a ledger of ``ledger_bytes`` (on storage).
 
     Shuffle partitions are sized so that one holds about ``target_partition_bytes``
-    of ledger (AQE coalesces small ones and splits skewed join partitions);
-    scans read splits of the same size.
+    of ledger (AQE coalesces small ones and splits skewed join partitions),
+    capped at 65,536: shuffle blocks grow as mappers x reducers, so past the
+    cap partitions grow instead and sorts spill.  Scans read splits of the
+    target size.
     """
-    partitions = max(200, -(-int(ledger_bytes) // target_partition_bytes))
+    partitions = min(MAX_SHUFFLE_PARTITIONS, max(200, -(-int(ledger_bytes) // target_partition_bytes)))
     return {
         "spark.sql.adaptive.enabled": "true",
         "spark.sql.adaptive.coalescePartitions.enabled": "true",

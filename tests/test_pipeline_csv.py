@@ -71,6 +71,6 @@ def test_command_line_main_writes_report(spark):
 def test_recommended_conf_sizes_partitions():
     from ledgerline.session import recommended_conf
 
-    conf = recommended_conf(100 * (1 << 40))
-    assert int(conf["spark.sql.shuffle.partitions"]) == 800 * 1024
+    assert recommended_conf(100 * (1 << 30))["spark.sql.shuffle.partitions"] == "800"
+    assert recommended_conf(100 * (1 << 40))["spark.sql.shuffle.partitions"] == "65536"
     assert recommended_conf(1)["spark.sql.shuffle.partitions"] == "200"
