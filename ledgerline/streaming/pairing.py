@@ -23,6 +23,7 @@ projection, and a Parquet sink whose checkpoint makes the job restartable.
 
 from __future__ import annotations
 
+import time
 from collections.abc import Iterator
 
 import numpy as np
@@ -100,11 +101,35 @@ def _py(v):
 
 
 class PendingRowProcessor(StatefulProcessor):
-    """Keeps the last seen ledger row of each account; emits rows once their successor is known."""
+    """Keeps the last seen ledger row of each account; emits rows once their successor is known.
+
+    With ``timeout_ms`` a processing-time timer emits a pending row as
+    unpaired when its account has been silent that long (and forgets it).
+    """
+
+    def __init__(self, timeout_ms: int | None = None) -> None:
+        self.timeout_ms = timeout_ms
 
     def init(self, handle: StatefulProcessorHandle) -> None:
+        self.handle = handle
         self.pending = handle.getValueState("pending", STATE_SCHEMA)
 
+    def _rearm(self, timerValues) -> None:
+        for t in list(self.handle.listTimers()):
+            self.handle.deleteTimer(t)
+        self.handle.registerTimer(timerValues.getCurrentProcessingTimeInMs() + self.timeout_ms)
+
+    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
+        if not self.pending.exists():
+            return
+        held = pd.DataFrame([list(self.pending.get())], columns=ROW_COLUMNS)
+        self.pending.clear()
+        held["next_credit"] = np.nan
+        held["pair_type"] = classify_run(held, np.array([np.nan]), np.array([False]))
+        held["late"] = False
+        held.insert(0, "account_number", key[0])
+        yield held[[f.name for f in OUTPUT_SCHEMA.fields]]
+
     def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
         batch = pd.concat(list(rows), ignore_index=True)
         account = key[0]
@@ -134,6 +159,8 @@ class PendingRowProcessor(StatefulProcessor):
             resolved["late"] = False
             out.append(resolved)
             self.pending.update(tuple(_py(v) for v in run.iloc[-1].tolist()))
+            if self.timeout_ms is not None:
+                self._rearm(timerValues)
         for part in out:
             if len(part):
                 part.insert(0, "account_number", account)
@@ -143,8 +170,16 @@ class PendingRowProcessor(StatefulProcessor):
         pass
 
 
-def pair_stream(ledger_stream: DataFrame) -> DataFrame:
-    """Prepared ledger stream -> resolved rows with ``next_credit`` and ``pair_type`` (and late rows)."""
+def pair_stream(ledger_stream: DataFrame, pending_timeout_ms: int | None = None) -> DataFrame:
+    """Prepared ledger stream -> resolved rows with ``next_credit`` and ``pair_type`` (and late rows).
+
+    ``pending_timeout_ms``: emit an account's pending row as unpaired after that
+    much processing time without a new row for the account.  Lower latency, but
+    a credit arriving later no longer pairs with it; the default (no timer)
+    keeps the batch result exact and a bounded run is flushed with
+    ``pending_rows``.  Processing time, not event time: a watermark on posting
+    dates would drop out-of-order ledger rows as late.
+    """
     spark = ledger_stream.sparkSession
     if "RocksDB" not in (spark.conf.get("spark.sql.streaming.stateStore.providerClass", "") or ""):
         spark.conf.set(
@@ -153,10 +188,10 @@ def pair_stream(ledger_stream: DataFrame) -> DataFrame:
         )
     rows = ledger_stream.select("account_number", *ROW_COLUMNS)
     return rows.groupBy("account_number").transformWithStateInPandas(
-        statefulProcessor=PendingRowProcessor(),
+        statefulProcessor=PendingRowProcessor(pending_timeout_ms),
         outputStructType=OUTPUT_SCHEMA,
         outputMode="Append",
-        timeMode="None",
+        timeMode="None" if pending_timeout_ms is None else "ProcessingTime",
     )
 
 
@@ -222,14 +257,20 @@ def run_chunked(
     build,
     base_path: str,
     parts: int = 4,
+    timers: bool = False,
 ) -> str:
     """Feed a static ledger (input shapes, with ``seq``) to a stream in ``parts`` arrivals.
 
     Each arrival is one seq range written as a Parquet folder; after it lands
-    the streaming query is (re)started from its checkpoint with
-    ``availableNow`` and processes exactly the new files.  State, source
-    offsets and sink commits persist in the checkpoint between arrivals, as
-    they would across restarts of a long-running job.  Returns the sink path.
+    the streaming query is (re)started from its checkpoint and processes
+    exactly the new files.  State, source offsets and sink commits persist in
+    the checkpoint between arrivals, as they would across restarts of a
+    long-running job.  Returns the sink path; the checkpoint is
+    ``checkpoint_of(base_path)``.
+
+    Without timers each run is ``availableNow``.  With processing-time timers
+    (``timers=True``) Spark keeps running no-data batches, so such a run is
+    stopped once a batch has consumed the new files and no data is pending.
     """
     bounds = ledger_input.agg(F.min("seq").alias("lo"), F.max("seq").alias("hi")).first()
     lo, hi = (bounds["lo"] or 0), (bounds["hi"] or 0)
@@ -241,8 +282,33 @@ def run_chunked(
         chunk = ledger_input.where((F.col("seq") >= lo + i * step) & (F.col("seq") < lo + (i + 1) * step))
         chunk.write.mode("overwrite").parquet(f"{inbox}/arrival={i:04d}")
         stream = ledger_file_stream(spark, f"{inbox}/*", ledger_input.schema, files_per_trigger=None)
-        query = run_to_parquet(build(prepare_ledger(stream)), sink, ckpt)
-        query.awaitTermination()
+        query = run_to_parquet(build(prepare_ledger(stream)), sink, ckpt, available_now=not timers)
+        if timers:
+            try:
+                _await_new_files(query)
+            finally:
+                query.stop()
+        else:
+            query.awaitTermination()
         if query.exception() is not None:
             raise query.exception()
     return sink
+
+
+def _await_new_files(query, timeout_s: float = 600.0) -> None:
+    """Block until a batch of ``query`` has consumed newly arrived files and nothing is pending."""
+    deadline = time.monotonic() + timeout_s
+    while time.monotonic() < deadline:
+        if query.exception() is not None:
+            return
+        consumed = any(
+            src.get("startOffset") != src.get("endOffset")
+            for p in query.recentProgress
+            for src in p.get("sources", [])
+        )
+        # Under timers a trigger is always active (no-data batches), so only
+        # "a completed batch took the new files and no data is pending" counts.
+        if consumed and not query.status["isDataAvailable"]:
+            return
+        time.sleep(0.2)
+    raise TimeoutError("streaming run did not consume the new arrival in time")

@@ -41,3 +41,21 @@ def test_flushed_stream_equals_batch(spark):
     want = classify_forward(prepare_ledger(raw)).select("seq", "pair_type", "next_credit")
     assert got.count() == want.count()
     assert got.exceptAll(want).count() == 0 and want.exceptAll(got).count() == 0
+
+
+def test_pending_timeout_emits_unpaired(spark):
+    rows = [("A1", "DR", "100", "n1"), ("B2", "DR", "5", "m1"), ("A1", "CR", "100", None)]
+    raw = ledger(spark, rows)
+
+    def with_timer(stream):
+        return streaming.pair_stream(stream, pending_timeout_ms=1)
+
+    sink = streaming.run_chunked(spark, raw, with_timer, scratch_path(spark, "t-timer"), parts=3, timers=True)
+    timed = spark.read.parquet(sink)
+    got = {r.seq: (r.pair_type, r.next_credit) for r in timed.collect()}
+    assert got[1] == ("DR_unpaired", None)  # A1 was silent during the second arrival
+
+    exact = spark.read.parquet(
+        streaming.run_chunked(spark, raw, streaming.pair_stream, scratch_path(spark, "t-notimer"), parts=3)
+    )
+    assert {r.seq: r.pair_type for r in exact.collect()}[1] == "DR_with_paired_CR"
