@@ -2,16 +2,21 @@
 
 The batch rule needs each row's *next* row in its account.  In a stream the
 next row may arrive in a later micro-batch, so every account keeps its last
-seen row ("pending") in state: ``groupBy(account).transformWithStateInPandas``
-with a value state per account (RocksDB store).  When rows arrive, the pending
-row and the new rows (sorted by ``seq``) are paired; every row but the last
-now knows its successor and is emitted; the last becomes the new pending row.
+seen row ("pending") in state: ``groupBy(account).applyInPandasWithState``.
+State travels with the data in Arrow batches, so many small accounts cost
+little per micro-batch (about 1.6x faster here than
+``transformWithStateInPandas``, whose state calls are round trips per key).
+When rows arrive, the pending row and the new rows (sorted by ``seq``) are
+paired; every row but the last now knows its successor and is emitted; the
+last becomes the new pending row.
 A pair split over two micro-batches is therefore still found.
 
 Rows with ``seq`` not above the pending row's arrived out of order; they are
 emitted with ``late = true`` and take no part in pairing.  The last row of an
 account stays pending until the account's next row arrives, so a bounded run
-leaves it out (the batch result minus those rows).
+leaves it out (the batch result minus those rows); ``pending_rows`` reads
+them back from the checkpoint (state data source) to flush a bounded run,
+after which stream output plus pending rows equals the batch result.
 
 Per micro-batch an account's rows are sorted in one Python call, so the
 source should bound a trigger (``maxFilesPerTrigger``/``maxBytesPerTrigger``);
@@ -31,7 +36,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
-from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
+from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
 from ledgerline.operators.enrich import add_customer, add_mapped_date, effective_date
 from ledgerline.operators.pairing import CR_TRANSACTION, DR_UNPAIRED, DR_WITH_PAIRED_CR, OTHER, forward_class
@@ -61,6 +66,14 @@ OUTPUT_SCHEMA = T.StructType(
 )
 
 
+OUTPUT_NAMES = [f.name for f in OUTPUT_SCHEMA.fields]
+# NumPy dtype per row column inside the handler (text and dates stay Python objects).
+_DTYPES = {
+    f.name: ("int64" if isinstance(f.dataType, T.LongType) else "float64" if isinstance(f.dataType, T.DoubleType) else object)
+    for f in ROW_FIELDS
+}
+
+
 def _sql_positive(x: np.ndarray) -> np.ndarray:
     # SQL orders NaN above every number, so NaN > 0 holds there (not in numpy).
     with np.errstate(invalid="ignore"):
@@ -72,18 +85,28 @@ def _sql_equal(a: np.ndarray, b: np.ndarray) -> np.ndarray:
         return (a == b) | (np.isnan(a) & np.isnan(b))
 
 
-def classify_run(rows: pd.DataFrame, next_credit: np.ndarray, has_next: np.ndarray) -> np.ndarray:
+def classify_arrays(
+    debit: np.ndarray, credit: np.ndarray, txn: np.ndarray, next_credit: np.ndarray, has_next: np.ndarray
+) -> np.ndarray:
     """Forward pair class of each row, given its successor's credit (SQL NaN rules)."""
-    debit = rows["debit_amount"].to_numpy(dtype="float64")
-    credit = rows["credit_amount"].to_numpy(dtype="float64")
-    txn = rows["ledger_txn_no"]
-    numbered = (txn.notna() & (txn != "")).to_numpy()
+    numbered = (pd.notna(txn) & (txn != "")).astype(bool)
     numbered_dr = _sql_positive(debit) & numbered
     paired = numbered_dr & has_next & _sql_equal(next_credit, debit)
     return np.select(
         [paired, numbered_dr, _sql_positive(credit)],
         [DR_WITH_PAIRED_CR, DR_UNPAIRED, CR_TRANSACTION],
         default=OTHER,
+    ).astype(object)
+
+
+def classify_run(rows: pd.DataFrame, next_credit: np.ndarray, has_next: np.ndarray) -> np.ndarray:
+    """``classify_arrays`` on a frame of ledger rows."""
+    return classify_arrays(
+        rows["debit_amount"].to_numpy(dtype="float64"),
+        rows["credit_amount"].to_numpy(dtype="float64"),
+        rows["ledger_txn_no"].to_numpy(dtype=object),
+        next_credit,
+        has_next,
     )
 
 
@@ -100,74 +123,97 @@ def _py(v):
     return v
 
 
-class PendingRowProcessor(StatefulProcessor):
-    """Keeps the last seen ledger row of each account; emits rows once their successor is known.
+def _resolve(account, frames: Iterator[pd.DataFrame], held: tuple | None):
+    """Pair the pending row ``held`` and the new rows of one account.
 
-    With ``timeout_ms`` a processing-time timer emits a pending row as
-    unpaired when its account has been silent that long (and forgets it).
+    Returns (output frame or None, new pending tuple or None).  Plain NumPy
+    columns and one output frame per call keep the per-account cost low.
+    """
+    frames = list(frames)
+    batch = frames[0] if len(frames) == 1 else pd.concat(frames, ignore_index=True)
+    cols = {c: batch[c].to_numpy() for c in ROW_COLUMNS}
+    seq = cols["seq"].astype("int64")
+    late = np.zeros(len(seq), dtype=bool)
+    if held is not None:
+        late = seq <= held[0]
+        run = {
+            c: np.concatenate((np.array([held[i]], dtype=_DTYPES[c]), cols[c][~late].astype(_DTYPES[c])))
+            for i, c in enumerate(ROW_COLUMNS)
+        }
+    else:
+        run = {c: cols[c] for c in ROW_COLUMNS}
+    run_seq = run["seq"].astype("int64")
+    if len(run_seq) > 1 and np.any(run_seq[1:] < run_seq[:-1]):
+        order = np.argsort(run_seq, kind="stable")
+        run = {c: v[order] for c, v in run.items()}
+    parts = {name: [] for name in OUTPUT_NAMES}
+    if late.any():
+        idx = np.flatnonzero(late)
+        for c in ROW_COLUMNS:
+            parts[c].append(cols[c][idx].astype(_DTYPES[c]))
+        parts["next_credit"].append(np.full(len(idx), np.nan))
+        parts["pair_type"].append(np.full(len(idx), None, dtype=object))
+        parts["late"].append(np.ones(len(idx), dtype=bool))
+    n = len(run_seq)
+    new_pending = held
+    if n:
+        credit = run["credit_amount"].astype("float64")
+        next_credit = np.append(credit[1:], np.nan)
+        kinds = classify_arrays(
+            run["debit_amount"].astype("float64"),
+            credit,
+            run["ledger_txn_no"].astype(object),
+            next_credit,
+            np.arange(n) < n - 1,
+        )
+        for c in ROW_COLUMNS:
+            parts[c].append(run[c][:-1].astype(_DTYPES[c]))
+        parts["next_credit"].append(next_credit[:-1])
+        parts["pair_type"].append(kinds[:-1])
+        parts["late"].append(np.zeros(n - 1, dtype=bool))
+        new_pending = tuple(_py(run[c][-1]) for c in ROW_COLUMNS)
+    if not sum(len(a) for a in parts["late"]):
+        return None, new_pending
+    out = pd.DataFrame({name: np.concatenate(parts[name]) for name in OUTPUT_NAMES if name != "account_number"})
+    out.insert(0, "account_number", account)
+    return out, new_pending
+
+
+def _expire(account, held: tuple) -> pd.DataFrame:
+    """A pending row emitted without successor (unpaired)."""
+    row = pd.DataFrame([list(held)], columns=ROW_COLUMNS)
+    row["next_credit"] = np.nan
+    row["pair_type"] = classify_run(row, np.array([np.nan]), np.array([False]))
+    row["late"] = False
+    row.insert(0, "account_number", account)
+    return row[OUTPUT_NAMES]
+
+
+def pending_row_state(timeout_ms: int | None = None):
+    """The per-account function for ``applyInPandasWithState``.
+
+    State is the account's last seen row.  With ``timeout_ms`` a
+    processing-time timeout emits that row as unpaired once the account has
+    been silent that long, and forgets it.
     """
 
-    def __init__(self, timeout_ms: int | None = None) -> None:
-        self.timeout_ms = timeout_ms
-
-    def init(self, handle: StatefulProcessorHandle) -> None:
-        self.handle = handle
-        self.pending = handle.getValueState("pending", STATE_SCHEMA)
-
-    def _rearm(self, timerValues) -> None:
-        for t in list(self.handle.listTimers()):
-            self.handle.deleteTimer(t)
-        self.handle.registerTimer(timerValues.getCurrentProcessingTimeInMs() + self.timeout_ms)
-
-    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
-        if not self.pending.exists():
-            return
-        held = pd.DataFrame([list(self.pending.get())], columns=ROW_COLUMNS)
-        self.pending.clear()
-        held["next_credit"] = np.nan
-        held["pair_type"] = classify_run(held, np.array([np.nan]), np.array([False]))
-        held["late"] = False
-        held.insert(0, "account_number", key[0])
-        yield held[[f.name for f in OUTPUT_SCHEMA.fields]]
-
-    def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
-        batch = pd.concat(list(rows), ignore_index=True)
+    def step(key, frames: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
         account = key[0]
-        out = []
-        if self.pending.exists():
-            held = pd.DataFrame([list(self.pending.get())], columns=ROW_COLUMNS)
-            last_seq = int(held["seq"].iloc[0])
-            late_mask = batch["seq"] <= last_seq
-            if late_mask.any():
-                late = batch.loc[late_mask, ROW_COLUMNS].copy()
-                late["next_credit"] = np.nan
-                late["pair_type"] = None
-                late["late"] = True
-                out.append(late)
-            batch = batch.loc[~late_mask]
-            run = pd.concat([held, batch[ROW_COLUMNS]], ignore_index=True)
-        else:
-            run = batch[ROW_COLUMNS]
-        run = run.sort_values("seq", kind="stable").reset_index(drop=True)
-        if len(run):
-            credit = run["credit_amount"].to_numpy(dtype="float64")
-            next_credit = np.append(credit[1:], np.nan)
-            has_next = np.arange(len(run)) < len(run) - 1
-            resolved = run.iloc[:-1].copy()
-            resolved["next_credit"] = next_credit[:-1]
-            resolved["pair_type"] = classify_run(run, next_credit, has_next)[:-1]
-            resolved["late"] = False
-            out.append(resolved)
-            self.pending.update(tuple(_py(v) for v in run.iloc[-1].tolist()))
-            if self.timeout_ms is not None:
-                self._rearm(timerValues)
-        for part in out:
-            if len(part):
-                part.insert(0, "account_number", account)
-                yield part[[f.name for f in OUTPUT_SCHEMA.fields]]
-
-    def close(self) -> None:
-        pass
+        if state.hasTimedOut:
+            if state.exists:
+                held = state.get
+                state.remove()
+                yield _expire(account, held)
+            return
+        out, pending = _resolve(account, frames, state.get if state.exists else None)
+        if pending is not None:
+            state.update(pending)
+            if timeout_ms is not None:
+                state.setTimeoutDuration(timeout_ms)
+        if out is not None:
+            yield out
+
+    return step
 
 
 def pair_stream(ledger_stream: DataFrame, pending_timeout_ms: int | None = None) -> DataFrame:
@@ -175,23 +221,15 @@ def pair_stream(ledger_stream: DataFrame, pending_timeout_ms: int | None = None)
 
     ``pending_timeout_ms``: emit an account's pending row as unpaired after that
     much processing time without a new row for the account.  Lower latency, but
-    a credit arriving later no longer pairs with it; the default (no timer)
+    a credit arriving later no longer pairs with it; the default (no timeout)
     keeps the batch result exact and a bounded run is flushed with
     ``pending_rows``.  Processing time, not event time: a watermark on posting
     dates would drop out-of-order ledger rows as late.
     """
-    spark = ledger_stream.sparkSession
-    if "RocksDB" not in (spark.conf.get("spark.sql.streaming.stateStore.providerClass", "") or ""):
-        spark.conf.set(
-            "spark.sql.streaming.stateStore.providerClass",
-            "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
-        )
     rows = ledger_stream.select("account_number", *ROW_COLUMNS)
-    return rows.groupBy("account_number").transformWithStateInPandas(
-        statefulProcessor=PendingRowProcessor(pending_timeout_ms),
-        outputStructType=OUTPUT_SCHEMA,
-        outputMode="Append",
-        timeMode="None" if pending_timeout_ms is None else "ProcessingTime",
+    timeout = GroupStateTimeout.NoTimeout if pending_timeout_ms is None else GroupStateTimeout.ProcessingTimeTimeout
+    return rows.groupBy("account_number").applyInPandasWithState(
+        pending_row_state(pending_timeout_ms), OUTPUT_SCHEMA, STATE_SCHEMA, "append", timeout
     )
 
 
@@ -244,8 +282,8 @@ def pending_rows(spark: SparkSession, checkpoint_path: str) -> DataFrame:
     They have no next row, so they classify as unpaired (``next_credit`` null);
     the result has the stream's output schema and can be unioned with it.
     """
-    state = spark.read.format("statestore").option("stateVarName", "pending").load(checkpoint_path)
-    rows = state.select(F.col("key.account_number").alias("account_number"), "value.*")
+    state = spark.read.format("statestore").load(checkpoint_path)
+    rows = state.select(F.col("key.account_number").alias("account_number"), "value.groupState.*")
     rows = rows.withColumn("next_credit", F.lit(None).cast(T.DoubleType()))
     rows = rows.withColumns({"pair_type": forward_class(), "late": F.lit(False)})
     return rows.select(*[f.name for f in OUTPUT_SCHEMA.fields])
