@@ -226,6 +226,13 @@ def pair_stream(ledger_stream: DataFrame, pending_timeout_ms: int | None = None)
     ``pending_rows``.  Processing time, not event time: a watermark on posting
     dates would drop out-of-order ledger rows as late.
     """
+    spark = ledger_stream.sparkSession
+    if "RocksDB" not in (spark.conf.get("spark.sql.streaming.stateStore.providerClass", "") or ""):
+        # One row per account of state: keep it off the JVM heap at 10^8 accounts.
+        spark.conf.set(
+            "spark.sql.streaming.stateStore.providerClass",
+            "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
+        )
     rows = ledger_stream.select("account_number", *ROW_COLUMNS)
     timeout = GroupStateTimeout.NoTimeout if pending_timeout_ms is None else GroupStateTimeout.ProcessingTimeTimeout
     return rows.groupBy("account_number").applyInPandasWithState(
