@@ -128,3 +128,16 @@ def test_cents_money_pairs_sub_cent_noise(spark):
     cus = prepare_customers(customers(spark))
     assert tally.tally_per_transaction(led_double, cus).first().total_credit == 0.0
     assert tally.tally_per_transaction(led_cents, cus).first().total_credit == 0.3
+
+
+def test_empty_ledger_per_account_forms(spark):
+    from ledgerline.operators import rollup
+
+    led = prepare_ledger(ledger(spark, []))
+    cus = prepare_customers(customers(spark))
+    acts = activity.account_activity(led, cus, None)
+    rolled = rollup.account_rollup(acts)
+    shifted = activity.account_activity_shifted(led, cus, None)
+    assert acts.count() == 0 and rolled.count() == 0 and shifted.count() == 0
+    assert rolled.columns[:3] == ["account_number", "customer_name", "transaction_nos"]
+    assert "tally_value" in rolled.columns and "closing_balance" in shifted.columns
