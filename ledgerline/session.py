@@ -80,3 +80,48 @@ def recommended_conf(ledger_bytes: int, target_partition_bytes: int = 128 << 20)
         "spark.sql.shuffle.partitions": str(partitions),
         "spark.sql.files.maxPartitionBytes": str(target_partition_bytes),
     }
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Make ``ledgerline`` importable in the Python workers (what ``--py-files`` does).
+
+    Only the streaming step runs Python on executors.  Unless the application
+    was submitted with the package in ``spark.submit.pyFiles``, the package is
+    zipped once per application and added with ``addPyFile`` (the zip is a code
+    artifact served by the driver; it goes under the checkpoint folder when that
+    is a local path, else the driver's temp folder).
+    """
+    try:
+        sc = spark.sparkContext
+    except Exception:  # Spark Connect: ship with --py-files / artifacts instead
+        return
+    if getattr(sc, "_ledgerline_shipped", False):
+        return
+    if "ledgerline" in (sc.getConf().get("spark.submit.pyFiles", "") or ""):
+        sc._ledgerline_shipped = True
+        return
+    import io
+    import os
+    import zipfile
+
+    import ledgerline
+
+    root = os.path.dirname(os.path.abspath(ledgerline.__file__))
+    buf = io.BytesIO()
+    with zipfile.ZipFile(buf, "w", zipfile.ZIP_DEFLATED) as zf:
+        for folder, _, files in os.walk(root):
+            for name in files:
+                if name.endswith(".py"):
+                    full = os.path.join(folder, name)
+                    zf.write(full, os.path.join("ledgerline", os.path.relpath(full, root)))
+    base = ensure_checkpoint_dir(spark)
+    if base.startswith("file:"):
+        base = base[len("file:"):]
+    if "://" in base:
+        base = tempfile.gettempdir()
+    target = os.path.join(base.rstrip("/"), "ledgerline", f"pyfiles-{uuid.uuid4().hex}", "ledgerline.zip")
+    os.makedirs(os.path.dirname(target), exist_ok=True)
+    with open(target, "wb") as fh:
+        fh.write(buf.getvalue())
+    sc.addPyFile(target)
+    sc._ledgerline_shipped = True

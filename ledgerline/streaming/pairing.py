@@ -41,6 +41,7 @@ from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 from ledgerline.operators.enrich import add_customer, add_mapped_date, effective_date
 from ledgerline.operators.pairing import CR_TRANSACTION, DR_UNPAIRED, DR_WITH_PAIRED_CR, OTHER, forward_class
 from ledgerline.operators.tally import tally_rows
+from ledgerline.session import ship_package
 
 ROW_FIELDS = [
     T.StructField("seq", T.LongType()),
@@ -227,6 +228,7 @@ def pair_stream(ledger_stream: DataFrame, pending_timeout_ms: int | None = None)
     dates would drop out-of-order ledger rows as late.
     """
     spark = ledger_stream.sparkSession
+    ship_package(spark)  # the step function below runs in Python workers
     if "RocksDB" not in (spark.conf.get("spark.sql.streaming.stateStore.providerClass", "") or ""):
         # One row per account of state: keep it off the JVM heap at 10^8 accounts.
         spark.conf.set(
