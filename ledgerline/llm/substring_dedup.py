@@ -6,15 +6,15 @@ takes both into the cover.  So two equal runs of ``window`` words share an
 equal anchor of ``window - PERIOD + 1`` words that starts, in both documents,
 at a cover position.  Only the anchors at cover positions (5 in 21) are hashed
 and counted; only around anchors that occur twice are whole windows then
-compared, by 128 bits of hash.
+compared, by 95 bits of hash.
 
 Spark does the grouping: anchors and windows are shuffled by their hash.  An
 Arrow batch first settles what repeats within itself: all but one of its equal
 rows are known to repeat and are salted, so a passage held by a third of all
 documents reaches its hash's partition once per batch, not once per document.
-Positions go back to their documents by a shuffle on the document's key, a
-64-bit hash of doc_id and text (rows equal in both share it, and count as
-repeating each other).
+Positions go back to their documents by a join on a 64-bit hash of the text;
+copies of one text meet there, and one of them answers for all.  The texts are
+shuffled once for both joins.
 
 Windows are judged on the input.  Defined results: null or empty text: no
 words, nothing removed; a text shorter than the window: nothing removed;
@@ -40,28 +40,35 @@ WINDOW = 35
 PERIOD = 21
 COVER = (0, 1, 6, 8, 18)
 
-ROWS = "h long, h2 long, salt int, key long, pos int, n int"
+#: Column order for the shuffle: what is alike in neighbouring rows first, the hash last.
+#: ``at`` has the position in its lower half, the second hash in its upper half.
+ROWS = "salt int, n int, key long, at long, h long"
 
 _hash1, _hash2 = WordHasher(101), WordHasher(202)
 _roll1, _roll2 = Roller(303), Roller(404)
 
 
-def _rows(h: list, h2: list, key: list, pos: list) -> Iterator[pa.RecordBatch]:
-    """Rows of one batch, with what repeats within the batch marked (n = 2) and all but one of those salted."""
-    h, h2, key, pos = (np.concatenate(x) if x else np.zeros(0, np.int64) for x in (h, h2, key, pos))
-    if not len(h):
+def _rows(found: list[tuple]) -> Iterator[pa.RecordBatch]:
+    """Rows of one batch from (h, h2, key, pos, n) arrays, with what repeats within the batch marked.
+
+    Equal hashes in a batch get n = 2 (known to repeat), and all but one of them a salt.
+    """
+    if not found:
         return
+    h, h2, key, pos, n = (np.concatenate(x) for x in zip(*found, strict=True))
     order = np.lexsort((h2, h))
-    h, h2, key, pos = h[order], h2[order], key[order], pos[order]
-    same = np.zeros(len(h), bool)
-    same[1:] = (h[1:] == h[:-1]) & (h2[1:] == h2[:-1])
-    n = np.where(same | np.append(same[1:], False), 2, 1).astype(np.int32)
-    salt = np.where(same, 1 + ((key ^ pos) & 0xFFFF), 0).astype(np.int32)
-    # Back to document order, in which the rows compress well.
-    order = np.argsort(order, kind="stable")
-    columns = (h.view(np.int64), h2.view(np.int64), salt, key, pos.astype(np.int32), n)
-    names = ("h", "h2", "salt", "key", "pos", "n")
-    yield pa.RecordBatch.from_arrays([pa.array(x[order]) for x in columns], list(names))
+    same = np.zeros(len(h) + 1, bool)
+    same[1:-1] = (h[order][1:] == h[order][:-1]) & (h2[order][1:] == h2[order][:-1])
+    twice, again = np.zeros(len(h), bool), np.zeros(len(h), bool)
+    twice[order], again[order] = same[1:] | same[:-1], same[:-1]
+    columns = (
+        np.where(again, 1 + ((key ^ pos) & 0xFFFF), 0).astype(np.int32),
+        np.where(twice, 2, n).astype(np.int32),
+        key,
+        pos.astype(np.int64) | h2.astype(np.int64) << 32,
+        h.view(np.int64),
+    )
+    yield pa.RecordBatch.from_arrays([pa.array(x) for x in columns], ["salt", "n", "key", "at", "h"])
 
 
 def anchor_rows(window: int):
@@ -72,46 +79,52 @@ def anchor_rows(window: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             keys = batch.column("key").to_numpy()
-            h, key, pos = [], [], []
+            found = []
             for t in texts(batch.column("text")):
                 counts = np.diff(t.first)
                 where = _roll1.windows(_roll1.prefix(_hash1(t.data, t.starts, t.ends)), size)
                 doc = np.repeat(np.arange(len(counts)), counts)[: len(where)]
                 at = np.arange(len(where)) - t.first[doc]
                 use = (counts[doc] >= window) & (at <= counts[doc] - size) & cover[at % PERIOD]
-                h.append(mixed(where[use]))
-                pos.append(at[use])
-                key.append(keys[t.rows][doc[use]])
-            yield from _rows(h, [np.zeros(len(x), np.uint64) for x in h], key, pos)
+                h = mixed(where[use]) >> np.uint64(16)
+                none = np.zeros(len(h), np.int32)
+                found.append((h, none, keys[t.rows][doc[use]], at[use], none + 1))
+            yield from _rows(found)
 
     return run
 
 
 def window_rows(window: int):
-    """Whole windows around the anchors in ``at`` (positions of a document's repeating anchors)."""
+    """Whole windows around the anchors in ``at`` (positions of a document's repeating anchors).
+
+    Rows come sorted by key.  Of neighbouring rows with one key, which are
+    copies of one text, the first answers for all, with n = 2.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            keys, found = batch.column("key").to_numpy(), batch.column("at")
-            h, h2, key, pos = [], [], [], []
+            keys, anchors = batch.column("key").to_numpy(), batch.column("at")
+            copy = np.append(False, keys[1:] == keys[:-1])
+            times = np.where(np.append(copy[1:], False), 2, 1).astype(np.int32)
+            found = []
             for t in texts(batch.column("text")):
                 counts = np.diff(t.first)
                 step = np.zeros(len(t.starts) + 1, np.int32)
                 for k, row in enumerate(range(t.rows.start, t.rows.stop)):
-                    if found[row].is_valid and counts[k] >= window:
-                        at = found[row].values.to_numpy()
+                    if anchors[row].is_valid and counts[k] >= window and not copy[row]:
+                        at = anchors[row].values.to_numpy()
                         np.add.at(step, t.first[k] + np.maximum(at - PERIOD + 1, 0), 1)
                         np.add.at(step, t.first[k] + np.minimum(at, counts[k] - window) + 1, -1)
                 starts = np.flatnonzero(np.cumsum(step[:-1]) > 0)
                 if not len(starts):
                     continue
-                for hasher, roll, out in ((_hash1, _roll1, h), (_hash2, _roll2, h2)):
-                    prefix = roll.prefix(hasher(t.data, t.starts, t.ends))
-                    out.append(mixed(roll.runs(prefix, starts, starts + window)))
+                h, h2 = (
+                    mixed(roll.runs(roll.prefix(hasher(t.data, t.starts, t.ends)), starts, starts + window))
+                    for hasher, roll in ((_hash1, _roll1), (_hash2, _roll2))
+                )
                 doc = np.searchsorted(t.first, starts, "right") - 1
-                pos.append(starts - t.first[doc])
-                key.append(keys[t.rows][doc])
-            yield from _rows(h, h2, key, pos)
+                found.append((h, h2 >> np.uint64(33), keys[t.rows][doc], starts - t.first[doc], times[t.rows][doc]))
+            yield from _rows(found)
 
     return run
 
@@ -162,18 +175,20 @@ def _kept(window: int):
 
 def _repeating(rows: DataFrame) -> DataFrame:
     """Positions (array ``at`` per document key) of the rows whose hash occurs twice or more."""
-    group = Window.partitionBy("h", "h2", "salt")
+    group = Window.partitionBy("h", "salt", "h2")
     return (
-        rows.withColumn("total", F.sum("n").over(group))
+        rows.repartition("h", "salt")
+        .withColumn("h2", F.expr("at >> 32"))
+        .withColumn("total", F.sum("n").over(group))
         .where("total >= 2")
         .groupBy("key")
-        .agg(F.collect_set("pos").alias("at"))
+        .agg(F.collect_set(F.expr("int(at & 4294967295)")).alias("at"))
     )
 
 
 def keyed(docs: DataFrame) -> DataFrame:
     return docs.select(
-        F.col("doc_id").cast("long").alias("doc_id"), "text", F.xxhash64("doc_id", "text").alias("key")
+        F.col("doc_id").cast("long").alias("doc_id"), "text", F.xxhash64("text").alias("key")
     )
 
 
@@ -184,9 +199,9 @@ def remove_repeats(docs: DataFrame, window: int = WINDOW) -> DataFrame:
     ready(docs.sparkSession)
     rows = keyed(docs)
     anchors = _repeating(rows.select("key", "text").mapInArrow(anchor_rows(window), ROWS))
-    near = rows.join(anchors, "key", "left").select("key", "text", "at")
+    near = rows.join(anchors, "key", "left")
     repeats = _repeating(near.mapInArrow(window_rows(window), ROWS))
-    return rows.join(repeats, "key", "left").select("doc_id", "text", "at").mapInArrow(
+    return rows.join(repeats, "key", "left").mapInArrow(
         _kept(window), "doc_id long, n_words long, n_removed long, kept binary"
     )
 
