@@ -91,22 +91,21 @@ def _postings(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """
     nodes: set[int] = set()
     sent: dict[int, int] = {}
-    for batch in batches:
+    for t in (t for batch in batches for t in texts(batch.column("text"), lower=True)):
         parts, sizes, ids, ns = [], [], [], []
-        for t in texts(batch.column("text"), lower=True):
-            for s in shingle_sets(t):
-                n = len(s)
-                if not n:
-                    continue
-                node = _node(s)
-                if node in nodes:
-                    continue
-                nodes.add(node)
-                need = -(-PART * n // WHOLE)
-                parts.append(s[: n - need + min(EXTEND, need)] >> np.uint64(16))
-                sizes.append(len(parts[-1]))
-                ids.append(node)
-                ns.append(n)
+        for s in shingle_sets(t):
+            n = len(s)
+            if not n:
+                continue
+            node = _node(s)
+            if node in nodes:
+                continue
+            nodes.add(node)
+            need = -(-PART * n // WHOLE)
+            parts.append(s[: n - need + min(EXTEND, need)] >> np.uint64(16))
+            sizes.append(len(parts[-1]))
+            ids.append(node)
+            ns.append(n)
         if len(nodes) > 1 << 20:
             nodes.clear()
             sent.clear()
@@ -134,7 +133,7 @@ def _postings(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def _verified(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
+    for batch in (b.slice(at, 512) for b in batches for at in range(0, b.num_rows, 512)):
         sides = ([], [])
         for name, out in zip(("text_a", "text_b"), sides, strict=True):
             for t in texts(batch.column(name), lower=True):

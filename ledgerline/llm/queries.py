@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from ledgerline.llm import ngram_join, packing, substring_dedup
+from ledgerline.llm import ngram_join, packing, substring_dedup, token_store, warc
 from ledgerline.llm.common import table
 
 
@@ -14,10 +14,18 @@ def op1_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return substring_dedup.digests(table(spark, sf_dir, "documents"))
 
 
+def op6_token_store(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_store.digests(table(spark, sf_dir, "documents"))
+
+
 def op7_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ngram_join.join_components(table(spark, sf_dir, "documents")).drop("node")
 
 
+def op9_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return warc.round_trip(table(spark, sf_dir, "pages"))
+
+
 def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.digests(table(spark, sf_dir, "documents"))
 
