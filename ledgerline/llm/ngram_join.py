@@ -10,9 +10,11 @@ the prefixes are extended to ``m = EXTEND`` (fewer in small sets).
   sizes, or the count of shared tokens up to the last one, rule it out.
 * Frequent tokens: a pair that shares no rare token shares ``m`` frequent ones,
   so only sets with that many frequent tokens are looked at.  Near copies of
-  one text are the usual case; they are first tied to one set of each list.
-  What is not yet in one component is found by the lists' remaining tokens:
-  pairs of tokens as keys where a set has few, single ones where it has many.
+  one text are the usual case: each set is first tied to the plainest set of
+  its lists.  For what is then not in one component, the sets' whole token
+  lists are ordered by their frequency among these sets, rarest first, and the
+  prefixes of that order are indexed: combinations of two tokens where a set
+  has few tokens that others have too, single tokens where it has many.
 
 Candidates are verified by exact intersection of the whole sets.  Documents
 with equal sets are one node throughout (a 64-bit hash of the set), so copies
@@ -42,11 +44,11 @@ SHINGLE = 5
 #: Similarity as a fraction of whole numbers.
 PART, WHOLE = 3, 4
 #: Sets that may have a token in their prefix before it counts as frequent.
-RARE = 64
+RARE = 16
 #: Tokens that similar sets must share in their extended prefixes.
 EXTEND = 16
 #: A set with so many tokens left to pair is indexed by single tokens.
-FEW = 12
+FEW = 40
 #: Rows of 16 bytes that are broadcast at most; beyond, the texts are shuffled.
 BROADCAST_ROWS = 1 << 20
 
@@ -78,8 +80,8 @@ def _signatures(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 n.append(len(s))
                 node.append(_node(s) if len(s) else None)
         yield pa.RecordBatch.from_arrays(
-            [batch.column("doc_id"), batch.column("key"), pa.array(n, pa.int64()), pa.array(node, pa.int64())],
-            ["doc_id", "key", "n", "node"],
+            [*(batch.column(c) for c in ("doc_id", "key", "row")), pa.array(n, pa.int64()), pa.array(node, pa.int64())],
+            ["doc_id", "key", "row", "n", "node"],
         )
 
 
@@ -150,20 +152,25 @@ def _similar_sizes(x: str, y: str) -> str:
     return f"{WHOLE} * least({x}, {y}) >= {PART} * greatest({x}, {y})"
 
 
-def verify(edges: DataFrame, docs: DataFrame, signatures: DataFrame) -> DataFrame:
-    """The candidate ``edges`` (a, b: nodes) whose whole sets reach the similarity."""
-    wanted = edges.select(F.explode(F.array("a", "b")).alias("node")).distinct()
+def whole_texts(wanted: DataFrame, docs: DataFrame, signatures: DataFrame) -> DataFrame:
+    """node and text (of one document) for the wanted nodes."""
     keys = stored(
         signatures.join(wanted, "node", "left_semi").groupBy("node").agg(F.min("key").alias("key")), "join-wanted"
     )
     small = keys.count() <= BROADCAST_ROWS
     # Copies of a text combine before the shuffle.
-    whole = (
+    return (
         docs.select("text", F.xxhash64("text").alias("key"))
         .join(F.broadcast(keys) if small else keys, "key")
         .groupBy("node")
         .agg(F.first("text").alias("text"))
     )
+
+
+def verify(edges: DataFrame, docs: DataFrame, signatures: DataFrame) -> DataFrame:
+    """The candidate ``edges`` (a, b: nodes) whose whole sets reach the similarity."""
+    ends = edges.select(F.col("a").alias("node")).union(edges.select(F.col("b").alias("node"))).distinct()
+    whole = whole_texts(ends, docs, signatures)
     pairs = edges.join(whole.select(F.col("node").alias("a"), F.col("text").alias("text_a")), "a").join(
         whole.select(F.col("node").alias("b"), F.col("text").alias("text_b")), "b"
     )
@@ -187,7 +194,7 @@ def _rare_pairs(lists: DataFrame, frequent: DataFrame) -> DataFrame:
             f"{PART + WHOLE} * (c + least(coalesce(fa, 0), coalesce(fb, 0)) + least(na - ra - 1, nb - rb - 1))"
             f" >= {PART} * (na + nb)"
         )
-        .select("a", "b")
+        .select("a", "b", "c")
     )
 
 
@@ -205,56 +212,86 @@ def _enough(rows: DataFrame) -> DataFrame:
 
 
 def _stars(rows: DataFrame) -> DataFrame:
-    """For every set with frequent tokens, the two sets it shares most lists with among the lists' first and last."""
+    """For every set with frequent tokens, the plainest set (most of its tokens frequent) of most of its lists."""
     rows = rows.withColumn("class", F.floor(F.log("n") / F.log(F.lit(WHOLE / PART))))
-    ends = rows.groupBy("token", "class").agg(F.min("node").alias("low"), F.max("node").alias("high"))
-    near = rows.join(ends, ["token", "class"])
-    found = None
-    for end in ("low", "high"):
-        best = (
-            near.where(F.col("node") != F.col(end))
-            .groupBy("node", end)
-            .agg(F.count(F.lit(1)).alias("c"))
-            .groupBy("node")
-            .agg(F.max_by(end, F.struct("c", end)).alias("other"))
-        )
-        found = best if found is None else found.union(best)
-    return found.select(F.least("node", "other").alias("a"), F.greatest("node", "other").alias("b"))
+    plainest = rows.groupBy("token", "class").agg(F.max_by("node", F.struct(F.expr("f / n"), "node")).alias("hub"))
+    near = (
+        rows.join(plainest, ["token", "class"])
+        .where("node <> hub")
+        .groupBy("node", "hub")
+        .agg(F.count(F.lit(1)).alias("c"))
+        .groupBy("node")
+        .agg(F.max_by("hub", F.struct("c", "hub")).alias("other"))
+    )
+    return near.select(F.least("node", "other").alias("a"), F.greatest("node", "other").alias("b"))
+
 
+def _closest(pairs: DataFrame) -> DataFrame:
+    """For every set of the candidate pairs, the partner it shares most tokens with."""
+    both = pairs.select(F.col("a").alias("node"), F.col("b").alias("other"), "c").union(pairs.select("b", "a", "c"))
+    best = both.groupBy("node").agg(F.max_by("other", F.struct("c", "other")).alias("other"))
+    return best.select(F.least("node", "other").alias("a"), F.greatest("node", "other").alias("b"))
 
-def _combinations(rows: DataFrame) -> DataFrame:
-    """Pairs of sets in different components by their frequent tokens: combinations of two, or single ones of many.
 
-    A pair shares ``need`` of its ``f`` tokens, so two of the first
-    ``f - need + 2`` and one of the first ``f - need + 1``.
+def _whole_sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        nodes = batch.column("node").to_numpy()
+        for t in texts(batch.column("text"), lower=True):
+            sets = list(shingle_sets(t))
+            n = np.array([len(s) for s in sets], np.int32)
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(np.repeat(nodes[t.rows], n)), pa.array(np.repeat(n, n)), pa.array(np.concatenate(sets).view(np.int64))],
+                ["node", "n", "token"],
+            )
+
+
+def _combinations(tokens: DataFrame, roots: DataFrame) -> DataFrame:
+    """Pairs of sets in different components, given all tokens of the sets (node, n, token).
+
+    Tokens are ordered by how many of these sets have them, rarest first.  The
+    first two tokens that sets of overlap t share are at places up to n - t and
+    n - t + 1 of either; t is 3/7 of both sizes, 3/4 of one's own at least.
     """
-    order = Window.partitionBy("node").orderBy("token")
-    first = (
-        rows.withColumn("place", F.row_number().over(order))
-        .withColumn("few", F.expr(f"f - need + 2 <= {FEW}"))
-        .where("place <= f - need + 2")
-    )
-    few = first.where("few").groupBy("node", "n", "root").agg(F.sort_array(F.collect_list("token")).alias("tokens"))
-    two = few.select(
+    often = tokens.groupBy("token").agg(F.count(F.lit(1)).alias("sets")).where("sets > 1")
+    order = Window.partitionBy("node").orderBy("sets", "token")
+    shared = tokens.join(often, "token").withColumn("own", F.count(F.lit(1)).over(Window.partitionBy("node")))
+    first = _rooted(
+        # Tokens that no other set has come first; they are counted, not listed.
+        shared.withColumn("place", F.row_number().over(order) - 1 + F.col("n") - F.col("own")).where(
+            f"place <= n - ceil({PART} * n / {WHOLE}) + 1"
+        ),
+        roots, "node", "root",
+    ).withColumn("few", F.count(F.lit(1)).over(Window.partitionBy("node")) <= FEW)
+
+    lists = first.where("few").groupBy("node", "n", "root").agg(F.sort_array(F.collect_list(F.struct("place", "token"))).alias("l"))
+    two = lists.select(
         "node", "n", "root",
         F.explode(
             F.expr(
-                "flatten(transform(tokens, (x, i) -> transform(filter(tokens, (y, j) -> j > i),"
-                " y -> struct(x as t1, y as t2))))"
+                "flatten(transform(l, (x, i) -> transform(slice(l, i + 2, size(l)),"
+                " y -> struct(x.token as t1, y.token as t2, x.place as p1, y.place as p2))))"
             )
         ).alias("t"),
-    ).select("node", "n", "root", "t.t1", "t.t2")
-    single = first.where("place <= f - need + 1").select("token", "node", "n", "root", "few")
-
-    def side(rows: DataFrame, s: str, *keys: str) -> DataFrame:
-        return rows.select(*keys, F.col("node").alias(s), F.col("n").alias(f"n{s}"), F.col("root").alias(f"r{s}"))
-
-    apart = f"ra <> rb and {_similar_sizes('na', 'nb')}"
-    by_two = side(two, "a", "t1", "t2").join(side(two, "b", "t1", "t2"), ["t1", "t2"]).where(f"a < b and {apart}")
-    by_one = side(single.where("not few"), "a", "token").join(side(single, "b", "token"), "token").where(apart)
+    ).select("node", "n", "root", "t.*")
+    one = first.select("node", "n", "root", "few", F.col("token").alias("t1"), F.col("place").alias("p1"))
+
+    def sides(x: DataFrame, y: DataFrame, *keys: str) -> DataFrame:
+        """x joined with y on the keys that sets of more than one component have."""
+        apart = x.groupBy(*keys).agg(F.min("root").alias("r0"), F.max("root").alias("r1")).where("r0 <> r1").select(*keys)
+        if x is not y:
+            apart = y.groupBy(*keys).agg(F.min("root").alias("r0"), F.max("root").alias("r1")).where("r0 <> r1").select(*keys)
+        x, y = (z.join(apart, list(keys), "left_semi") for z in (x, y))
+        for name, z in (("a", x), ("b", y)):
+            z = z.select(*keys, *(F.col(c).alias(c + name) for c in ("node", "n", "root", "p1", *(["p2"] if "t2" in keys else []))))
+            x, y = (z, y) if name == "a" else (x, z)
+        return x.join(y, list(keys)).withColumn("least", F.expr(f"cast(ceil({PART} * (na + nb) / {PART + WHOLE}) as int)"))
+
+    apart = f"roota <> rootb and {_similar_sizes('na', 'nb')} and p1a <= na - least and p1b <= nb - least"
+    by_two = sides(two, two, "t1", "t2").where(f"nodea < nodeb and {apart} and p2a <= na - least + 1 and p2b <= nb - least + 1")
+    by_one = sides(one.where("not few"), one, "t1").where(apart)
     return (
-        by_two.select("a", "b")
-        .union(by_one.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")))
+        by_two.select("nodea", "nodeb").union(by_one.select("nodea", "nodeb"))
+        .select(F.least("nodea", "nodeb").alias("a"), F.greatest("nodea", "nodeb").alias("b"))
         .distinct()
     )
 
@@ -265,11 +302,14 @@ def _rooted(rows: DataFrame, roots: DataFrame, node: str, out: str) -> DataFrame
 
 
 def join_components(docs: DataFrame) -> DataFrame:
-    """doc_id, n_shingles, component_id (smallest doc_id reachable by links) and node (equal for equal sets)."""
+    """doc_id, n_shingles, component_id (smallest doc_id reachable by links), root (equal within a component,
+    null for an empty set) and row, a 64-bit hash of the document's id and text."""
     ready(docs.sparkSession)
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
     signatures = stored(
-        docs.withColumn("key", F.xxhash64("text")).mapInArrow(_signatures, "doc_id long, key long, n long, node long"),
+        docs.withColumn("key", F.xxhash64("text"))
+        .withColumn("row", F.xxhash64("doc_id", "text"))
+        .mapInArrow(_signatures, "doc_id long, key long, row long, n long, node long"),
         "join-signatures",
     )
     of_token = Window.partitionBy("token", "salt")
@@ -289,27 +329,28 @@ def join_components(docs: DataFrame) -> DataFrame:
     close = stored(_rare_pairs(rare, often), "join-candidates")
     often = stored(_enough(often), "join-frequent")
 
-    lowest = close.groupBy("a").agg(F.min("b").alias("b")).union(
-        close.groupBy("b").agg(F.min("a").alias("a")).select("a", "b")
-    )
-    first = stored(lowest.union(_stars(often)).distinct(), "join-first")
+    first = stored(_closest(close).union(_stars(often)).distinct(), "join-first")
     links = stored(verify(first, docs, signatures), "join-links")
     roots = components(links, "join-components")
 
     apart = _rooted(_rooted(close, roots, "a", "ra"), roots, "b", "rb").where("ra <> rb").select("a", "b")
     still = _rooted(often.select("token", "node", "n"), roots, "node", "root")
     mixed_lists = still.groupBy("token").agg(F.min("root").alias("r0"), F.max("root").alias("r1")).where("r0 <> r1")
-    still = _enough(still.join(mixed_lists.select("token"), "token", "left_semi"))
-    rest = apart.union(_combinations(still)).distinct().join(first, ["a", "b"], "left_anti")
+    still = _enough(still.join(mixed_lists.select("token"), "token", "left_semi")).select("node").distinct()
+    tokens = stored(
+        whole_texts(still, docs, signatures).mapInArrow(_whole_sets, "node long, n int, token long"), "join-tokens"
+    )
+    rest = apart.union(_combinations(tokens, roots)).distinct().join(first, ["a", "b"], "left_anti")
     more = stored(verify(stored(rest, "join-rest"), docs, signatures), "join-more")
     if more.limit(1).count():
         roots = components(roots.select(F.col("node").alias("a"), F.col("root").alias("b")).union(more), "join-final")
 
-    rooted = _rooted(signatures.select("doc_id", "n", "node"), roots, "node", "root")
+    rooted = _rooted(signatures.select("doc_id", "n", "node", "row"), roots, "node", "root")
     smallest = rooted.where("node is not null").groupBy("root").agg(F.min("doc_id").alias("low"))
     return rooted.join(smallest, "root", "left").select(
         "doc_id",
         F.col("n").alias("n_shingles"),
         F.when(F.col("node").isNull(), F.col("doc_id")).otherwise(F.col("low")).alias("component_id"),
-        "node",
+        "root",
+        "row",
     )

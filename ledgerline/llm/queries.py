@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from ledgerline.llm import ngram_join, packing, substring_dedup, token_store, warc
+from ledgerline.llm import decontaminate, ngram_join, packing, quality, substring_dedup, token_store, warc
 from ledgerline.llm.common import table
 
 
@@ -14,12 +14,20 @@ def op1_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return substring_dedup.digests(table(spark, sf_dir, "documents"))
 
 
+def op3_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontaminate.find(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")).drop("row")
+
+
+def op5_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.verdicts(table(spark, sf_dir, "documents"))
+
+
 def op6_token_store(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_store.digests(table(spark, sf_dir, "documents"))
 
 
 def op7_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return ngram_join.join_components(table(spark, sf_dir, "documents")).drop("node")
+    return ngram_join.join_components(table(spark, sf_dir, "documents")).drop("root", "row")
 
 
 def op9_warc(spark: SparkSession, sf_dir: str) -> DataFrame:

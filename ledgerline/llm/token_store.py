@@ -13,7 +13,7 @@ the planes answer, without unpacking the shard,
 File layout, little-endian: ``b"WVM1"``, header length (u32), a JSON header
 (``n``, ``bits``, ``docs``, plane and block counts' sizes), doc_ids (i64, with
 a validity byte each), token bounds (u64, docs + 1), then for each plane its
-zeros (u64), its bits and its block counts (u32), each compressed by zlib.
+zeros (u64), its bits and its block counts (u32), each compressed by zstd.
 
 Spark deals the documents to shards by ranges of doc_id; a task writes each
 of its shards to the shared folder under its range's number.  ``start`` comes
@@ -28,12 +28,12 @@ from __future__ import annotations
 
 import json
 import struct
-import zlib
 from collections.abc import Iterator
 from functools import partial
 
 import numpy as np
 import pyarrow as pa
+import zstandard
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -161,7 +161,8 @@ def write_shard(path: str, doc_ids: list, bounds: np.ndarray, ids: np.ndarray) -
     for plane, zeros, counts in zip(matrix.planes, matrix.zeros, matrix.counts, strict=True):
         parts += [struct.pack("<Q", zeros), plane.tobytes(), counts.astype("<u4").tobytes()]
     # The planes are close to random bits: the fastest level gets what there is to get.
-    packed = [zlib.compress(x, 1) for x in parts]
+    packer = zstandard.ZstdCompressor(level=1)
+    packed = [packer.compress(x) for x in parts]
     header = json.dumps({"n": matrix.n, "bits": matrix.bits, "docs": len(doc_ids), "sizes": [len(x) for x in packed]}).encode()
     with files.written(path) as out:
         out.write(MAGIC + struct.pack("<I", len(header)) + header)
@@ -176,9 +177,9 @@ def read_shard(path: str) -> tuple[list, np.ndarray, WaveletMatrix]:
         raise ValueError(f"{path} is no shard")
     at = 8 + struct.unpack("<I", raw[4:8])[0]
     header = json.loads(bytes(raw[8:at]))
-    parts = []
+    parts, unpacker = [], zstandard.ZstdDecompressor()
     for size in header["sizes"]:
-        parts.append(zlib.decompress(raw[at : at + size]))
+        parts.append(unpacker.decompress(raw[at : at + size]))
         at += size
     known = np.frombuffer(parts[1], np.uint8)
     doc_ids = [d if k else None for d, k in zip(np.frombuffer(parts[0], "<i8").tolist(), known.tolist(), strict=True)]
@@ -259,7 +260,8 @@ def _read_docs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def read(shards: DataFrame) -> DataFrame:
     """doc_id, start, n_tokens and ids (little-endian unsigned 32-bit) of every document in the shards' files."""
-    dealt = shards.select("file", "base", "shard").repartition("shard")
+    # A task per few shards, however few bytes their list has.
+    dealt = shards.select("file", "base", "shard").repartition(max(1, shards.count()), "shard")
     return dealt.mapInArrow(_read_docs, "doc_id long, start long, n_tokens long, ids binary")
 
 

@@ -1,7 +1,10 @@
 """Token ids of whole texts with the word-level BPE vocabulary, by its own library.
 
 The vocabulary's pre-tokenizer drops white space and never joins across it, so
-a text's ids are its words' ids one after another.  A worker keeps the ids of
+a text's ids are its words' ids one after another.  It also lower-cases, and
+parts a run of punctuation from the letter or digit before it, so words are
+looked up with A-Z lower-cased and short runs of ASCII punctuation at their
+ends taken off as words of their own.  A worker keeps the ids of
 words it has met in a direct-mapped table (a fixed number of slots by the
 word's 64-bit hash, later words replace earlier ones), looks a whole slice of
 text up at once, and encodes only the words it doesn't find.  The table's size
@@ -15,12 +18,34 @@ from functools import lru_cache
 
 import numpy as np
 
-from ledgerline.llm.words import Texts, WordHasher
+from ledgerline.llm.words import LOWER, Texts, WordHasher
 
 #: Slots of the word table, and ids kept of a word; longer words are encoded each time they come.
-SLOTS_LOG2 = 20
+SLOTS_LOG2 = 21
 INLINE = 8
 
+_TAIL = np.zeros(256, bool)
+_TAIL[list(b"!#$%&*+,-./:;=?@^_`~()[]{}\"|")] = True
+_PLAIN = np.zeros(256, bool)
+_PLAIN[list(b"0123456789abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZ")] = True
+
+
+def parts(t: Texts) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """(data, starts, ends, first) with words lower-cased and parted from up to three marks at their ends."""
+    if not len(t.starts):
+        return t.data, t.starts, t.ends, t.first
+    # The vocabulary's special tokens are matched as they are written.
+    data = t.data if b"<|" in t.data.tobytes() else LOWER[t.data]
+    core = t.ends.copy()
+    for _ in range(3):
+        core[_TAIL[data[core - 1]] & (core - 1 > t.starts)] -= 1
+    cut = (core < t.ends) & _PLAIN[data[core - 1]]
+    at = np.concatenate(([0], np.cumsum(1 + cut)))
+    starts, ends = np.empty(at[-1], np.int64), np.empty(at[-1], np.int64)
+    starts[at[:-1]], ends[at[1:] - 1] = t.starts, t.ends
+    ends[at[:-1][cut]] = starts[at[1:][cut] - 1] = core[cut]
+    return data, starts, ends, at[t.first]
+
 
 def default_vocabulary() -> str:
     import public_tokenizers
@@ -40,7 +65,8 @@ class WordTokenizer:
         size = 1 << SLOTS_LOG2
         self.keys = np.zeros(size, np.uint64)
         self.lens = np.zeros(size, np.uint8)
-        self.ids = np.zeros((size, INLINE), np.uint32)
+        small = self.inner.get_vocab_size(with_added_tokens=True) <= 1 << 16
+        self.ids = np.zeros((size, INLINE), np.uint16 if small else np.uint32)
         mark = self.inner.encode("\x01", add_special_tokens=False).ids
         self.mark = mark[0] if len(mark) == 1 else None
 
@@ -63,10 +89,11 @@ class WordTokenizer:
 
     def __call__(self, t: Texts) -> tuple[np.ndarray, np.ndarray]:
         """(ids of all texts, bounds): text k has ids[bounds[k]:bounds[k + 1]]."""
-        n = len(t.starts)
+        data, word_starts, word_ends, first = parts(t)
+        n = len(word_starts)
         if not n:
             return np.zeros(0, np.uint32), np.zeros(len(t.first), np.int64)
-        h = self.hasher(t.data, t.starts, t.ends)
+        h = self.hasher(data, word_starts, word_ends)
         h[h == 0] = 1
         slot = (h >> np.uint64(64 - SLOTS_LOG2)).astype(np.int64)
         lens = np.zeros(n, np.int64)
@@ -76,8 +103,8 @@ class WordTokenizer:
         if len(new):
             _, at, back = np.unique(h[new], return_index=True, return_inverse=True)
             where = new[at]
-            raw = t.data.tobytes()
-            words = [raw[s:e].decode("utf-8", "replace") for s, e in zip(t.starts[where].tolist(), t.ends[where].tolist(), strict=True)]
+            raw = data.tobytes()
+            words = [raw[s:e].decode("utf-8", "replace") for s, e in zip(word_starts[where].tolist(), word_ends[where].tolist(), strict=True)]
             got, sizes = self.encode_words(words)
             begins = np.cumsum(sizes) - sizes
             lens[new] = sizes[back]
@@ -105,7 +132,7 @@ class WordTokenizer:
             self.keys[cells[last]] = h[where[keep[last]]]
             self.lens[cells[last]] = sizes[keep[last]]
             self.ids[cells[last]] = rows[last]
-        return out, np.concatenate(([0], ends))[t.first]
+        return out, np.concatenate(([0], ends))[first]
 
 
 @lru_cache(maxsize=2)

@@ -103,8 +103,8 @@ class Texts:
 
 _SPACE = np.zeros(256, bool)
 _SPACE[[0x20, 0x09, 0x0A, 0x0B, 0x0C, 0x0D]] = True
-_LOWER = np.arange(256, dtype=np.uint8)
-_LOWER[65:91] += 32
+LOWER = np.arange(256, dtype=np.uint8)
+LOWER[65:91] += 32
 
 
 def texts(column: pa.Array | pa.ChunkedArray, lower: bool = False, slice_bytes: int = SLICE_BYTES) -> Iterator[Texts]:
@@ -126,7 +126,7 @@ def texts(column: pa.Array | pa.ChunkedArray, lower: bool = False, slice_bytes:
         stop = min(stop, len(column))
         data = whole[offsets[row] : offsets[stop]]
         if lower:
-            data = _LOWER[data]
+            data = LOWER[data]
         bounds = offsets[row : stop + 1] - offsets[row]
         word = np.zeros(len(data) + 2, bool)
         word[1:-1] = ~_SPACE[data]

@@ -16,7 +16,8 @@ def corpus(seed=1):
     chars = "abcdEFGÉßñ'’0123<|>!?…😀́  Σς"
     word = lambda: "".join(rng.choice(chars) for _ in range(rng.randrange(1, 14)))
     docs = [rng.choice([" ", "\n", "\t", "\r\n", "\x0b", "\x0c", "  "]).join(word() for _ in range(rng.randrange(0, 200))) for _ in range(60)]
-    docs += [None, "", "  ", "\x01 a\x01b", "x<|endoftext|>y <|startoftext|>", "don't we'll I'M", "q" * 3000, "the cat " * 9000, " lead", "́a b́"]
+    docs += [None, "", "  ", "\x01 a\x01b", "x<|endoftext|>y <|startoftext|>", "don't we'll I'M", "q" * 3000, "the cat " * 9000, " lead", "́a b́",
+             "End. END!! e... f,,,, É, é.a b'. c,' 'd'. <|ENDOFTEXT|> 12, 1.5 a-b- x|> x<| (y) ß!!"]
     return docs + docs[:5]
 
 
