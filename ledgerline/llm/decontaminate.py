@@ -1,9 +1,10 @@
 """Benchmark items inside documents, by SimHash windows of the items' size.
 
 Every window of a document that has an item's size gets a 64-bit SimHash of
-its words (lower-cased A-Z, every word one vote per bit).  Sizes are taken to
-the next lower step of a grid (ratio 1.25 at most); an item is represented by
-the windows at its head and its tail.  Fingerprints within ``RADIUS`` bits are
+its words (lower-cased A-Z, every word one vote per bit).  Window sizes are the
+steps of a grid (ratio 1.25 at most) up to seven eighths of an item's size; an
+item is represented by the windows at its head and its tail, so a changed word
+at either end leaves one of them as it was.  Fingerprints within ``RADIUS`` bits are
 found by a multi-index: 64 bits in RADIUS + 1 blocks, of which one at least is
 equal, so every pair within the radius is met.  Candidates are verified by the
 weighted Jaccard similarity of 5-word shingles, counted with repetition, of the
@@ -35,7 +36,7 @@ from ledgerline.llm.words import Roller, Texts, WordHasher, mixed, texts
 
 SHINGLE = 5
 SIMILARITY = 0.75
-RADIUS = 6
+RADIUS = 7
 #: Text of a block of the benchmark, in bytes.
 BLOCK_BYTES = 8 << 20
 #: Words whose sums are held at a time.
@@ -118,7 +119,7 @@ class Benchmark:
                 self.sizes.append(size)
                 self.shingles.append(np.unique(_shingles(prefix, a, b), return_counts=True))
                 if size:
-                    step = grid(size)
+                    step = grid(size - size // 8)
                     for shift in {0, size - step}:
                         print_ = simhashes(h[a + shift : a + shift + step], step)[0]
                         classes.setdefault(step, []).append((k, shift, print_))

@@ -3,7 +3,8 @@
 Method: token-combination prefixes.  A token is a shingle's hash, and a
 document's tokens are ordered by hash.  Two sets of similarity 0.75 or more
 share at least ``m`` tokens among each one's first ``n - ceil(0.75 n) + m``;
-the prefixes are extended to ``m = EXTEND`` (fewer in small sets).
+the prefixes are extended to ``m = EXTEND`` or a sixteenth of the set, whichever
+is more (fewer in small sets).
 
 * Rare tokens (at most ``RARE`` sets have them in their prefix) are indexed
   alone: their lists are short, and every pair in a list is a candidate unless
@@ -45,10 +46,10 @@ SHINGLE = 5
 PART, WHOLE = 3, 4
 #: Sets that may have a token in their prefix before it counts as frequent.
 RARE = 16
-#: Tokens that similar sets must share in their extended prefixes.
-EXTEND = 16
+#: Tokens that similar sets must share in their extended prefixes: EXTEND, or 1 / EXTEND_PART of a larger set.
+EXTEND, EXTEND_PART = 16, 16
 #: A set with so many tokens left to pair is indexed by single tokens.
-FEW = 40
+FEW = 16
 #: Rows of 16 bytes that are broadcast at most; beyond, the texts are shuffled.
 BROADCAST_ROWS = 1 << 20
 
@@ -104,7 +105,7 @@ def _postings(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 continue
             nodes.add(node)
             need = -(-PART * n // WHOLE)
-            parts.append(s[: n - need + min(EXTEND, need)] >> np.uint64(16))
+            parts.append(s[: n - need + min(max(EXTEND, n // EXTEND_PART), need)] >> np.uint64(16))
             sizes.append(len(parts[-1]))
             ids.append(node)
             ns.append(n)
@@ -198,8 +199,9 @@ def _rare_pairs(lists: DataFrame, frequent: DataFrame) -> DataFrame:
     )
 
 
-#: Frequent tokens that similar sets share at least when they share no rare one.
-_NEED = f"least({EXTEND}, ceil({PART} / {WHOLE} * ceil({PART} / {WHOLE} * n)))"
+#: Frequent tokens that similar sets share at least when they share no rare one; least is the smallest partner's size.
+_LEAST = f"ceil({PART} * n / {WHOLE})"
+_NEED = f"least(greatest({EXTEND}, {_LEAST} div {EXTEND_PART}), ceil({PART} * {_LEAST} / {WHOLE}))"
 
 
 def _enough(rows: DataFrame) -> DataFrame:

@@ -1,0 +1,58 @@
+import hashlib
+
+from ledgerline.llm import secrets as sc
+
+KEY = hashlib.sha1(b"a").hexdigest()
+OTHER = hashlib.sha1(b"b").hexdigest()
+WORDS = "the service window handler reads every report and sets the status of its module "
+
+
+def docs():
+    return [
+        (1, f'{WORDS} token = "{KEY}" and so on', "x", 0.5),
+        (2, f"{WORDS} see commit {OTHER} for that", "x", 0.5),
+        (3, f"api_key: AKIA{KEY[:16].upper()} {WORDS}", "x", 0.5),
+        (4, f"{WORDS} /usr/lib/service/handler42.so 1234567890123456 windowhandlerreport7", "x", 0.5),
+        (5, None, "x", 0.5),
+        (6, "", "x", 0.5),
+        (7, f"{KEY} " * 2 + "long " * 30_000, "x", 0.5),
+        (8, f'password="{OTHER}",\npassword="{OTHER}",', "x", 0.5),
+        (8, f'password="{OTHER}",\npassword="{OTHER}",', "x", 0.5),
+        (None, f"(token = '{KEY}')", "x", 0.5),
+    ] + [(100 + i, WORDS, "x", 0.5) for i in range(40)]
+
+
+def test_findings_and_redaction(spark):
+    frame = spark.createDataFrame(docs(), "doc_id long, text string, value string, score double").repartition(3)
+    found = sc.scan(frame)
+    rows = found.collect()
+    secret = {(r.doc_id, r.value) for r in rows if r.is_secret}
+    plain = {(r.doc_id, r.value) for r in rows if not r.is_secret}
+    assert {(1, KEY), (3, "AKIA" + KEY[:16].upper()), (8, OTHER), (None, KEY)} <= secret
+    assert {(2, OTHER), (4, "/usr/lib/service/handler42.so"), (4, "1234567890123456"), (4, "windowhandlerreport7")} <= plain
+    assert sum(r.doc_id == 8 for r in rows) == 4 and sum(r.doc_id == 7 for r in rows) == 2
+    clean = sc.redacted(frame, found)
+    assert clean.columns == frame.columns
+    texts = {r.doc_id: r.text for r in clean.collect()}
+    assert texts[1] == docs()[0][1].replace(KEY, "[SECRET]") and texts[8].count("[SECRET]") == 2
+    assert texts[2] == docs()[1][1] and texts[5] is None and texts[6] == "" and clean.count() == frame.count()
+
+
+def test_empty_table(spark):
+    frame = spark.createDataFrame([], "doc_id long, text string")
+    assert sc.report(frame).collect() == []
+
+
+def test_held_out_accuracy_of_the_forest(spark):
+    made = sc.labelled_findings(spark, 6000)
+    words = spark.createDataFrame([(w,) for w in WORDS.split()], "word string")
+    model = sc.train(made.limit(3000), words)
+    rest = sc.described(made.exceptAll(made.limit(3000)), words)
+    right = model.transform(rest).where("prediction = secret").count()
+    assert right >= 0.95 * rest.count()
+
+
+def test_native_plan(spark):
+    frame = spark.createDataFrame(docs(), "doc_id long, text string, value string, score double")
+    plan = sc.report(frame)._jdf.queryExecution().executedPlan().toString()
+    assert "Python" not in plan and "Arrow" not in plan
