@@ -28,6 +28,16 @@ def stored(frame: DataFrame, label: str) -> DataFrame:
     return spark.read.schema(frame.schema).parquet(path)
 
 
+#: Rows that ``joined`` broadcasts at most.
+BROADCAST_ROWS = 200_000
+
+
+def joined(rows: DataFrame, few: DataFrame, on: list[str], how: str, most: int = BROADCAST_ROWS) -> DataFrame:
+    """``rows`` joined with ``few``: by broadcast if that has been counted as ``most`` rows or fewer, else by shuffle."""
+    few = stored(few, "joined")
+    return rows.join(F.broadcast(few) if few.count() <= most else few, on, how)
+
+
 def components(edges: DataFrame, label: str, max_rounds: int = 60) -> DataFrame:
     """Connected components of the undirected ``edges`` (``a``, ``b`` long): rows ``node``, ``root`` (smallest node).
 

@@ -235,15 +235,30 @@ def _closest(pairs: DataFrame) -> DataFrame:
     return best.select(F.least("node", "other").alias("a"), F.greatest("node", "other").alias("b"))
 
 
+def _sketch(s: np.ndarray) -> np.ndarray:
+    """A bitmap of four to eight bits per token, as 64-bit words; a bit is set if any token falls on it."""
+    size = max(256, 1 << (4 * len(s) - 1).bit_length())
+    bits = np.zeros(size, np.uint8)
+    bits[(s & np.uint64(size - 1)).astype(np.int64)] = 1
+    return np.packbits(bits).view(np.int64)
+
+
 def _whole_sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """All tokens of every set; the row of its first token has the set's sketch."""
     for batch in batches:
         nodes = batch.column("node").to_numpy()
         for t in texts(batch.column("text"), lower=True):
             sets = list(shingle_sets(t))
             n = np.array([len(s) for s in sets], np.int32)
+            sketches = [_sketch(s) for s in sets]
+            first = np.cumsum(n) - n
+            sizes = np.zeros(int(n.sum()), np.int32)
+            sizes[first] = [len(x) for x in sketches]
+            offsets = np.concatenate(([0], np.cumsum(sizes))).astype(np.int32)
+            sketch = pa.ListArray.from_arrays(pa.array(offsets), pa.array(np.concatenate(sketches)), mask=pa.array(sizes == 0))
             yield pa.RecordBatch.from_arrays(
-                [pa.array(np.repeat(nodes[t.rows], n)), pa.array(np.repeat(n, n)), pa.array(np.concatenate(sets).view(np.int64))],
-                ["node", "n", "token"],
+                [pa.array(np.repeat(nodes[t.rows], n)), pa.array(np.repeat(n, n)), pa.array(np.concatenate(sets).view(np.int64)), sketch],
+                ["node", "n", "token", "sketch"],
             )
 
 
@@ -253,7 +268,11 @@ def _combinations(tokens: DataFrame, roots: DataFrame) -> DataFrame:
     Tokens are ordered by how many of these sets have them, rarest first.  The
     first two tokens that sets of overlap t share are at places up to n - t and
     n - t + 1 of either; t is 3/7 of both sizes, 3/4 of one's own at least.
+    Bits of one set's sketch that the other's lacks are as many tokens that it
+    lacks, or more; n - t of them are the most that similar sets allow.
     """
+    sketches = tokens.where("sketch is not null").select("node", "sketch")
+    tokens = tokens.drop("sketch")
     often = tokens.groupBy("token").agg(F.count(F.lit(1)).alias("sets")).where("sets > 1")
     order = Window.partitionBy("node").orderBy("sets", "token")
     shared = tokens.join(often, "token").withColumn("own", F.count(F.lit(1)).over(Window.partitionBy("node")))
@@ -263,34 +282,37 @@ def _combinations(tokens: DataFrame, roots: DataFrame) -> DataFrame:
             f"place <= n - ceil({PART} * n / {WHOLE}) + 1"
         ),
         roots, "node", "root",
-    ).withColumn("few", F.count(F.lit(1)).over(Window.partitionBy("node")) <= FEW)
+    ).join(sketches, "node").withColumn("few", F.count(F.lit(1)).over(Window.partitionBy("node")) <= FEW)
 
-    lists = first.where("few").groupBy("node", "n", "root").agg(F.sort_array(F.collect_list(F.struct("place", "token"))).alias("l"))
+    lists = first.where("few").groupBy("node", "n", "root").agg(
+        F.sort_array(F.collect_list(F.struct("place", "token"))).alias("l"), F.first("sketch").alias("sketch")
+    )
     two = lists.select(
-        "node", "n", "root",
+        "node", "n", "root", "sketch",
         F.explode(
             F.expr(
                 "flatten(transform(l, (x, i) -> transform(slice(l, i + 2, size(l)),"
                 " y -> struct(x.token as t1, y.token as t2, x.place as p1, y.place as p2))))"
             )
         ).alias("t"),
-    ).select("node", "n", "root", "t.*")
-    one = first.select("node", "n", "root", "few", F.col("token").alias("t1"), F.col("place").alias("p1"))
+    ).select("node", "n", "root", "sketch", "t.*")
+    one = first.select("node", "n", "root", "few", "sketch", F.col("token").alias("t1"), F.col("place").alias("p1"))
 
     def sides(x: DataFrame, y: DataFrame, *keys: str) -> DataFrame:
-        """x joined with y on the keys that sets of more than one component have."""
-        apart = x.groupBy(*keys).agg(F.min("root").alias("r0"), F.max("root").alias("r1")).where("r0 <> r1").select(*keys)
-        if x is not y:
-            apart = y.groupBy(*keys).agg(F.min("root").alias("r0"), F.max("root").alias("r1")).where("r0 <> r1").select(*keys)
-        x, y = (z.join(apart, list(keys), "left_semi") for z in (x, y))
-        for name, z in (("a", x), ("b", y)):
-            z = z.select(*keys, *(F.col(c).alias(c + name) for c in ("node", "n", "root", "p1", *(["p2"] if "t2" in keys else []))))
+        """x joined with y on the keys."""
+        for name in ("a", "b"):
+            z = x if name == "a" else y
+            z = z.select(*keys, *(F.col(c).alias(c + name) for c in ("node", "n", "root", "sketch", "p1", *(["p2"] if "t2" in keys else []))))
             x, y = (z, y) if name == "a" else (x, z)
         return x.join(y, list(keys)).withColumn("least", F.expr(f"cast(ceil({PART} * (na + nb) / {PART + WHOLE}) as int)"))
 
     apart = f"roota <> rootb and {_similar_sizes('na', 'nb')} and p1a <= na - least and p1b <= nb - least"
-    by_two = sides(two, two, "t1", "t2").where(f"nodea < nodeb and {apart} and p2a <= na - least + 1 and p2b <= nb - least + 1")
-    by_one = sides(one.where("not few"), one, "t1").where(apart)
+    lacks = "aggregate(zip_with(sketch{}, sketch{}, (p, q) -> bit_count(p & ~q)), 0, (s, v) -> s + v)"
+    alike = (
+        f"(size(sketcha) <> size(sketchb) or ({lacks.format('a', 'b')} <= na - least and {lacks.format('b', 'a')} <= nb - least))"
+    )
+    by_two = sides(two, two, "t1", "t2").where(f"nodea < nodeb and {apart} and p2a <= na - least + 1 and p2b <= nb - least + 1 and {alike}")
+    by_one = sides(one.where("not few"), one, "t1").where(f"{apart} and {alike}")
     return (
         by_two.select("nodea", "nodeb").union(by_one.select("nodea", "nodeb"))
         .select(F.least("nodea", "nodeb").alias("a"), F.greatest("nodea", "nodeb").alias("b"))
@@ -340,7 +362,7 @@ def join_components(docs: DataFrame) -> DataFrame:
     mixed_lists = still.groupBy("token").agg(F.min("root").alias("r0"), F.max("root").alias("r1")).where("r0 <> r1")
     still = _enough(still.join(mixed_lists.select("token"), "token", "left_semi")).select("node").distinct()
     tokens = stored(
-        whole_texts(still, docs, signatures).mapInArrow(_whole_sets, "node long, n int, token long"), "join-tokens"
+        whole_texts(still, docs, signatures).mapInArrow(_whole_sets, "node long, n int, token long, sketch array<long>"), "join-tokens"
     )
     rest = apart.union(_combinations(tokens, roots)).distinct().join(first, ["a", "b"], "left_anti")
     more = stored(verify(stored(rest, "join-rest"), docs, signatures), "join-more")

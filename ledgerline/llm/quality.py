@@ -68,9 +68,9 @@ def _covered() -> Column:
 
 
 def measured(docs: DataFrame) -> DataFrame:
-    """The documents' columns ``doc_id`` and ``text``, with the base counts and the lines."""
+    """doc_id, text, the documents' whole rows (``doc``), the base counts and the lines."""
     some = "x -> x <> ''"
-    rows = docs.select("doc_id", "text", F.coalesce("text", F.lit("")).alias("t"))
+    rows = docs.select("doc_id", "text", F.struct(*docs.columns).alias("doc"), F.coalesce("text", F.lit("")).alias("t"))
     rows = rows.withColumn("words", F.expr(f"filter(split(t, '{SPACE.replace(chr(92), chr(92) * 2)}'), {some})"))
     rows = rows.withColumn("hashes", F.expr(_repeat_words("words")))
     rows = rows.withColumn(
@@ -95,6 +95,7 @@ def measured(docs: DataFrame) -> DataFrame:
     return rows.select(
         "doc_id",
         "text",
+        "doc",
         "lines",
         F.size("words").cast("long").alias("n_words"),
         F.length(F.array_join("words", "")).cast("long").alias("word_chars"),
@@ -118,7 +119,7 @@ def judged(docs: DataFrame) -> DataFrame:
         )
         .withColumn("kept", F.expr(f"not base_failed and 100 * lost_chars <= {MAX_LOST} * all_chars"))
         .select(
-            "doc_id", "text", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept",
+            "doc_id", "text", "doc", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept",
             F.size("lines").cast("long").alias("n_lines"),
             F.expr("cast(size(lines) - size(good) as long)").alias("n_failed_lines"),
             "lost_chars",
@@ -128,4 +129,9 @@ def judged(docs: DataFrame) -> DataFrame:
 
 
 def verdicts(docs: DataFrame) -> DataFrame:
-    return judged(docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")).drop("text", "clean_text")
+    return judged(docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")).drop("text", "doc", "clean_text")
+
+
+def keep(docs: DataFrame) -> DataFrame:
+    """The documents that are kept, with their columns and texts as they are."""
+    return judged(docs).where("kept").select("doc.*")

@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from ledgerline.llm import decontaminate, ngram_join, packing, quality, secrets, substring_dedup, token_store, url_filter, warc
+from ledgerline.llm import decontaminate, ngram_join, packing, quality, secrets, substring_dedup, token_store, toxicity, url_filter, warc
 from ledgerline.llm.common import table
 
 
@@ -38,6 +38,10 @@ def op7_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ngram_join.join_components(table(spark, sf_dir, "documents")).drop("root", "row")
 
 
+def op8_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity.score(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def op9_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return warc.round_trip(table(spark, sf_dir, "pages"))
 

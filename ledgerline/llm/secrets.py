@@ -22,8 +22,6 @@ each; null doc_id: kept; a text or table without candidates: no rows.
 
 from __future__ import annotations
 
-from functools import reduce
-
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import RandomForestClassifier
 from pyspark.ml.feature import VectorAssembler
@@ -31,7 +29,7 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerline.llm.common import stored
+from ledgerline.llm.common import joined, stored
 
 MIN_LENGTH = 16
 MIN_ASSIGNED = 6
@@ -189,16 +187,27 @@ def scan(docs: DataFrame, findings: DataFrame | None = None, threshold: float =
 
 
 def redacted(docs: DataFrame, found: DataFrame, mark: str = "[SECRET]") -> DataFrame:
-    """The documents with every value found secret in them replaced by ``mark``; all columns kept."""
+    """The documents with every value found secret in them replaced by ``mark``.
+
+    All columns are kept; n_chars, if there, counts the changed text.
+    """
     values = found.where("is_secret").groupBy("row").agg(F.array_sort(F.collect_set("value")).alias("_values"))
     rows = docs.withColumn("_row", F.xxhash64(F.col("doc_id").cast("long"), "text"))
-    rows = rows.join(values.withColumnRenamed("row", "_row"), "_row", "left")
+    rows = joined(rows, values.withColumnRenamed("row", "_row"), ["_row"], "left")
     # Longer values first, so that none is left in part.
     order = "array_sort(_values, (x, y) -> length(y) - length(x))"
     text = F.when(F.col("_values").isNull(), F.col("text")).otherwise(
         F.expr(f"aggregate({order}, text, (t, v) -> replace(t, v, '{mark}'))")
     )
-    return rows.withColumn("text", text).select(*docs.columns)
+    rows = rows.withColumn("text", text)
+    if "n_chars" in docs.columns:
+        rows = rows.withColumn("n_chars", F.when(F.col("_values").isNull(), F.col("n_chars")).otherwise(F.length("text").cast("long")))
+    return rows.select(*docs.columns)
+
+
+def masked(docs: DataFrame) -> DataFrame:
+    """The documents with the secrets found in them replaced."""
+    return redacted(docs, scan(docs))
 
 
 def report(docs: DataFrame) -> DataFrame:
