@@ -44,10 +44,11 @@ from ledgerline.llm.words import Texts, WordHasher, texts
 FOLDS, HELD_OUT = 5, 0
 TRAINING_ROWS = 200_000
 LEXICON, KNOWN = 1000, 20_000
-#: A term occurs in so many toxic training documents at least, and that much more often (log odds) than in others.
-MIN_TOXIC, MIN_ODDS = 4, 2.0
+#: A term occurs in so many toxic training documents, and in such a part of them, at least, and that much more often
+#: (log odds) than in others.
+MIN_TOXIC, MIN_PART, MIN_ODDS = 4, 200, 2.0
 WINDOW = 8
-SLOTS_LOG2 = 19
+SLOTS_LOG2 = 20
 
 #: Words of reporting and of address (fixed values).
 REPORTING = frozenset("said says wrote quote quoted called term word dit écrit sagte schrieb dijo escribió".split())
@@ -64,7 +65,7 @@ def edits_of(term: str) -> int:
 class FuzzyTrie:
     """The terms' trie and Levenshtein automata, as one automaton made on demand."""
 
-    def __init__(self, terms: list[str], most_states: int = 1 << 16):
+    def __init__(self, terms: list[str], most_states: int = 1 << 14):
         self.terms, self.most_states = terms, most_states
         self.children: list[dict[str, int]] = [{}]
         self.ends: list[int] = [-1]
@@ -278,7 +279,7 @@ def fit(docs: DataFrame, labels: DataFrame, rows: int = TRAINING_ROWS) -> Model
         return math.log((x + 0.5) / (bad + 1)) - math.log((y + 0.5) / (good + 1))
 
     score = F.log((F.col("bad") + 0.5) / (bad + 1)) - F.log((F.col("good") + 0.5) / (good + 1))
-    least = min(MIN_TOXIC, max(2, bad // 20))
+    least = max(min(MIN_TOXIC, max(2, bad // 20)), bad // MIN_PART)
     lexicon = (
         counted.where(F.col("bad") >= least).withColumn("odds", score).where(F.col("odds") >= MIN_ODDS)
         .orderBy(F.desc("odds"), F.desc("bad"), "word").limit(LEXICON).collect()
