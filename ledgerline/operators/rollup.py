@@ -62,8 +62,10 @@ def account_rollup(
     first_stage = []
     for m in _MONEY_SUMS:
         first_stage += [
-            F.sum(F.col(m).try_cast(SUM_DECIMAL)).alias(f"_{m}_dec"),
+            F.try_sum(F.col(m).try_cast(SUM_DECIMAL)).alias(f"_{m}_dec"),
             F.sum(m).alias(f"_{m}_dbl"),
+            # Amounts that the decimal cannot hold: the double sum stands for them all.
+            (F.count(m) - F.count(F.col(m).try_cast(SUM_DECIMAL))).alias(f"_{m}_lost"),
         ]
     first_stage += [
         F.sum("debit_count").alias("_debit_count"),
@@ -83,7 +85,11 @@ def account_rollup(
     second_stage = []
     for m in _MONEY_SUMS:
         dbl = F.sum(f"_{m}_dbl")
-        second_stage.append(F.when(_special(dbl), dbl).otherwise(F.sum(f"_{m}_dec").cast("double")).alias(m))
+        dec = F.try_sum(f"_{m}_dec")
+        # A bucket's decimal sum is also null where it overflows, while its double sum is not.
+        over = F.sum((F.col(f"_{m}_dec").isNull() & F.col(f"_{m}_dbl").isNotNull()).cast("long")) > 0
+        whole = _special(dbl) | (F.sum(f"_{m}_lost") > 0) | over | dec.isNull()
+        second_stage.append(F.when(whole, dbl).otherwise(dec.cast("double")).alias(m))
     second_stage += [
         F.sum("_debit_count").cast("int").alias("debit_count"),
         F.sum("_credit_count").cast("int").alias("credit_count"),

@@ -76,7 +76,10 @@ def _sequence_from_row_index(df: DataFrame, out: str) -> DataFrame:
         F.col("_sf_path").alias("_sf_p"), (F.row_number().over(Window.orderBy("_sf_path")) - 1).alias("_sf_ord")
     )
     joined = meta.join(ranked, F.col("_sf_path") == F.col("_sf_p"), "left")
-    packed = F.shiftleft(F.col("_sf_ord").cast("long"), ROW_INDEX_BITS) + F.col("_sf_row")
+    fits = (F.col("_sf_ord") < 1 << (63 - ROW_INDEX_BITS)) & (F.col("_sf_row") < 1 << ROW_INDEX_BITS)
+    packed = F.when(fits, F.shiftleft(F.col("_sf_ord").cast("long"), ROW_INDEX_BITS) + F.col("_sf_row")).otherwise(
+        F.raise_error(F.lit("more files, or rows in a file, than a packed sequence number holds")).cast("long")
+    )
     return joined.withColumn(out, packed).drop("_sf_path", "_sf_row", "_sf_p", "_sf_ord")
 
 

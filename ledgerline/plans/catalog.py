@@ -275,7 +275,7 @@ def batches_combined(spark: SparkSession, sf_dir: str) -> DataFrame:
     batched = sequence.positional_chunks(result, REPORT_CHUNK).drop("original_order")
     base = scratch_path(spark, "batches")
     batched.write.partitionBy("chunk").parquet(f"{base}/out")
-    return read_batches(spark, [f"{base}/out/chunk=*"]).select(*result.columns)
+    return read_batches(spark, [f"{base}/out"], batched.schema).select(*result.columns)
 
 
 # ---- per-account form ---------------------------------------------------------------------
@@ -343,7 +343,7 @@ def account_rollup_fine_buckets(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _rollup(spark, sf_dir, "activity", "minmax", FINE_SPAN)
 
 
-@register("account_activity_shifted", "select * from activity_shifted")
+@register("account_activity_shifted", None)
 def account_activity_shifted(spark: SparkSession, sf_dir: str) -> DataFrame:
     inp = fixture_inputs(spark, sf_dir, with_duplicates=False)
     return activity.account_activity_shifted(inp.ledger, inp.customers, inp.mappings)

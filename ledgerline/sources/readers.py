@@ -24,16 +24,29 @@ MAPPING_COLUMNS = ("AccountNumber", "Date", "TransactionNumber")
 def _format_of(path: str, fmt: str | None) -> str:
     if fmt:
         return fmt
-    return "csv" if path.lower().rstrip("/").endswith((".csv", ".txt")) else "parquet"
+    name = path.lower().rstrip("/")
+    for packed in (".gz", ".bz2", ".zst"):
+        name = name.removesuffix(packed)
+    return "csv" if name.endswith((".csv", ".txt", ".tsv")) else "parquet"
 
 
-def read_input(spark: SparkSession, path: str, columns: Sequence[str], fmt: str | None = None) -> DataFrame:
-    """Read one input table; CSV with header and an all-text schema."""
+def read_input(
+    spark: SparkSession, path: str, columns: Sequence[str], fmt: str | None = None, multi_line: bool = False
+) -> DataFrame:
+    """Read one input table; CSV with header and an all-text schema.
+
+    The format follows the path's ending (csv, txt, tsv, packed or not) unless
+    ``fmt`` names it; a folder without an ending is Parquet unless ``fmt`` is
+    ``csv``.  ``multi_line`` allows line breaks inside quoted CSV values, at the
+    price of one task per file.
+    """
     fmt = _format_of(path, fmt)
     if fmt == "csv":
         # Without inferSchema every column is read as STRING: no inference pass
         # over the data, and account numbers keep their leading zeros.
-        df = spark.read.option("header", True).option("inferSchema", False).option("multiLine", True).csv(path)
+        sep = "\t" if ".tsv" in path.lower().rstrip("/").rpartition("/")[2] else ","
+        options = {"header": True, "inferSchema": False, "multiLine": multi_line, "sep": sep}
+        df = spark.read.options(**options).csv(path)
     elif fmt == "parquet":
         df = spark.read.parquet(path)
     else:
@@ -56,10 +69,16 @@ def read_mappings(spark: SparkSession, path: str, fmt: str | None = None) -> Dat
     return read_input(spark, path, MAPPING_COLUMNS, fmt)
 
 
-def read_batches(spark: SparkSession, paths: Sequence[str]) -> DataFrame:
-    """Many Parquet result folders as one table (union-all by name)."""
+def read_batches(spark: SparkSession, paths: Sequence[str], schema: T.StructType | None = None) -> DataFrame:
+    """Many Parquet result folders as one table (union-all by name).
+
+    With the results' ``schema`` no footer is read, and folders without rows
+    give an empty table.
+    """
     if not paths:
         raise ValueError("no batch paths given")
+    if schema is not None:
+        return spark.read.schema(schema).parquet(*paths)
     return spark.read.option("mergeSchema", True).parquet(*paths)
 
 
@@ -69,7 +88,8 @@ def report_text(df: DataFrame) -> DataFrame:
     for field in df.schema.fields:
         c = F.col(field.name)
         if isinstance(field.dataType, (T.DoubleType, T.FloatType)):
-            c = F.when(F.isnan(c), F.lit("NaN")).otherwise(c.try_cast("decimal(38,2)").cast("string"))
+            # What no decimal holds (infinity, 1e37) keeps the double's own text.
+            c = F.when(F.isnan(c), F.lit("NaN")).otherwise(F.coalesce(c.try_cast("decimal(38,2)").cast("string"), c.cast("string")))
         elif not isinstance(field.dataType, T.StringType):
             c = c.cast("string")
         else:

@@ -21,7 +21,6 @@ CHEAP = [
     "account_rollup",
     "account_rollup_boundary",
     "account_rollup_fine_buckets",
-    "account_activity_shifted",
     "ledger_slice",
     "extract_txn_number",
     "batches_combined",
@@ -65,16 +64,3 @@ def test_query_matches_duckdb(spark, duck, name):
 def test_entry_smoke(spark):
     df = entry.entry(spark)
     assert df.count() == 1287
-
-
-def test_jobs_per_account_shifted_boundary_matches_duckdb(spark, duck):
-    from ledgerline.config import TallyOptions
-    from ledgerline.plans import jobs, oracle
-    from ledgerline.plans.inputs import fixture_inputs
-
-    inp = fixture_inputs(spark, SF_SMALL, with_duplicates=False)
-    df = jobs.per_account(inp, TallyOptions(attribution="shifted", balance_mode="boundary"))
-    res = duck.execute(oracle.with_fixtures(oracle.rollup_sql("activity_shifted", "boundary")))
-    ocols = [d[0] for d in res.description]
-    assert sorted(df.columns) == sorted(ocols)
-    assert _rows([tuple(r) for r in df.collect()], df.columns) == _rows(res.fetchall(), ocols)
