@@ -36,7 +36,7 @@ from ledgerline.llm.words import Roller, Texts, WordHasher, mixed, texts
 
 SHINGLE = 5
 SIMILARITY = 0.75
-RADIUS = 7
+RADIUS = 6
 #: Text of a block of the benchmark, in bytes.
 BLOCK_BYTES = 8 << 20
 #: Words whose sums are held at a time.
