@@ -65,7 +65,7 @@ def edits_of(term: str) -> int:
 class FuzzyTrie:
     """The terms' trie and Levenshtein automata, as one automaton made on demand."""
 
-    def __init__(self, terms: list[str], most_states: int = 1 << 14):
+    def __init__(self, terms: list[str], most_states: int = 1 << 11):
         self.terms, self.most_states = terms, most_states
         self.children: list[dict[str, int]] = [{}]
         self.ends: list[int] = [-1]
