@@ -12,7 +12,8 @@ is more (fewer in small sets).
 * Frequent tokens: a pair that shares no rare token shares ``m`` frequent ones,
   so only sets with that many frequent tokens are looked at.  Near copies of
   one text are the usual case: each set is first tied to the plainest set of
-  its lists.  For what is then not in one component, the sets' whole token
+  its lists, then, by whole sets, to the most central one that is in another
+  component.  For what is then not in one component, the sets' whole token
   lists are ordered by their frequency among these sets, rarest first, and the
   prefixes of that order are indexed: combinations of two tokens where a set
   has few tokens that others have too, single tokens where it has many.
@@ -34,7 +35,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
@@ -213,12 +214,17 @@ def _enough(rows: DataFrame) -> DataFrame:
     )
 
 
+def _class(n: str = "n") -> Column:
+    """Sets of one class have sizes that may be similar."""
+    return F.floor(F.log(n) / F.log(F.lit(WHOLE / PART)))
+
+
 def _stars(rows: DataFrame) -> DataFrame:
-    """For every set with frequent tokens, the plainest set (most of its tokens frequent) of most of its lists."""
-    rows = rows.withColumn("class", F.floor(F.log("n") / F.log(F.lit(WHOLE / PART))))
-    plainest = rows.groupBy("token", "class").agg(F.max_by("node", F.struct(F.expr("f / n"), "node")).alias("hub"))
+    """For every set of the ``rows`` (token, node, n, central), the most central set of most of its lists."""
+    rows = rows.withColumn("class", _class())
+    hubs = rows.groupBy("token", "class").agg(F.max_by("node", F.struct("central", "node")).alias("hub"))
     near = (
-        rows.join(plainest, ["token", "class"])
+        rows.join(hubs, ["token", "class"])
         .where("node <> hub")
         .groupBy("node", "hub")
         .agg(F.count(F.lit(1)).alias("c"))
@@ -228,6 +234,14 @@ def _stars(rows: DataFrame) -> DataFrame:
     return near.select(F.least("node", "other").alias("a"), F.greatest("node", "other").alias("b"))
 
 
+def _whole_stars(tokens: DataFrame) -> DataFrame:
+    """Stars by the whole sets: the most central set shares the largest part of its tokens with the others, on average."""
+    tokens = tokens.select("node", "n", "token")
+    often = tokens.groupBy("token").agg(F.count(F.lit(1)).alias("sets")).where("sets > 1")
+    share = F.sum("sets").over(Window.partitionBy("node")) / F.col("n")
+    return _stars(tokens.join(often, "token").select("token", "node", "n", share.alias("central")))
+
+
 def _closest(pairs: DataFrame) -> DataFrame:
     """For every set of the candidate pairs, the partner it shares most tokens with."""
     both = pairs.select(F.col("a").alias("node"), F.col("b").alias("other"), "c").union(pairs.select("b", "a", "c"))
@@ -325,6 +339,18 @@ def _rooted(rows: DataFrame, roots: DataFrame, node: str, out: str) -> DataFrame
     return rows.join(found, node, "left").withColumn(out, F.coalesce(out, node))
 
 
+def _apart(pairs: DataFrame, roots: DataFrame) -> DataFrame:
+    """The pairs (a, b) of sets in different components."""
+    return _rooted(_rooted(pairs, roots, "a", "ra"), roots, "b", "rb").where("ra <> rb").select("a", "b")
+
+
+def _merged(roots: DataFrame, links: DataFrame, label: str) -> DataFrame:
+    """The components with more links between them."""
+    if not links.limit(1).count():
+        return roots
+    return components(roots.select(F.col("node").alias("a"), F.col("root").alias("b")).union(links), label)
+
+
 def join_components(docs: DataFrame) -> DataFrame:
     """doc_id, n_shingles, component_id (smallest doc_id reachable by links), root (equal within a component,
     null for an empty set) and row, a 64-bit hash of the document's id and text."""
@@ -353,21 +379,22 @@ def join_components(docs: DataFrame) -> DataFrame:
     close = stored(_rare_pairs(rare, often), "join-candidates")
     often = stored(_enough(often), "join-frequent")
 
-    first = stored(_closest(close).union(_stars(often)).distinct(), "join-first")
+    first = stored(_closest(close).union(_stars(often.withColumn("central", F.expr("f / n")))).distinct(), "join-first")
     links = stored(verify(first, docs, signatures), "join-links")
     roots = components(links, "join-components")
 
-    apart = _rooted(_rooted(close, roots, "a", "ra"), roots, "b", "rb").where("ra <> rb").select("a", "b")
     still = _rooted(often.select("token", "node", "n"), roots, "node", "root")
     mixed_lists = still.groupBy("token").agg(F.min("root").alias("r0"), F.max("root").alias("r1")).where("r0 <> r1")
     still = _enough(still.join(mixed_lists.select("token"), "token", "left_semi")).select("node").distinct()
     tokens = stored(
         whole_texts(still, docs, signatures).mapInArrow(_whole_sets, "node long, n int, token long, sketch array<long>"), "join-tokens"
     )
-    rest = apart.union(_combinations(tokens, roots)).distinct().join(first, ["a", "b"], "left_anti")
-    more = stored(verify(stored(rest, "join-rest"), docs, signatures), "join-more")
-    if more.limit(1).count():
-        roots = components(roots.select(F.col("node").alias("a"), F.col("root").alias("b")).union(more), "join-final")
+    second = stored(_apart(_whole_stars(tokens), roots).join(first, ["a", "b"], "left_anti"), "join-second")
+    roots = _merged(roots, stored(verify(second, docs, signatures), "join-second-links"), "join-again")
+
+    tried = first.union(second)
+    rest = _apart(close, roots).union(_combinations(tokens, roots)).distinct().join(tried, ["a", "b"], "left_anti")
+    roots = _merged(roots, stored(verify(stored(rest, "join-rest"), docs, signatures), "join-more"), "join-final")
 
     rooted = _rooted(signatures.select("doc_id", "n", "node", "row"), roots, "node", "root")
     smallest = rooted.where("node is not null").groupBy("root").agg(F.min("doc_id").alias("low"))
