@@ -7,8 +7,9 @@ are sets of (trie node, edits so far), made as words ask for them, so a word is
 matched against all terms at once and most words die after a few letters.
 
 A hit has its term's weight, or, where training rows hold the very word, that
-word's own; a misspelling that clean documents use so counts for little, and an
-unknown one gets what misspellings of its distance weighed in training.  The
+word's own (smoothed) log odds, so an ordinary neighbour that clean documents use
+counts for little.  A misspelling that training doesn't hold has its term's
+weight less ``EDIT`` for every edit.  The
 ``WINDOW`` words on either side separate quotation from abuse: quotation marks
 and words of reporting lower a hit, other hits and words of address raise it.
 A logistic regression (Spark ML) over a document's hit features gives the score.
@@ -47,6 +48,8 @@ LEXICON, KNOWN = 1000, 20_000
 #: A term occurs in so many toxic training documents, and in such a part of them, at least, and that much more often
 #: (log odds) than in others.
 MIN_TOXIC, MIN_PART, MIN_ODDS = 4, 200, 2.0
+#: Log odds that an edit takes off a term's.
+EDIT = 1.5
 WINDOW = 8
 SLOTS_LOG2 = 20
 
@@ -140,7 +143,7 @@ class FuzzyTrie:
 class Model(NamedTuple):
     terms: list[str]
     odds: list[float]
-    by_edits: list[float]  # weight of a misspelling that training rows don't have, by edits
+    by_edits: list[float]  # what a misspelling that training rows don't have weighs less than its term, by edits
     known: dict[str, float]  # words near a term that training rows have
     coefficients: list[float]
     intercept: float
@@ -175,7 +178,7 @@ class Scorer:
         edits, term = found
         if not edits:
             return self.model.odds[term]
-        return max(0.0, self.model.known.get(word, self.model.by_edits[edits]))
+        return max(0.0, self.model.known.get(word, self.model.odds[term] - self.model.by_edits[edits]))
 
     def features(self, t: Texts) -> np.ndarray:
         out = np.zeros((len(t.first) - 1, len(FEATURES)))
@@ -268,7 +271,11 @@ def fit(docs: DataFrame, labels: DataFrame, rows: int = TRAINING_ROWS) -> Model
     bad, good = (sum(r["count"] for r in sizes if (r.toxic > 0) == side) for side in (True, False))
     if not bad or not good:
         return None
-    words = F.expr("array_distinct(split(lower(coalesce(text, '')), '[^\\\\p{L}]+'))")
+    # As ``plain`` cuts them.
+    words = F.expr(
+        "array_distinct(transform(split(lower(coalesce(text, '')), '[\\\\x20\\\\x09-\\\\x0D]+'),"
+        " w -> regexp_replace(w, '^[^\\\\p{L}]+|[^\\\\p{L}]+$', '')))"
+    )
     counted = stored(
         train.select("toxic", F.explode(words).alias("word")).where("length(word) between 3 and 40")
         .groupBy("word").agg(F.sum((F.col("toxic") > 0).cast("long")).alias("bad"), F.sum((F.col("toxic") <= 0).cast("long")).alias("good")),
@@ -286,13 +293,9 @@ def fit(docs: DataFrame, labels: DataFrame, rows: int = TRAINING_ROWS) -> Model
     )
     terms = [r.word for r in lexicon]
     near = stored(counted.mapInArrow(partial(_near, terms=terms), "word string, bad long, good long, edits int"), "toxic-near")
-    pooled = {r.edits: odds(r.bad, r.good) for r in near.where("edits > 0").groupBy("edits").agg(F.sum("bad").alias("bad"), F.sum("good").alias("good")).collect()}
     known = near.where("edits > 0").orderBy(F.desc(F.col("bad") + F.col("good")), "word").limit(KNOWN).collect()
-    # An unseen misspelling counts for half of its term's edits where training has none to tell.
-    by_edits = [0.0] + [max(0.0, pooled.get(e, MIN_ODDS / (1 + e))) for e in (1, 2)]
-    model = Model(
-        terms, [r.odds for r in lexicon], by_edits, {r.word: odds(r.bad, r.good) if r.bad + r.good > 1 else 0.0 for r in known}, [], 0.0
-    )
+    by_edits = [EDIT * e for e in range(3)]
+    model = Model(terms, [r.odds for r in lexicon], by_edits, {r.word: odds(r.bad, r.good) for r in known}, [], 0.0)
     rows_ = stored(featured(train, model, {"toxic": "int"}), "toxic-features")
     rows_ = rows_.withColumn("label", (F.col("toxic") > 0).cast("double"))
     vectors = VectorAssembler(inputCols=list(FEATURES), outputCol="x").transform(rows_)

@@ -88,3 +88,17 @@ def test_without_labels_or_rows(spark):
     lab = spark.createDataFrame([], "doc_id long, quality int, toxic int")
     assert [(r.score, r.predicted) for r in tx.score(d, lab).collect()] == [(0.0, 0)]
     assert tx.score(d.limit(0), lab).collect() == []
+
+
+def test_misspellings_that_training_does_not_hold(spark):
+    docs, labels = corpus()
+    # Ordinary neighbours of the terms, in clean documents and toxic ones.
+    docs = [(i, text + (" idiom worthiess" if i % 2 else " idiotic pathetik"), x) for i, text, x in docs]
+    vocab = "waka wbl wcm wdn the of wep wfo wgk whl"
+    odd = ["idi0t", "1diot", "patheticc", "worthl3ss", "idiott", "path3tic"]
+    docs += [(2000 + k, f"{vocab} {w} {vocab} {w} {odd[k - 1]}", "x") for k, w in enumerate(odd)]
+    docs += [(2100, f"{vocab} idiom {vocab} worthiess pathetik", "x")]
+    d = spark.createDataFrame(docs, "doc_id long, text string, toxic string").repartition(3)
+    lab = spark.createDataFrame(labels, "doc_id long, quality int, toxic int")
+    by = {r.doc_id: r.predicted for r in tx.score(d, lab).collect()}
+    assert [by[2000 + k] for k in range(len(odd))] == [1] * len(odd) and by[2100] == 0
