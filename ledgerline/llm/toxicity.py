@@ -4,7 +4,12 @@ The lexicon is learned: words that toxic documents of the training rows use far
 more often than the others.  Its trie is intersected with Levenshtein automata
 (one edit for terms of 5 letters or more, two from 10): the product's states
 are sets of (trie node, edits so far), made as words ask for them, so a word is
-matched against all terms at once and most words die after a few letters.
+matched against all terms at once and most words die after a few letters.  Words
+that share no string with a term after as many letters left out as it has edits
+(they can't be within them) are not run through it.
+
+A term is a word whose use by toxic documents is beyond chance among all words
+counted, however rare it is.
 
 A hit has its term's weight, or, where training rows hold the very word, that
 word's own (smoothed) log odds, so an ordinary neighbour that clean documents use
@@ -44,10 +49,12 @@ from ledgerline.llm.words import Texts, WordHasher, texts
 
 FOLDS, HELD_OUT = 5, 0
 TRAINING_ROWS = 200_000
-LEXICON, KNOWN = 1000, 20_000
-#: A term occurs in so many toxic training documents, and in such a part of them, at least, and that much more often
-#: (log odds) than in others.
-MIN_TOXIC, MIN_PART, MIN_ODDS = 4, 200, 2.0
+LEXICON, KNOWN = 5000, 100_000
+#: A term occurs in so many toxic training documents at least, that much more often (log odds) than in others, and so
+#: often that chance would make fewer than so many terms of all words counted.
+MIN_TOXIC, MIN_ODDS, BY_CHANCE = 4, 2.0, 1.0
+#: (node, edits) pairs that an automaton's states hold.
+MOST_NODES = 400_000
 #: Log odds that an edit takes off a term's.
 EDIT = 1.5
 WINDOW = 8
@@ -65,6 +72,16 @@ def edits_of(term: str) -> int:
     return 0 if len(term) < 5 else 1 if len(term) < 10 else 2
 
 
+def shortened(word: str, letters: int) -> list[str]:
+    """The word with up to so many letters (two at most) left out."""
+    out = [word]
+    if letters:
+        out += [word[:i] + word[i + 1 :] for i in range(len(word))]
+    if letters > 1:
+        out += [word[:i] + word[i + 1 : j] + word[j + 1 :] for i in range(len(word)) for j in range(i + 1, len(word))]
+    return out
+
+
 class FuzzyTrie:
     """The terms' trie and Levenshtein automata, as one automaton made on demand."""
 
@@ -85,13 +102,43 @@ class FuzzyTrie:
                 at = self.children[at][c]
                 self.budget[at] = max(self.budget[at], edits)
             self.ends[at] = k
+        self.exact: dict[str, int] = {}
+        #: By edits: the terms with so many letters left out, or fewer.
+        self.short: list[set[str]] = [set(), set(), set()]
+        #: Of terms with two edits: the pieces of a word, by its length and their places in it.
+        self.pieces: dict[int, dict[tuple[int, int], set[str]]] = {}
+        for k, term in enumerate(terms):
+            self.exact.setdefault(term, k)
+            edits = edits_of(term)
+            self.short[edits].update(shortened(term, edits))
+            if edits == 2:
+                self._cut(term)
         self._clear()
 
+    def _cut(self, term: str) -> None:
+        """Files the term's thirds, of which one is whole in every word within two edits, by where words would have it."""
+        size = len(term)
+        cuts = [size * k // 3 for k in range(4)]
+        for length in range(size - 2, size + 3):
+            places = self.pieces.setdefault(length, {})
+            for k, shifts in enumerate(((0,), (-1, 0, 1), (length - size,))):
+                for d in shifts:
+                    places.setdefault((cuts[k] + d, cuts[k + 1] + d), set()).add(term[cuts[k] : cuts[k + 1]])
+
+    def _may(self, word: str) -> bool:
+        """Whether the word and a term, both with at most the term's edits of letters left out, have a string in common:
+        true of all words within a term's edits, and of few others."""
+        if 4 <= len(word) <= 10 and not self.short[1].isdisjoint(shortened(word, 1)):
+            return True
+        places = self.pieces.get(len(word), {})
+        return any(word[a:b] in some for (a, b), some in places.items()) and not self.short[2].isdisjoint(shortened(word, 2))
+
     def _clear(self) -> None:
         self.numbers: dict[frozenset, int] = {frozenset(): 0}
         self.states: list[dict[int, int]] = [{}]
         self.moves: list[dict[str, int]] = [{}]
         self.accepts: list[tuple[int, int] | None] = [None]
+        self.held = 0
         self.start = self._state({0: 0})
 
     def _state(self, nodes: dict[int, int]) -> int:
@@ -108,6 +155,7 @@ class FuzzyTrie:
             ends = [(e, self.ends[n]) for n, e in nodes.items() if self.ends[n] >= 0 and e <= edits_of(self.terms[self.ends[n]])]
             self.numbers[key] = len(self.states)
             self.states.append(nodes)
+            self.held += len(nodes)
             self.moves.append({})
             self.accepts.append(min(ends, default=None))
         return self.numbers[key]
@@ -125,7 +173,11 @@ class FuzzyTrie:
 
     def match(self, word: str) -> tuple[int, int] | None:
         """(edits, term number) of the nearest term within its edits; ties: the first term."""
-        if len(self.states) > self.most_states:
+        if word in self.exact:
+            return 0, self.exact[word]
+        if not self._may(word):
+            return None
+        if len(self.states) > self.most_states or self.held > MOST_NODES:
             self._clear()
         state = self.start
         for c in word:
@@ -241,8 +293,18 @@ def _near(batches: Iterator[pa.RecordBatch], terms: list[str]) -> Iterator[pa.Re
         )
 
 
+_scorers: list[Scorer] = []
+
+
+def _scorer(model: Model) -> Scorer:
+    """The worker's scorer, with the words met in earlier tasks of the same model."""
+    if not _scorers or _scorers[0].model is not model:
+        _scorers[:] = [Scorer(model)]
+    return _scorers[0]
+
+
 def _features(batches: Iterator[pa.RecordBatch], model, carry: list[str]) -> Iterator[pa.RecordBatch]:
-    scorer = Scorer(model.value)
+    scorer = _scorer(model.value)
     for batch in batches:
         for t in texts(batch.column("text")):
             found = scorer.features(t)
@@ -286,9 +348,16 @@ def fit(docs: DataFrame, labels: DataFrame, rows: int = TRAINING_ROWS) -> Model
         return math.log((x + 0.5) / (bad + 1)) - math.log((y + 0.5) / (good + 1))
 
     score = F.log((F.col("bad") + 0.5) / (bad + 1)) - F.log((F.col("good") + 0.5) / (good + 1))
-    least = max(min(MIN_TOXIC, max(2, bad // 20)), bad // MIN_PART)
+    least = min(MIN_TOXIC, max(2, bad // 20))
+    # Chernoff's bound: chance has a word in ``bad`` or more toxic documents of all its own with at most exp(-surprise).
+    both, share = F.col("bad") + F.col("good"), bad / (bad + good)
+    surprise = F.col("bad") * F.log(F.col("bad") / both / share) + F.when(
+        F.col("good") > 0, F.col("good") * F.log(F.col("good") / both / (1 - share))
+    ).otherwise(0.0)
+    beyond = math.log(max(1, counted.count()) / BY_CHANCE)
     lexicon = (
-        counted.where(F.col("bad") >= least).withColumn("odds", score).where(F.col("odds") >= MIN_ODDS)
+        counted.where(F.col("bad") >= least).withColumn("odds", score)
+        .where((F.col("odds") >= MIN_ODDS) & (surprise >= beyond))
         .orderBy(F.desc("odds"), F.desc("bad"), "word").limit(LEXICON).collect()
     )
     terms = [r.word for r in lexicon]

@@ -102,3 +102,24 @@ def test_misspellings_that_training_does_not_hold(spark):
     lab = spark.createDataFrame(labels, "doc_id long, quality int, toxic int")
     by = {r.doc_id: r.predicted for r in tx.score(d, lab).collect()}
     assert [by[2000 + k] for k in range(len(odd))] == [1] * len(odd) and by[2100] == 0
+
+
+def test_rare_words_of_toxic_documents_are_terms(spark):
+    rng = random.Random(6)
+    vocab = [f"w{c}{d}" for c in "abcdefghij" for d in "klmnop"]
+    # 5,000 toxic documents of 10,000: a 200th of them is more than have any of the rare words.
+    rare = [a + b + "ggot" for a in "bcdfg" for b in "aeio"]
+    docs, labels = [], []
+    for i in range(10_000):
+        words = [rng.choice(vocab) for _ in range(8)]
+        if i % 2:
+            words[3] = "scum" if i // 2 % 15 else rare[i // 30 % 20]
+        docs.append((i, " ".join(words)))
+        labels.append((i, 1, i % 2))
+    d, lab = spark.createDataFrame(docs, "doc_id long, text string"), spark.createDataFrame(labels, "doc_id long, quality int, toxic int")
+    assert set(rare) <= set(tx.fit(d, lab).terms)
+    truth = {i for i, text in docs if set(text.split()) & set(rare)}
+    held = [r for r in tx.score(d, lab).collect() if r.held_out]
+    hits = [r.predicted for r in held if r.doc_id in truth]
+    assert len(hits) > 30 and sum(hits) >= 0.9 * len(hits)
+    assert sum(r.predicted for r in held if not r.doc_id % 2) == 0
