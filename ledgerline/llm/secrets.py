@@ -1,7 +1,9 @@
 """Secret scan with a random forest for false-positive removal, in DataFrame functions only.
 
-Candidates are long runs of key-like characters that hold a digit or mixed
-case, and shorter words assigned to a credential's name.  Each is described by
+Candidates are all long runs of key-like characters that hold a digit or mixed
+case, wherever in a word they stand (compact JSON, query strings, CSV), all
+shorter values assigned to a credential's name, in its word or the word after,
+and passwords of connection strings.  Each is described by
 its length, its character transitions, how much of it dictionary words cover,
 whether it looks like a path, and the words next to it; a random forest
 (Spark ML), trained from labelled findings, tells secrets from identifiers,
@@ -43,8 +45,17 @@ NAMES = "token|secret|passwd|password|pwd|api[_-]?key|apikey|access[_-]?key|auth
 
 _WORDS = "split(t, '[\\\\x20\\\\x09-\\\\x0D]+')"
 _CORE = "[A-Za-z0-9+/_=.~-]"
-#: Where the value starts inside a word: after quotes, or after name= and quotes.
-_LEAD = "^[\"''`(\\\\[{<]*"
+_QUOTE = "[\"\\'`]"
+#: Key characters that a value holds, and that it ends with; '=' only pads it.
+_IN, _END = "[A-Za-z0-9+/_.~-]", "[A-Za-z0-9+/_~-](?:={1,2}(?![A-Za-z0-9+/_.~=-]))?"
+#: Values of a word: long runs; those after name= and quotes, and a login's password; the one that the word starts with.
+_RUN = f"{_IN}{{{MIN_LENGTH - 1},}}{_END}"
+_ASSIGNED = (
+    f"(?<=(?i:{NAMES}){_QUOTE}{{0,2}}[=:]{_QUOTE}{{0,3}}){_IN}{{{MIN_ASSIGNED - 1},}}{_END}"
+    f"|(?<=://[A-Za-z0-9._-]{{0,64}}:){_IN}{{{MIN_ASSIGNED - 1},}}{_END}(?=[^/]*@)"
+)
+_FIRST = f"^[\"\\'`(\\\\[{{<]*({_IN}{{{MIN_ASSIGNED - 1},}}{_END})"
+_TELLING = "(v rlike '[0-9]' or v rlike '[a-z][A-Z]')"
 
 FEATURES = (
     "length", "runs", "transitions", "digits", "uppers", "symbols", "distinct", "hex", "numeric", "covered",
@@ -62,11 +73,12 @@ def candidates(docs: DataFrame) -> DataFrame:
     rows = rows.withColumn("w", F.expr(_WORDS))
     long = f"length(w[i]) >= {MIN_LENGTH} and w[i] rlike '{_CORE}{{{MIN_LENGTH},}}' and (w[i] rlike '[0-9]' or w[i] rlike '[a-z][A-Z]')"
     named = (
-        f"length(w[i]) >= {MIN_ASSIGNED} and i >= 2 and get(w, i - 1) in ('=', ':', ':=', '=>', 'is')"
-        f" and get(w, i - 2) rlike '(?i)({NAMES})'"
+        f"length(w[i]) >= {MIN_ASSIGNED} and i >= 1 and ((get(w, i - 1) in ('=', ':', ':=', '=>', 'is')"
+        f" and coalesce(get(w, i - 2) rlike '(?i)({NAMES})', false)) or get(w, i - 1) rlike '(?i)({NAMES}){_QUOTE}?[=:]$')"
     )
     inside = f"length(w[i]) >= {MIN_ASSIGNED + 4} and w[i] rlike '(?i)({NAMES})[\"'']?[=:]'"
-    places = f"filter(sequence(0, size(w) - 1), i -> ({long}) or ({named}) or ({inside}))"
+    login = "w[i] rlike '://[^/:@]*:[^/@]+@'"
+    places = f"filter(sequence(0, size(w) - 1), i -> ({long}) or ({named}) or ({inside}) or ({login}))"
     found = rows.select("doc_id", "row", "w", F.explode(F.expr(places)).alias("place")).select(
         "doc_id",
         "row",
@@ -74,13 +86,17 @@ def candidates(docs: DataFrame) -> DataFrame:
         F.expr("w[place]").alias("word"),
         F.expr("concat_ws(' ', get(w, place - 2), get(w, place - 1))").alias("before"),
         F.expr("coalesce(get(w, place + 1), '')").alias("after"),
+        F.expr(named.replace("w[i]", "w[place]").replace("i - ", "place - ").replace("i >= 1", "place >= 1")).alias("named"),
+    )
+    values = (
+        f"array_distinct(concat(filter(regexp_extract_all(word, '{_RUN}', 0), v -> {_TELLING}),"
+        f" regexp_extract_all(word, '{_ASSIGNED}', 0),"
+        f" if(named, filter(array(regexp_extract(word, '{_FIRST}', 1)), v -> v <> ''), array())))"
     )
-    value = f"regexp_extract(word, '(?:[=:][\"'']?|{_LEAD})({_CORE}{{{MIN_ASSIGNED},}}?)[\"''`)\\\\]}}>,;:!?.*$%&#|]*$', 1)"
     return (
-        found.withColumn("value", F.expr(value))
-        .where(f"length(value) >= {MIN_ASSIGNED}")
+        found.withColumn("value", F.explode(F.expr(values)))
         .withColumn("inside", F.expr("substring(word, 1, greatest(0, instr(word, value) - 1))"))
-        .drop("word")
+        .drop("word", "named")
     )
 
 
@@ -96,6 +112,8 @@ def described(found: DataFrame, words: DataFrame) -> DataFrame:
     )
     share = "length(regexp_replace(value, '{}', '')) / length(value)"
     context = "lower(concat(before, ' ', inside))"
+    # The password of a login in a connection string has the place of a name.
+    login = "inside rlike '://[^/:@]*:$'"
     return (
         found.join(covered, "id", "left")
         .withColumn("length", F.expr("double(least(length(value), 200))"))
@@ -108,11 +126,11 @@ def described(found: DataFrame, words: DataFrame) -> DataFrame:
         .withColumn("hex", F.expr("double(value rlike '^[0-9a-fA-F]+$')"))
         .withColumn("numeric", F.expr("double(value rlike '^[0-9+.,/:-]+$')"))
         .withColumn("covered", F.expr("least(1D, coalesce(known, 0) / length(value))"))
-        .withColumn("path", F.expr("double(length(regexp_replace(value, '[^/]', '')) >= 2 or inside rlike '://')"))
+        .withColumn("path", F.expr(f"double(length(regexp_replace(value, '[^/]', '')) >= 2 or (inside rlike '://' and not {login}))"))
         .withColumn("dots", F.expr("double(length(regexp_replace(value, '[^.@]', '')))"))
-        .withColumn("named", F.expr(f"double({context} rlike '({NAMES})')"))
+        .withColumn("named", F.expr(f"double({context} rlike '({NAMES})' or {login})"))
         .withColumn("assigned", F.expr(f"double({context} rlike '[=:][\"'' ]*$' or {context} rlike ' (=|:|:=|=>|is) *[\"'']?$')"))
-        .withColumn("named_inside", F.expr(f"double(lower(inside) rlike '({NAMES})[\"'']?[=:]')"))
+        .withColumn("named_inside", F.expr(f"double(lower(inside) rlike '({NAMES})[\"'']?[=:]' or {login})"))
         .withColumn("quoted", F.expr("double(inside rlike '[\"''`]$')"))
         .withColumn("checksum_near", F.expr(f"double({context} rlike '(sha1|sha256|sha-|md5|commit|checksum|digest|uuid|guid|rev|hash|etag|build|order|isbn|phone|tel)')"))
         .withColumn("known_prefix", F.expr("double(value rlike '^(AKIA|ASIA|ghp_|gho_|ghs_|xox[bp]-|sk-|sk_live_|AIza|eyJ|glpat-)')"))
