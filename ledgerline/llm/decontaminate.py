@@ -5,16 +5,19 @@ its words (lower-cased A-Z, every word one vote per bit).  Window sizes are the
 steps of a grid (ratio 1.25 at most) up to seven eighths of an item's size; an
 item is represented by the windows at its head and its tail, so a changed word
 at either end leaves one of them as it was.  Fingerprints within ``RADIUS`` bits are
-found by a multi-index: 64 bits in RADIUS + 1 blocks, of which one at least is
-equal, so every pair within the radius is met.  Candidates are verified by the
+found by a multi-index: 64 bits in so many blocks (four for RADIUS 7) that one at
+least differs in one bit or none, so every pair within the radius is met.  Candidates are verified by the
 weighted Jaccard similarity of 5-word shingles, counted with repetition, of the
 item and the document's words at its place; a shingle weighs the more the fewer
-items have it.
+items of the whole benchmark have it.
 
 The documents stream through map tasks and nothing of them is shuffled.  The
 benchmark is the stated query set: it is dealt into blocks of bounded bytes,
 each block is broadcast and runs against all documents, and the blocks' results
-are united, so its size bounds no result and no task's memory.
+are united, so its size bounds no result and no task's memory.  With several
+blocks, the items that have a shingle are counted over all of them first: a block
+gets the counts of its own items' shingles, and a place's other shingles get
+theirs by a join, before places are judged.
 
 Defined results: null or empty text on either side: no match; an item of fewer
 words than a shingle: its whole sequence is its one shingle; equal items: one
@@ -36,7 +39,7 @@ from ledgerline.llm.words import Roller, Texts, WordHasher, mixed, texts
 
 SHINGLE = 5
 SIMILARITY = 0.75
-RADIUS = 6
+RADIUS = 7
 #: Text of a block of the benchmark, in bytes.
 BLOCK_BYTES = 8 << 20
 #: Words whose sums are held at a time.
@@ -74,17 +77,21 @@ def _of_sums(sums: np.ndarray, size: int) -> np.ndarray:
 
 
 class MultiIndex:
-    """Fingerprints by the values of RADIUS + 1 blocks of their bits."""
+    """Fingerprints by the values of blocks of their bits, each value filed with those that differ from it in one bit."""
 
     def __init__(self, prints: np.ndarray, radius: int):
         self.prints, self.radius = prints, radius
-        edges = [64 * k // (radius + 1) for k in range(radius + 2)]
+        # 2 * blocks > radius: not every block can differ in two bits.
+        count = max(4, (radius + 2) // 2)
+        edges = [64 * k // count for k in range(count + 1)]
         self.blocks = []
         for lo, hi in zip(edges[:-1], edges[1:], strict=True):
             shift, mask = np.uint64(lo), np.uint64((1 << (hi - lo)) - 1)
-            value = (prints >> shift & mask).astype(np.int64)
+            flips = np.concatenate(([0], 1 << np.arange(hi - lo)))
+            value = ((prints >> shift & mask).astype(np.int64)[:, None] ^ flips).ravel()
             order = np.argsort(value, kind="stable")
-            first = np.searchsorted(value[order], np.arange((1 << (hi - lo)) + 1))
+            first = np.searchsorted(value[order], np.arange((1 << (hi - lo)) + 1)).astype(np.int32)
+            order //= len(flips)
             self.blocks.append((shift, mask, order, first, np.diff(first) > 0))
 
     def within(self, h: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -106,8 +113,10 @@ class MultiIndex:
 class Benchmark:
     """A block of items, ready to be looked for."""
 
-    def __init__(self, items: list[tuple[int | None, str | None]], radius: int):
+    def __init__(self, items: list[tuple[int | None, str | None]], radius: int, total: int | None = None, counts=()):
+        """``total`` items in the whole benchmark (None: these), ``counts`` (shingle, items) of own shingles in several."""
         self.ids = [i for i, _ in items]
+        self.total = len(items) if total is None else total
         self.shingles: list[tuple[np.ndarray, np.ndarray]] = []
         self.sizes = []
         classes: dict[int, list[tuple[int, int, np.uint64]]] = {}
@@ -125,6 +134,8 @@ class Benchmark:
                         classes.setdefault(step, []).append((k, shift, print_))
         items_of = np.concatenate([s for s, _ in self.shingles]) if self.shingles else np.zeros(0, np.uint64)
         self.known, self.items = np.unique(items_of, return_counts=True)
+        if len(counts):
+            self.items[np.searchsorted(self.known, np.array([s for s, _ in counts], np.int64).view(np.uint64))] = [n for _, n in counts]
         self.classes = {
             step: (np.array([k for k, _, _ in rows]), np.array([s for _, s, _ in rows]), MultiIndex(np.array([p for _, _, p in rows], np.uint64), radius))
             for step, rows in sorted(classes.items())
@@ -134,10 +145,16 @@ class Benchmark:
         """Of a shingle that d of N items have: log2(1 + N / d); d is 1 where none has it."""
         at = np.minimum(np.searchsorted(self.known, shingles), len(self.known) - 1)
         items = np.where(self.known[at] == shingles, self.items[at], 1)
-        return np.log2(1 + len(self.ids) / items)
+        return np.log2(1 + self.total / items)
 
     def similarity(self, item: int, words: np.ndarray) -> float:
         """Weighted Jaccard similarity of an item's shingles and those given."""
+        shared, every, *_ = self.compared(item, words)
+        return shared / every
+
+    def compared(self, item: int, words: np.ndarray) -> tuple[float, float, np.ndarray, np.ndarray, float]:
+        """Weight of what an item's shingles and those given share and of what either has; the shingles given that no
+        item here has, how often each occurs, and their part of the weight."""
         own, times = self.shingles[item]
         other, counts = np.unique(words, return_counts=True)
         every = np.union1d(own, other)
@@ -145,7 +162,8 @@ class Benchmark:
         x[np.searchsorted(every, own)] = times
         y[np.searchsorted(every, other)] = counts
         w = self.weights(every)
-        return float((w * np.minimum(x, y)).sum() / (w * np.maximum(x, y)).sum())
+        new = ~np.isin(every, self.known)
+        return float((w * np.minimum(x, y)).sum()), float((w * np.maximum(x, y)).sum()), every[new], y[new].astype(np.int64), float((w * y)[new].sum())
 
 
 def _shingles(prefix: np.ndarray, a: int, b: int) -> np.ndarray:
@@ -156,8 +174,8 @@ def _shingles(prefix: np.ndarray, a: int, b: int) -> np.ndarray:
     return mixed(_roll.runs(prefix, starts, starts + size))
 
 
-def matches(t: Texts, bench: Benchmark, similarity: float) -> Iterator[tuple[int, int, float, int, int]]:
-    """(text, item, similarity, first word, word after) of the best place of every item in every text."""
+def places(t: Texts, bench: Benchmark) -> Iterator[tuple[int, int, int, int, np.ndarray]]:
+    """(text, item, first word, word after, shingles) of every place where an item may be."""
     h = _hash(t.data, t.starts, t.ends)
     if not len(h) or not bench.classes:
         return
@@ -174,17 +192,95 @@ def matches(t: Texts, bench: Benchmark, similarity: float) -> Iterator[tuple[int
     at, item, shift, step = np.concatenate(candidates, axis=1)
     text = np.searchsorted(t.first, at, "right") - 1
     inside = at + step <= t.first[text + 1]
-    prefix, best = _roll.prefix(h), {}
+    prefix = _roll.prefix(h)
     for k, a, i, s in zip(*(x[inside].tolist() for x in (text, at, item, shift)), strict=True):
         start = max(a - s, int(t.first[k]))
         end = min(a - s + bench.sizes[i], int(t.first[k + 1]))
-        value = bench.similarity(i, _shingles(prefix, start, end))
+        yield k, i, start - int(t.first[k]), end - int(t.first[k]), _shingles(prefix, start, end)
+
+
+def matches(t: Texts, bench: Benchmark, similarity: float) -> Iterator[tuple[int, int, float, int, int]]:
+    """(text, item, similarity, first word, word after) of the best place of every item in every text."""
+    best = {}
+    for k, i, start, end, words in places(t, bench):
+        value = bench.similarity(i, words)
         if value >= similarity and value > best.get((k, i), (0.0,))[0]:
-            best[k, i] = (value, start - int(t.first[k]), end - int(t.first[k]))
+            best[k, i] = (value, start, end)
     for (k, i), (value, start, end) in sorted(best.items()):
         yield k, i, value, start, end
 
 
+def _item_shingles(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """block and shingle of every different shingle of every item."""
+    for batch in batches:
+        blocks = batch.column("block")
+        for t in texts(batch.column("text"), lower=True):
+            prefix = _roll.prefix(_hash(t.data, t.starts, t.ends))
+            for k, (a, b) in enumerate(zip(t.first[:-1].tolist(), t.first[1:].tolist(), strict=True)):
+                own = np.unique(_shingles(prefix, a, b)).view(np.int64)
+                block = np.full(len(own), blocks[t.rows.start + k].as_py(), np.int64)
+                yield pa.RecordBatch.from_arrays([pa.array(block), pa.array(own)], ["block", "shingle"])
+
+
+def _places(batches: Iterator[pa.RecordBatch], sent, radius: int, similarity: float) -> Iterator[pa.RecordBatch]:
+    """The places that may reach the similarity, whatever number of items has the shingles that none here has."""
+    items, total, counts, block = sent.value
+    bench = Benchmark(items, radius, total, counts)
+    kinds = {"block": pa.int64(), "number": pa.int64(), "item": pa.int64(), "place": pa.int64(), "doc_id": pa.int64(),
+             "item_id": pa.int64(), "start_word": pa.int64(), "end_word": pa.int64(), "row": pa.int64(),
+             "shared": pa.float64(), "rest": pa.float64(), "others": pa.list_(pa.int64()), "times": pa.list_(pa.int64())}
+    for batch in batches:
+        ids, keys, numbers = (batch.column(c) for c in ("doc_id", "row", "number"))
+        for t in texts(batch.column("text"), lower=True):
+            rows = []
+            for place, (k, i, start, end, words) in enumerate(places(t, bench)):
+                shared, every, others, times, weight = bench.compared(i, words)
+                rest, at = max(0.0, every - weight), t.rows.start + k
+                # A shingle weighs 1 at least: log2(1 + N / N).
+                if shared >= (similarity - 1e-9) * (rest + int(times.sum())):
+                    rows.append((block, numbers[at].as_py(), i, place, ids[at].as_py(), bench.ids[i], start, end, keys[at].as_py(),
+                                 shared, rest, others.view(np.int64).tolist(), times.tolist()))
+            if rows:
+                yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*rows, strict=True), kinds.values(), strict=True)], list(kinds))
+
+
+def _in_blocks(rows: DataFrame, items: DataFrame, blocks: int, radius: int, similarity: float) -> DataFrame:
+    """``find`` with a benchmark of several blocks."""
+    spark = rows.sparkSession
+    items = items.withColumn("block", F.pmod(F.xxhash64("item_id", "text"), F.lit(blocks)))
+    total = items.count()
+    own = stored(items.select("block", "text").mapInArrow(_item_shingles, "block long, shingle long"), "benchmark-shingles")
+    counts = stored(own.groupBy("shingle").agg(F.count("*").alias("items")).where("items > 1"), "benchmark-counts")
+    own = stored(own.distinct().join(counts, "shingle"), "benchmark-own")
+    schema = (
+        "block long, number long, item long, place long, doc_id long, item_id long, start_word long, end_word long, row long,"
+        " shared double, rest double, others array<long>, times array<long>"
+    )
+    rows, found = rows.withColumn("number", F.monotonically_increasing_id()), None
+    for block in range(blocks):
+        texts_ = [tuple(r) for r in items.where(F.col("block") == block).select("item_id", "text").collect()]
+        several = [tuple(r) for r in own.where(F.col("block") == block).select("shingle", "items").collect()]
+        sent = spark.sparkContext.broadcast((texts_, total, several, block))
+        part = rows.mapInArrow(partial(_places, sent=sent, radius=radius, similarity=similarity), schema)
+        found = part if found is None else found.unionAll(part)
+    found = stored(found, "benchmark-places")
+    key = ["block", "number", "item"]
+    others = (
+        found.select(*key, "place", F.explode(F.arrays_zip("others", "times")).alias("o"))
+        .select(*key, "place", F.col("o.others").alias("shingle"), F.col("o.times").alias("times"))
+        .join(counts, "shingle", "left")
+        .groupBy(*key, "place").agg(F.sum(F.expr(f"times * log2(1 + {total} / coalesce(items, 1))")).alias("weight"))
+    )
+    best = F.struct("similarity", (-F.col("place")).alias("place"), "doc_id", "item_id", "start_word", "end_word", "row")
+    return (
+        found.join(others, [*key, "place"], "left")
+        .withColumn("similarity", F.expr("shared / (rest + coalesce(weight, 0D))"))
+        .where(F.col("similarity") >= similarity)
+        .groupBy(*key).agg(F.max(best).alias("best"))
+        .select(*(f"best.{c.split()[0]}" for c in SCHEMA.split(", ")))
+    )
+
+
 def _search(batches: Iterator[pa.RecordBatch], items, radius: int, similarity: float) -> Iterator[pa.RecordBatch]:
     bench = Benchmark(items.value, radius)
     names = [c.split()[0] for c in SCHEMA.split(", ")]
@@ -217,10 +313,9 @@ def find(
     size = items.agg(F.sum(F.octet_length("text") + 64)).first()[0] or 0
     blocks = -(-size // block_bytes)
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text", F.xxhash64("doc_id", "text").alias("row"))
-    found = None
-    for block in range(blocks):
-        own = items.where(F.pmod(F.xxhash64("item_id", "text"), F.lit(blocks)) == block)
-        sent = spark.sparkContext.broadcast([tuple(r) for r in own.collect()])
-        part = rows.mapInArrow(partial(_search, items=sent, radius=radius, similarity=similarity), SCHEMA)
-        found = part if found is None else found.unionAll(part)
-    return found if found is not None else spark.createDataFrame([], SCHEMA)
+    if not blocks:
+        return spark.createDataFrame([], SCHEMA)
+    if blocks > 1:
+        return _in_blocks(rows, items, blocks, radius, similarity)
+    sent = spark.sparkContext.broadcast([tuple(r) for r in items.collect()])
+    return rows.mapInArrow(partial(_search, items=sent, radius=radius, similarity=similarity), SCHEMA)

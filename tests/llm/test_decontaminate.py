@@ -78,3 +78,26 @@ def test_empty_tables(spark):
     one = spark.createDataFrame([(1, "a b c d e f")], "doc_id long, text string")
     assert dc.find(d, b).collect() == [] == dc.find(one, b).collect()
     assert dc.find(d, one.withColumnRenamed("doc_id", "item_id")).collect() == []
+
+
+def test_similarity_does_not_depend_on_blocks(spark):
+    rng = random.Random(8)
+    fresh = lambda n: [f"v{rng.randrange(500)}" for _ in range(n)]
+    common = fresh(12)
+    items = [fresh(20) + common + fresh(8) for _ in range(8)] + [fresh(30) for _ in range(8)]
+    docs = []
+    for d in range(40):
+        item = list(items[d % 16])
+        item[rng.randrange(len(item))] = "changed"
+        # Words that other items have, inside the place.
+        item[-6:] = common[:6] if d % 3 == 0 else item[-6:]
+        docs.append((d, " ".join(fresh(50) + item + fresh(50))))
+    docs.append(docs[1])
+    d = spark.createDataFrame(docs, "doc_id long, text string").repartition(2)
+    b = spark.createDataFrame([(i, " ".join(w)) for i, w in enumerate(items)], "item_id long, text string")
+    one, many = (
+        sorted((r.doc_id, r.item_id, r.start_word, r.end_word, round(r.similarity, 9)) for r in dc.find(d, b, similarity=0.4, block_bytes=n).collect())
+        for n in (1 << 20, 400)
+    )
+    assert one == many and len(one) > 30
+    assert dc.RADIUS >= 7
