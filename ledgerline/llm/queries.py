@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from ledgerline.llm import decontaminate, ngram_join, packing, quality, secrets, substring_dedup, token_store, toxicity, url_filter, warc
+from ledgerline.llm import decontaminate, ngram_join, packing, quality, secrets, substring_dedup, token_store, toxicity, url_filter, warc, whitening
 from ledgerline.llm.common import table
 
 
@@ -50,5 +50,9 @@ def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.digests(table(spark, sf_dir, "documents"))
 
 
+def op13_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whitening.digests(table(spark, sf_dir, "embeddings"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {name: f for name, f in globals().items() if name.startswith("op") and callable(f)}
