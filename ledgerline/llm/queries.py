@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from ledgerline.llm import decontaminate, ngram_join, packing, quality, secrets, spelling, substring_dedup, token_store, toxicity, url_filter, warc, whitening
+from ledgerline.llm import chat, decontaminate, ngram_join, packing, quality, secrets, spelling, substring_dedup, token_store, toxicity, url_filter, warc, whitening
 from ledgerline.llm.common import table
 
 
@@ -54,6 +54,10 @@ def op11_spelling(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spelling.variants(spelling.vocabulary(table(spark, sf_dir, "documents")))
 
 
+def op12_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return chat.round_trip(table(spark, sf_dir, "conversations"))
+
+
 def op13_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
     return whitening.digests(table(spark, sf_dir, "embeddings"))
 
