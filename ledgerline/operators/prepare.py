@@ -35,7 +35,7 @@ def prepare_mappings(df: DataFrame) -> DataFrame:
     )
 
 
-def prepare_ledger(df: DataFrame, order_col: str = "seq", money: str = "double") -> DataFrame:
+def prepare_ledger(df: DataFrame, order_col: str = "seq", money: str = "double", carry: tuple[str, ...] = ()) -> DataFrame:
     """Ledger rows typed, money nulls as 0.0, and debit/credit split by type.
 
     ``order_col`` (arrival order, unique) is required: the reference numbers
@@ -44,7 +44,8 @@ def prepare_ledger(df: DataFrame, order_col: str = "seq", money: str = "double")
 
     ``money="double"`` keeps amounts as read (pairing compares doubles exactly,
     as the reference does); ``money="cents"`` reads them as DECIMAL(18,2)
-    values, i.e. rounded to cents, so equal cent amounts always pair.
+    values, i.e. rounded to cents, so equal cent amounts always pair.  Columns
+    named in ``carry`` go along as they are.
     """
     if order_col not in df.columns:
         raise ValueError(f"ledger needs an arrival-order column {order_col!r}")
@@ -66,6 +67,7 @@ def prepare_ledger(df: DataFrame, order_col: str = "seq", money: str = "double")
         amount("OpeningBalance").alias("opening_balance"),
         amount("ClosingBalance").alias("closing_balance"),
         F.col(order_col).cast(T.LongType()).alias("seq"),
+        *carry,
     )
     return split_debit_credit(typed)
 

@@ -34,8 +34,8 @@ RESULT_COLUMNS = (
 CARRIED_COLUMNS = ("closing_balance", "seq")
 
 
-def tally_rows(rows: DataFrame) -> DataFrame:
-    """Final projection of rows that carry ``debit``/``credit``/``final_date``."""
+def tally_rows(rows: DataFrame, *more: str) -> DataFrame:
+    """Final projection of rows that carry ``debit``/``credit``/``final_date``; columns ``more`` go along."""
     one = F.lit(1).cast("int")
     return rows.select(
         "account_number",
@@ -51,6 +51,7 @@ def tally_rows(rows: DataFrame) -> DataFrame:
         "customer_amount",
         round_money("closing_balance").alias("closing_balance"),
         "seq",
+        *more,
     )
 
 

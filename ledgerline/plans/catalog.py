@@ -352,50 +352,93 @@ def account_activity_shifted(spark: SparkSession, sf_dir: str) -> DataFrame:
 # ---- streaming ----------------------------------------------------------------------------
 
 STREAM_ARRIVALS = 4
+STREAM_TIMEOUT_S = 5000
+# Which of the arrivals a row is in (see fixtures.ledger_arrivals), as SQL.
+_ARRIVAL = f"(seq - min(seq) over ()) // ((max(seq) over () - min(seq) over ()) // {STREAM_ARRIVALS} + 1)"
 
 
-@register(
-    "stream_pairing",
-    "select account_number, seq, forward_type pair_type, next_credit from cls where next_seq is not null",
-)
-def stream_pairing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    base = scratch_path(spark, "stream-pairing")
-    sink = streaming.run_chunked(
-        spark, fixtures.fixture_ledger(spark, sf_dir), streaming.pair_stream, base, STREAM_ARRIVALS
-    )
-    out = spark.read.parquet(sink)
-    return out.where(~F.col("late")).select("account_number", "seq", "pair_type", "next_credit")
+def _arrivals(spark: SparkSession, sf_dir: str, name: str, delayed: bool = False) -> tuple[str, DataFrame]:
+    """(folder of the stream's output, the prepared ledger as a stream of one file per micro-batch)."""
+    base = scratch_path(spark, name)
+    schema = fixtures.ledger_arrivals(spark, sf_dir, f"{base}/in", STREAM_ARRIVALS, delayed)
+    stream = streaming.ledger_file_stream(spark, f"{base}/in", schema, files_per_trigger=1)
+    return f"{base}/out", prepare.prepare_ledger(stream, carry=("arrived_at",))
 
 
-@register(
-    "stream_tally",
-    "select p.* from per_txn p join nb n on p.seq = n.seq where n.next_seq is not null",
-)
-def stream_tally(spark: SparkSession, sf_dir: str) -> DataFrame:
-    inp = fixture_inputs(spark, sf_dir)
-    base = scratch_path(spark, "stream-tally")
+def _finished(query) -> None:
+    query.awaitTermination()
+    if query.exception() is not None:
+        raise query.exception()
+
+
+@register("stream_pairing", "select account_number, seq, forward_type pair_type, next_credit from cls")
+def stream_pairing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Resolved, late and pending rows of a stream over the whole ledger: the batch result."""
+    out, stream = _arrivals(spark, sf_dir, "stream-pairing")
+    _finished(streaming.start_pairing(stream, out))
+    return streaming.all_rows(spark, out).select("account_number", "seq", "pair_type", "next_credit")
 
-    def build(stream: DataFrame) -> DataFrame:
-        return streaming.tally_stream(streaming.pair_stream(stream), inp.customers, inp.mappings)
 
-    sink = streaming.run_chunked(spark, fixtures.fixture_ledger(spark, sf_dir), build, base, STREAM_ARRIVALS)
-    return streaming_read(spark, sink)
+@register("stream_pairing_flushed", "select account_number, seq, forward_type pair_type, next_credit from cls")
+def stream_pairing_flushed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Resolved rows plus the pending ones, with hot accounts split finely and the state compacted every second batch."""
+    out, stream = _arrivals(spark, sf_dir, "stream-flushed")
+    _finished(streaming.start_pairing(stream, out, span=FINE_SPAN, compact_every=2))
+    rows = streaming.resolved_rows(spark, out).unionByName(streaming.pending_rows(spark, out))
+    return rows.select("account_number", "seq", "pair_type", "next_credit")
 
 
-def streaming_read(spark: SparkSession, sink: str) -> DataFrame:
-    """The stream's appended batches read back as one table."""
-    return read_batches(spark, [sink])
+@register(
+    "stream_late_rows",
+    f"""select account_number, seq, late,
+               case when debit_amount > 0 and ledger_txn_no <> '' and not late and on_time_credit = debit_amount then 'DR_with_paired_CR'
+                    when debit_amount > 0 and ledger_txn_no <> '' then 'DR_unpaired'
+                    when credit_amount > 0 then 'CR_transaction' else 'other' end pair_type,
+               case when not late then on_time_credit end next_credit
+        from (select *, lead(credit_amount) over (partition by account_number, late order by seq) on_time_credit
+              from (select *, coalesce(max(seq) over (partition by account_number order by arrival
+                                       range between unbounded preceding and 1 preceding) >= seq, false) late
+                    from (select *, {_ARRIVAL} + case when (seq // 2) % 97 = 0 then 1 else 0 end arrival from ledger)))""",
+)
+def stream_late_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A stream in which some rows come after later ones of their account: on-time and late rows are the input."""
+    out, stream = _arrivals(spark, sf_dir, "stream-late", delayed=True)
+    _finished(streaming.start_pairing(stream, out))
+    return streaming.all_rows(spark, out).select("account_number", "seq", "late", "pair_type", "next_credit")
 
 
 @register(
-    "stream_pairing_flushed",
-    "select account_number, seq, forward_type pair_type, next_credit from cls",
+    "stream_pairing_event_time",
+    f""", a as (select *, {_ARRIVAL} arrival from ledger),
+             marks as (select arrival, max(seq) mark from a group by arrival),
+             n as (select a.*, lead(arrival) over w next_arrival, lead(credit_amount) over w credit_after
+                   from a window w as (partition by account_number order by seq)),
+             t as (select n.*, case when next_arrival = n.arrival then credit_after
+                                    when seq + {STREAM_TIMEOUT_S} <= (select max(mark) from marks m where m.arrival < next_arrival) then null
+                                    else credit_after end known_credit
+                   from n)
+        select account_number, seq,
+               case when debit_amount > 0 and ledger_txn_no <> '' and known_credit = debit_amount then 'DR_with_paired_CR'
+                    when debit_amount > 0 and ledger_txn_no <> '' then 'DR_unpaired'
+                    when credit_amount > 0 then 'CR_transaction' else 'other' end pair_type,
+               known_credit next_credit,
+               coalesce(next_arrival = arrival, false) or seq + {STREAM_TIMEOUT_S} <= (select max(mark) from marks)
+                 or next_arrival is not null resolved
+        from t""",
 )
-def stream_pairing_flushed(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Stream output plus the pending rows read back from state: the whole batch result."""
-    base = scratch_path(spark, "stream-flushed")
-    sink = streaming.run_chunked(
-        spark, fixtures.fixture_ledger(spark, sf_dir), streaming.pair_stream, base, STREAM_ARRIVALS
-    )
-    rows = spark.read.parquet(sink).unionByName(streaming.pending_rows(spark, streaming.checkpoint_of(base)))
-    return rows.where(~F.col("late")).select("account_number", "seq", "pair_type", "next_credit")
+def stream_pairing_event_time(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Pairing with the event-time timer: a row whose account stays silent too long is resolved as unpaired."""
+    out, stream = _arrivals(spark, sf_dir, "stream-event-time")
+    _finished(streaming.start_pairing(stream, out, timeout_s=STREAM_TIMEOUT_S))
+    done = streaming.resolved_rows(spark, out).withColumn("resolved", F.lit(True))
+    rows = done.unionByName(streaming.pending_rows(spark, out).withColumn("resolved", F.lit(False)))
+    return rows.select("account_number", "seq", "pair_type", "next_credit", "resolved")
+
+
+@register("stream_tally", "select * from per_txn")
+def stream_tally(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The per-transaction tally by stream-static joins, written per micro-batch, with the rows still pending."""
+    inp = fixture_inputs(spark, sf_dir)
+    out, stream = _arrivals(spark, sf_dir, "stream-tally")
+    _finished(streaming.start_tally(stream, out, inp.customers, inp.mappings))
+    return streaming.all_tally(spark, out, inp.customers, inp.mappings).drop("late")

@@ -21,6 +21,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ledgerline.config import DEFAULT_SPAN
 from ledgerline.operators.skew import BUCKET, HOT, Split, with_buckets
@@ -31,11 +32,12 @@ def base_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def customers_derived(spark: SparkSession, sf_dir: str, with_duplicates: bool = True) -> DataFrame:
-    """``acc``: one customer in ten left out, one in fifty listed twice."""
+    """``acc``: every customer, one in ten under an account number that no ledger row has, one in fifty twice."""
     customer = base_table(spark, sf_dir, "customer")
     text = """
-        select cast(c_custkey as string) account_number, c_name customer_name, c_acctbal customer_amount
-        from {customer} where c_custkey % 10 <> 3
+        select concat(case when c_custkey % 10 = 3 then 'X' else '' end, cast(c_custkey as string)) account_number,
+               c_name customer_name, c_acctbal customer_amount
+        from {customer}
     """
     if with_duplicates:
         text += """
@@ -47,14 +49,14 @@ def customers_derived(spark: SparkSession, sf_dir: str, with_duplicates: bool =
 
 
 def mappings_derived(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """``map``: a date one day after the order for every third order's number."""
+    """``map``: a date one day after the order for every order; two numbers in three are no ledger row's."""
     orders = base_table(spark, sf_dir, "orders")
     return spark.sql(
         """
         select cast(o_custkey as string) account_number,
                cast(cast(o_orderdate as date) + interval '1' day as date) txn_date,
-               concat('TXN', cast(o_orderkey as string)) transaction_number
-        from {orders} where o_orderkey % 3 = 0
+               concat(case when o_orderkey % 3 = 0 then 'TXN' else 'OLD' end, cast(o_orderkey as string)) transaction_number
+        from {orders}
         """,
         orders=orders,
     )
@@ -162,6 +164,28 @@ def fixture_ledger(spark: SparkSession, sf_dir: str, span: int = DEFAULT_SPAN) -
     )
 
 
+def ledger_arrivals(spark: SparkSession, sf_dir: str, path: str, parts: int, delayed: bool = False) -> T.StructType:
+    """The whole ledger as files that arrive one after another; returns their schema.
+
+    Arrival k has the rows of the k-th of ``parts`` equal ranges of ``seq``, and
+    ``arrived_at`` one second of 2024 per unit of ``seq``.  With ``delayed`` the
+    rows whose ``seq div 2`` 97 divides come one arrival later.
+    """
+    ledger = fixture_ledger(spark, sf_dir).withColumn("arrived_at", F.timestamp_seconds(F.lit(1704067200) + F.col("seq")))
+    bounds = raw_ledger(spark, sf_dir).agg(F.min("seq").alias("lo"), F.max("seq").alias("hi")).first()
+    lo, hi = (bounds["lo"] or 0), (bounds["hi"] or 0)
+    arrival = F.expr(f"(seq - {lo}) div {(hi - lo) // parts + 1}")
+    if delayed:
+        arrival = arrival + F.when(F.expr("seq div 2") % 97 == 0, 1).otherwise(0)
+    split = f"{path}-split"
+    ledger.withColumn("arrival", arrival).write.mode("overwrite").partitionBy("arrival").parquet(split)
+    # A file source takes files by their time: later arrivals are written later.
+    for k in range(parts + delayed):
+        rows = spark.read.schema(T.StructType([*ledger.schema.fields, T.StructField("arrival", T.IntegerType())])).parquet(split)
+        rows.where(F.col("arrival") == k).drop("arrival").coalesce(1).write.mode("append").parquet(path)
+    return ledger.schema
+
+
 def fixture_narrations(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Narration text per order; every seventh carries no number."""
     orders = base_table(spark, sf_dir, "orders")

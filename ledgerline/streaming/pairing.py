@@ -1,279 +1,269 @@
-"""Incremental pairing as a Structured Streaming job.
-
-The batch rule needs each row's *next* row in its account.  In a stream the
-next row may arrive in a later micro-batch, so every account keeps its last
-seen row ("pending") in state: ``groupBy(account).applyInPandasWithState``.
-State travels with the data in Arrow batches, so many small accounts cost
-little per micro-batch (about 1.6x faster here than
-``transformWithStateInPandas``, whose state calls are round trips per key).
-When rows arrive, the pending row and the new rows (sorted by ``seq``) are
-paired; every row but the last now knows its successor and is emitted; the
-last becomes the new pending row.
-A pair split over two micro-batches is therefore still found.
-
-Rows with ``seq`` not above the pending row's arrived out of order; they are
-emitted with ``late = true`` and take no part in pairing.  The last row of an
-account stays pending until the account's next row arrives, so a bounded run
-leaves it out (the batch result minus those rows); ``pending_rows`` reads
-them back from the checkpoint (state data source) to flush a bounded run,
-after which stream output plus pending rows equals the batch result.
-
-Per micro-batch an account's rows are sorted in one Python call, so the
-source should bound a trigger (``maxFilesPerTrigger``/``maxBytesPerTrigger``);
-state per account is one row, whatever the account's size.
-
-Downstream: stream-static left joins with customers and mappings, the tally
-projection, and a Parquet sink whose checkpoint makes the job restartable.
+"""Incremental pairing: a Structured Streaming job whose state is a table.
+
+The batch rule needs each row's *next* row in its account, which may arrive in
+a later micro-batch.  Every account therefore has one row of state: its last
+row so far ("pending").  A micro-batch is united with the pending rows of its
+accounts and paired by the same ``add_neighbors`` as a batch ledger (JVM only,
+hot accounts split): rows with a successor are *resolved*, the last row of each
+account is the new pending one, and rows not after their account's pending row
+arrived out of order: they are *late*, classified without successor, and go to
+an output of their own.  Nothing is dropped: resolved, late and pending rows
+together are the input.
+
+All three are written in one job to ``rows/batch=<id>/kind=<kind>``, replacing
+what an earlier attempt at the same micro-batch left, and a batch's state is
+derived from the folders of earlier batches only.  So a micro-batch can run any
+number of times, and readers look only at batches that the checkpoint's commit
+log holds.  Every ``COMPACT_EVERY`` batches the state is compacted to one row
+per account under ``state/upto=<id>``, in folders by account bucket; a
+micro-batch reads the buckets its accounts are in and the batches since.
+
+Event-time timer (``timeout_s``): the watermark is the largest ``arrived_at``
+seen, less ``delay_s``.  A pending row whose ``arrived_at`` is ``timeout_s`` or
+more behind it is resolved as unpaired; its place stays known, so an older row
+that comes later is still late, and a later credit no longer pairs with it.
+
+Tally: ``start_tally`` also writes each batch's resolved and late numbered
+debits, joined with the static customers and mappings, to ``tally/batch=<id>``.
 """
 
 from __future__ import annotations
 
-import time
-from collections.abc import Iterator
+from collections.abc import Callable
 
-import numpy as np
-import pandas as pd
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.errors import AnalysisException
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
-from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
+from pyspark.sql.streaming import StreamingQuery
 
+from ledgerline.config import DEFAULT_SPAN
 from ledgerline.operators.enrich import add_customer, add_mapped_date, effective_date
-from ledgerline.operators.pairing import CR_TRANSACTION, DR_UNPAIRED, DR_WITH_PAIRED_CR, OTHER, forward_class
+from ledgerline.operators.neighbors import add_neighbors
+from ledgerline.operators.pairing import DR_UNPAIRED, DR_WITH_PAIRED_CR, KEY, ORDER, forward_class
+from ledgerline.operators.skew import Split, as_split
 from ledgerline.operators.tally import tally_rows
-from ledgerline.session import ship_package
-
-ROW_FIELDS = [
-    T.StructField("seq", T.LongType()),
-    T.StructField("date", T.DateType()),
-    T.StructField("transaction_type", T.StringType()),
-    T.StructField("amount", T.DoubleType()),
-    T.StructField("ledger_txn_no", T.StringType()),
-    T.StructField("opening_balance", T.DoubleType()),
-    T.StructField("closing_balance", T.DoubleType()),
-    T.StructField("debit_amount", T.DoubleType()),
-    T.StructField("credit_amount", T.DoubleType()),
-]
-ROW_COLUMNS = [f.name for f in ROW_FIELDS]
-STATE_SCHEMA = T.StructType(ROW_FIELDS)
-OUTPUT_SCHEMA = T.StructType(
-    [T.StructField("account_number", T.StringType())]
-    + ROW_FIELDS
-    + [
+
+ARRIVED = "arrived_at"
+ROW_SCHEMA = T.StructType(
+    [
+        T.StructField(KEY, T.StringType()),
+        T.StructField(ORDER, T.LongType()),
+        T.StructField("date", T.DateType()),
+        T.StructField("transaction_type", T.StringType()),
+        T.StructField("amount", T.DoubleType()),
+        T.StructField("ledger_txn_no", T.StringType()),
+        T.StructField("opening_balance", T.DoubleType()),
+        T.StructField("closing_balance", T.DoubleType()),
+        T.StructField("debit_amount", T.DoubleType()),
+        T.StructField("credit_amount", T.DoubleType()),
+        T.StructField(ARRIVED, T.TimestampType()),
+    ]
+)
+ROW_COLUMNS = ROW_SCHEMA.fieldNames()
+OUTPUT_COLUMNS = [*ROW_COLUMNS, "next_credit", "pair_type"]
+_WRITTEN = T.StructType(
+    [
+        *ROW_SCHEMA.fields,
         T.StructField("next_credit", T.DoubleType()),
         T.StructField("pair_type", T.StringType()),
-        T.StructField("late", T.BooleanType()),
+        T.StructField("batch", T.LongType()),
+        T.StructField("kind", T.StringType()),
     ]
 )
 
-
-OUTPUT_NAMES = [f.name for f in OUTPUT_SCHEMA.fields]
-# NumPy dtype per row column inside the handler (text and dates stay Python objects).
-_DTYPES = {
-    f.name: ("int64" if isinstance(f.dataType, T.LongType) else "float64" if isinstance(f.dataType, T.DoubleType) else object)
-    for f in ROW_FIELDS
-}
-
-
-def _sql_positive(x: np.ndarray) -> np.ndarray:
-    # SQL orders NaN above every number, so NaN > 0 holds there (not in numpy).
-    with np.errstate(invalid="ignore"):
-        return (x > 0) | np.isnan(x)
-
-
-def _sql_equal(a: np.ndarray, b: np.ndarray) -> np.ndarray:
-    with np.errstate(invalid="ignore"):
-        return (a == b) | (np.isnan(a) & np.isnan(b))
-
-
-def classify_arrays(
-    debit: np.ndarray, credit: np.ndarray, txn: np.ndarray, next_credit: np.ndarray, has_next: np.ndarray
-) -> np.ndarray:
-    """Forward pair class of each row, given its successor's credit (SQL NaN rules)."""
-    numbered = (pd.notna(txn) & (txn != "")).astype(bool)
-    numbered_dr = _sql_positive(debit) & numbered
-    paired = numbered_dr & has_next & _sql_equal(next_credit, debit)
-    return np.select(
-        [paired, numbered_dr, _sql_positive(credit)],
-        [DR_WITH_PAIRED_CR, DR_UNPAIRED, CR_TRANSACTION],
-        default=OTHER,
-    ).astype(object)
-
-
-def classify_run(rows: pd.DataFrame, next_credit: np.ndarray, has_next: np.ndarray) -> np.ndarray:
-    """``classify_arrays`` on a frame of ledger rows."""
-    return classify_arrays(
-        rows["debit_amount"].to_numpy(dtype="float64"),
-        rows["credit_amount"].to_numpy(dtype="float64"),
-        rows["ledger_txn_no"].to_numpy(dtype=object),
-        next_credit,
-        has_next,
-    )
-
-
-def _py(v):
-    """A pandas cell as a plain Python value for the state store (NaN money stays NaN)."""
-    if isinstance(v, np.generic):
-        v = v.item()
-    if v is None or isinstance(v, float):
-        return v
-    if pd.isna(v):
-        return None
-    if isinstance(v, pd.Timestamp):
-        return v.date()
-    return v
-
-
-def _resolve(account, frames: Iterator[pd.DataFrame], held: tuple | None):
-    """Pair the pending row ``held`` and the new rows of one account.
-
-    Returns (output frame or None, new pending tuple or None).  Plain NumPy
-    columns and one output frame per call keep the per-account cost low.
-    """
-    frames = list(frames)
-    batch = frames[0] if len(frames) == 1 else pd.concat(frames, ignore_index=True)
-    cols = {c: batch[c].to_numpy() for c in ROW_COLUMNS}
-    seq = cols["seq"].astype("int64")
-    late = np.zeros(len(seq), dtype=bool)
-    if held is not None:
-        late = seq <= held[0]
-        run = {
-            c: np.concatenate((np.array([held[i]], dtype=_DTYPES[c]), cols[c][~late].astype(_DTYPES[c])))
-            for i, c in enumerate(ROW_COLUMNS)
-        }
-    else:
-        run = {c: cols[c] for c in ROW_COLUMNS}
-    run_seq = run["seq"].astype("int64")
-    if len(run_seq) > 1 and np.any(run_seq[1:] < run_seq[:-1]):
-        order = np.argsort(run_seq, kind="stable")
-        run = {c: v[order] for c, v in run.items()}
-    parts = {name: [] for name in OUTPUT_NAMES}
-    if late.any():
-        idx = np.flatnonzero(late)
-        for c in ROW_COLUMNS:
-            parts[c].append(cols[c][idx].astype(_DTYPES[c]))
-        parts["next_credit"].append(np.full(len(idx), np.nan))
-        parts["pair_type"].append(np.full(len(idx), None, dtype=object))
-        parts["late"].append(np.ones(len(idx), dtype=bool))
-    n = len(run_seq)
-    new_pending = held
-    if n:
-        credit = run["credit_amount"].astype("float64")
-        next_credit = np.append(credit[1:], np.nan)
-        kinds = classify_arrays(
-            run["debit_amount"].astype("float64"),
-            credit,
-            run["ledger_txn_no"].astype(object),
-            next_credit,
-            np.arange(n) < n - 1,
+# Kinds of rows in a batch's folder; a closed row is an expired pending one, kept for its place.
+RESOLVED, LATE, PENDING, CLOSED = "resolved", "late", "pending", "closed"
+
+COMPACT_EVERY = 16
+BUCKETS = 64
+
+
+def _with(schema: T.StructType, name: str, kind: T.DataType) -> T.StructType:
+    return T.StructType([*schema.fields, T.StructField(name, kind)])
+
+
+def _last_by_batch(rows: DataFrame) -> DataFrame:
+    """One row per account: that of its last micro-batch."""
+    last = F.max_by(F.struct(*[c for c in rows.columns if c != KEY]), "batch").alias("last")
+    return rows.groupBy(KEY).agg(last).select(KEY, "last.*")
+
+
+def _bucket() -> Column:
+    return F.pmod(F.xxhash64(KEY), F.lit(BUCKETS)).cast("int").alias("bucket")
+
+
+class MicroBatches:
+    """The micro-batch step and the folders under ``path``."""
+
+    def __init__(
+        self,
+        path: str,
+        span: int | Split | None = DEFAULT_SPAN,
+        timeout_s: float | None = None,
+        delay_s: float = 0.0,
+        compact_every: int = COMPACT_EVERY,
+        after: Callable[[DataFrame, int], None] | None = None,
+    ):
+        self.path = path.rstrip("/")
+        self.span, self.timeout_s, self.delay_s, self.compact_every, self.after = span, timeout_s, delay_s, compact_every, after
+
+    # ---- state ---------------------------------------------------------------------------
+
+    def state(self, spark: SparkSession, batch_id: int, accounts: DataFrame | None = None) -> DataFrame:
+        """The last row of every account (of ``accounts`` only) before micro-batch ``batch_id``; ``kind`` tells if it is closed."""
+        upto = batch_id // self.compact_every * self.compact_every - 1
+        rows = spark.createDataFrame([], _WRITTEN)
+        if upto >= 0:
+            base = spark.read.schema(_with(_WRITTEN, "bucket", T.IntegerType())).parquet(f"{self.path}/state/upto={upto}")
+            if accounts is not None:
+                # At most BUCKETS values: the folders this micro-batch needs.
+                here = [r.bucket for r in accounts.select(_bucket()).distinct().collect()]
+                base = base.where(F.col("bucket").isin(here)) if here else base.limit(0)
+            rows = rows.unionByName(base.drop("bucket"))
+        recent = [f"{self.path}/rows/batch={i}" for i in range(upto + 1, batch_id)]
+        if recent:
+            found = spark.read.schema(_WRITTEN).option("basePath", f"{self.path}/rows").parquet(*recent)
+            rows = rows.unionByName(found.where(F.col("kind").isin(PENDING, CLOSED)))
+        if accounts is not None:
+            own = accounts.select(F.col(KEY).alias("_a")).distinct()
+            rows = rows.join(own, F.col(KEY).eqNullSafe(F.col("_a")), "left_semi")
+        return _last_by_batch(rows)
+
+    def _compact(self, spark: SparkSession, batch_id: int) -> None:
+        if (batch_id + 1) % self.compact_every == 0:
+            self._latest(spark, batch_id).withColumn("bucket", _bucket()).write.mode("overwrite").partitionBy("bucket").parquet(
+                f"{self.path}/state/upto={batch_id}"
+            )
+
+    def _latest(self, spark: SparkSession, batch_id: int) -> DataFrame:
+        """State after ``batch_id``, from the last compaction and the batches since, this one included."""
+        before = self.state(spark, batch_id)
+        own = spark.read.schema(_WRITTEN).option("basePath", f"{self.path}/rows").parquet(f"{self.path}/rows/batch={batch_id}")
+        return _last_by_batch(before.unionByName(own.where(F.col("kind").isin(PENDING, CLOSED))))
+
+    def _watermark(self, spark: SparkSession, rows: DataFrame, batch_id: int) -> float | None:
+        """Largest arrival time up to this micro-batch less the delay, in seconds; None before any."""
+        seen = rows.select(F.max(F.unix_micros(ARRIVED)).alias("at"))
+        if batch_id:
+            seen = seen.unionByName(spark.read.schema("at long").parquet(f"{self.path}/marks/batch={batch_id - 1}"))
+        at = seen.agg(F.max("at").alias("at")).first()["at"]
+        spark.createDataFrame([(at,)], "at long").coalesce(1).write.mode("overwrite").parquet(f"{self.path}/marks/batch={batch_id}")
+        return None if at is None else at / 1e6 - self.delay_s
+
+    # ---- one micro-batch -----------------------------------------------------------------
+
+    def __call__(self, batch: DataFrame, batch_id: int) -> None:
+        spark = batch.sparkSession
+        rows = batch.select(*ROW_COLUMNS)
+        held = self.state(spark, batch_id, rows).persist() if batch_id else None
+        if held is None:
+            marked = rows.withColumn("_late", F.lit(False))
+        else:
+            places = held.select(F.col(KEY).alias("_a"), F.col(ORDER).alias("_held"))
+            marked = rows.join(places, F.col(KEY).eqNullSafe(F.col("_a")), "left").withColumn(
+                "_late", F.coalesce(F.col(ORDER) <= F.col("_held"), F.lit(False))
+            )
+        marked = marked.select(*ROW_COLUMNS, "_late").persist()
+        try:
+            self._write(spark, marked, held, batch_id)
+        finally:
+            marked.unpersist()
+            if held is not None:
+                held.unpersist()
+        self._compact(spark, batch_id)
+        if self.after:
+            written = spark.read.schema(_WRITTEN).option("basePath", f"{self.path}/rows").parquet(f"{self.path}/rows/batch={batch_id}")
+            self.after(written, batch_id)
+
+    def _write(self, spark: SparkSession, marked: DataFrame, held: DataFrame | None, batch_id: int) -> None:
+        on_time = marked.where(~F.col("_late")).drop("_late")
+        if held is not None:
+            on_time = on_time.unionByName(held.where(F.col("kind") == PENDING).select(*ROW_COLUMNS))
+        # A micro-batch of no more rows than a hot account has holds no hot account.
+        split = as_split(self.span)
+        span = split if split is not None and marked.count() >= split.threshold else None
+        paired = add_neighbors(on_time, KEY, ORDER, lead={"next_credit": "credit_amount", "_next": ORDER}, span=span)
+        last = F.col("_next").isNull()
+        expired = F.lit(False)
+        if self.timeout_s is not None:
+            mark = self._watermark(spark, marked, batch_id)
+            if mark is not None:
+                expired = last & F.coalesce(F.unix_micros(ARRIVED) / 1e6 + self.timeout_s <= F.lit(mark), F.lit(False))
+            if batch_id:
+                # Accounts that this micro-batch doesn't touch may have fallen silent.
+                own = marked.select(F.col(KEY).alias("_a")).distinct()
+                others = self.state(spark, batch_id).where(F.col("kind") == PENDING).join(own, F.col(KEY).eqNullSafe(F.col("_a")), "left_anti")
+                silent = others.where(F.unix_micros(ARRIVED) / 1e6 + self.timeout_s <= F.lit(mark)).select(*ROW_COLUMNS)
+                paired = paired.unionByName(silent, allowMissingColumns=True)
+        kinds = (
+            F.when(expired, F.array(F.lit(RESOLVED), F.lit(CLOSED)))
+            .when(last, F.array(F.lit(PENDING)))
+            .otherwise(F.array(F.lit(RESOLVED)))
         )
-        for c in ROW_COLUMNS:
-            parts[c].append(run[c][:-1].astype(_DTYPES[c]))
-        parts["next_credit"].append(next_credit[:-1])
-        parts["pair_type"].append(kinds[:-1])
-        parts["late"].append(np.zeros(n - 1, dtype=bool))
-        new_pending = tuple(_py(run[c][-1]) for c in ROW_COLUMNS)
-    if not sum(len(a) for a in parts["late"]):
-        return None, new_pending
-    out = pd.DataFrame({name: np.concatenate(parts[name]) for name in OUTPUT_NAMES if name != "account_number"})
-    out.insert(0, "account_number", account)
-    return out, new_pending
-
-
-def _expire(account, held: tuple) -> pd.DataFrame:
-    """A pending row emitted without successor (unpaired)."""
-    row = pd.DataFrame([list(held)], columns=ROW_COLUMNS)
-    row["next_credit"] = np.nan
-    row["pair_type"] = classify_run(row, np.array([np.nan]), np.array([False]))
-    row["late"] = False
-    row.insert(0, "account_number", account)
-    return row[OUTPUT_NAMES]
-
-
-def pending_row_state(timeout_ms: int | None = None):
-    """The per-account function for ``applyInPandasWithState``.
-
-    State is the account's last seen row.  With ``timeout_ms`` a
-    processing-time timeout emits that row as unpaired once the account has
-    been silent that long, and forgets it.
-    """
+        late = marked.where("_late").select(*ROW_COLUMNS, F.lit(None).cast("double").alias("next_credit"), F.array(F.lit(LATE)).alias("kinds"))
+        out = paired.select(*ROW_COLUMNS, "next_credit", kinds.alias("kinds")).unionByName(late)
+        out = out.withColumn("pair_type", forward_class()).select(*OUTPUT_COLUMNS, F.explode("kinds").alias("kind"))
+        out.write.mode("overwrite").partitionBy("kind").parquet(f"{self.path}/rows/batch={batch_id}")
+
+
+# ---- starting -----------------------------------------------------------------------------
 
-    def step(key, frames: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
-        account = key[0]
-        if state.hasTimedOut:
-            if state.exists:
-                held = state.get
-                state.remove()
-                yield _expire(account, held)
-            return
-        out, pending = _resolve(account, frames, state.get if state.exists else None)
-        if pending is not None:
-            state.update(pending)
-            if timeout_ms is not None:
-                state.setTimeoutDuration(timeout_ms)
-        if out is not None:
-            yield out
-
-    return step
-
-
-def pair_stream(ledger_stream: DataFrame, pending_timeout_ms: int | None = None) -> DataFrame:
-    """Prepared ledger stream -> resolved rows with ``next_credit`` and ``pair_type`` (and late rows).
-
-    ``pending_timeout_ms``: emit an account's pending row as unpaired after that
-    much processing time without a new row for the account.  Lower latency, but
-    a credit arriving later no longer pairs with it; the default (no timeout)
-    keeps the batch result exact and a bounded run is flushed with
-    ``pending_rows``.  Processing time, not event time: a watermark on posting
-    dates would drop out-of-order ledger rows as late.
+
+def _rows(ledger_stream: DataFrame) -> DataFrame:
+    if ARRIVED not in ledger_stream.columns:
+        ledger_stream = ledger_stream.withColumn(ARRIVED, F.lit(None).cast("timestamp"))
+    return ledger_stream.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in ROW_SCHEMA.fields])
+
+
+def start_pairing(
+    ledger_stream: DataFrame,
+    path: str,
+    span: int | Split | None = DEFAULT_SPAN,
+    timeout_s: float | None = None,
+    delay_s: float = 0.0,
+    compact_every: int = COMPACT_EVERY,
+    after: Callable[[DataFrame, int], None] | None = None,
+    available_now: bool = True,
+) -> StreamingQuery:
+    """Pair a prepared ledger stream into the folders under ``path`` (also the checkpoint's, so a restart goes on).
+
+    ``timeout_s`` needs the column ``arrived_at`` (timestamp).  The rows of one
+    account must reach the stream in ``seq`` order across micro-batches, else
+    they are late; ``compact_every`` must stay the same over restarts.
     """
-    spark = ledger_stream.sparkSession
-    ship_package(spark)  # the step function below runs in Python workers
-    if "RocksDB" not in (spark.conf.get("spark.sql.streaming.stateStore.providerClass", "") or ""):
-        # One row per account of state: keep it off the JVM heap at 10^8 accounts.
-        spark.conf.set(
-            "spark.sql.streaming.stateStore.providerClass",
-            "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
-        )
-    rows = ledger_stream.select("account_number", *ROW_COLUMNS)
-    timeout = GroupStateTimeout.NoTimeout if pending_timeout_ms is None else GroupStateTimeout.ProcessingTimeTimeout
-    return rows.groupBy("account_number").applyInPandasWithState(
-        pending_row_state(pending_timeout_ms), OUTPUT_SCHEMA, STATE_SCHEMA, "append", timeout
-    )
+    step = MicroBatches(path, span, timeout_s, delay_s, compact_every, after)
+    writer = _rows(ledger_stream).writeStream.foreachBatch(step.__call__).option("checkpointLocation", f"{step.path}/checkpoint")
+    return (writer.trigger(availableNow=True) if available_now else writer).start()
 
 
-def tally_stream(paired: DataFrame, customers: DataFrame, mappings: DataFrame | None) -> DataFrame:
-    """Resolved numbered debits, enriched by stream-static joins, as tally rows."""
-    debits = paired.where(~F.col("late") & F.col("pair_type").isin(DR_WITH_PAIRED_CR, DR_UNPAIRED))
+def tally_of(rows: DataFrame, customers: DataFrame, mappings: DataFrame | None) -> DataFrame:
+    """Numbered debits among paired rows, with customer and mapped date, as tally rows; ``late`` is kept."""
+    debits = rows.where(F.col("pair_type").isin(DR_WITH_PAIRED_CR, DR_UNPAIRED))
     enriched = effective_date(add_mapped_date(add_customer(debits, customers), mappings))
-    amounts = enriched.withColumns(
-        {
-            "debit": F.col("debit_amount"),
-            "credit": F.when(F.col("pair_type") == F.lit(DR_WITH_PAIRED_CR), F.col("next_credit")).otherwise(
-                F.lit(0.0)
-            ),
-        }
-    )
-    return tally_rows(amounts)
-
-
-def run_to_parquet(result: DataFrame, output_path: str, checkpoint_path: str, available_now: bool = True):
-    """Append a streaming result to a Parquet folder; the checkpoint makes restarts exactly-once."""
-    writer = result.writeStream.format("parquet").option("path", output_path).option(
-        "checkpointLocation", checkpoint_path
-    ).outputMode("append")
-    if available_now:
-        writer = writer.trigger(availableNow=True)
-    return writer.start()
+    credit = F.when(F.col("pair_type") == F.lit(DR_WITH_PAIRED_CR), F.col("next_credit")).otherwise(F.lit(0.0))
+    return tally_rows(enriched.withColumns({"debit": F.col("debit_amount"), "credit": credit}), "late")
+
+
+def start_tally(
+    ledger_stream: DataFrame, path: str, customers: DataFrame, mappings: DataFrame | None = None, **options
+) -> StreamingQuery:
+    """``start_pairing`` that also writes the tally of each micro-batch's resolved and late rows."""
+
+    def after(rows: DataFrame, batch_id: int) -> None:
+        done = rows.where(F.col("kind").isin(RESOLVED, LATE)).withColumn("late", F.col("kind") == LATE)
+        tally_of(done, customers, mappings).write.mode("overwrite").parquet(f"{path.rstrip('/')}/tally/batch={batch_id}")
+
+    return start_pairing(ledger_stream, path, after=after, **options)
 
 
 def ledger_file_stream(
     spark: SparkSession, path: str, schema: T.StructType, files_per_trigger: int | None = None
 ) -> DataFrame:
-    """Ledger files (input shapes) as a stream; optionally a bounded number of files per micro-batch.
+    """Ledger files (input shapes) as a stream, oldest first; optionally a bounded number of files per micro-batch.
 
-    Files of one arrival must be processed together (rows of an account are
-    ordered across arrivals, not across the files of one arrival).
+    Rows of an account are ordered across micro-batches, not across the files
+    of one micro-batch.
     """
     reader = spark.readStream.schema(schema)
     if files_per_trigger:
@@ -281,81 +271,55 @@ def ledger_file_stream(
     return reader.parquet(path)
 
 
-def checkpoint_of(base_path: str) -> str:
-    return f"{base_path}/ckpt"
+# ---- reading ------------------------------------------------------------------------------
 
 
-def pending_rows(spark: SparkSession, checkpoint_path: str) -> DataFrame:
-    """The rows still waiting for a successor, read from a stopped query's checkpoint.
+def committed(spark: SparkSession, path: str) -> int:
+    """The last micro-batch that the checkpoint's commit log holds; -1 before any."""
+    try:
+        log = spark.read.text(f"{path.rstrip('/')}/checkpoint/commits").select(F.col("_metadata.file_name").cast("long").alias("id"))
+    except AnalysisException as e:
+        if e.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return -1
+    last = log.agg(F.max("id").alias("id")).first()["id"]
+    return -1 if last is None else last
 
-    They have no next row, so they classify as unpaired (``next_credit`` null);
-    the result has the stream's output schema and can be unioned with it.
-    """
-    state = spark.read.format("statestore").load(checkpoint_path)
-    rows = state.select(F.col("key.account_number").alias("account_number"), "value.groupState.*")
-    rows = rows.withColumn("next_credit", F.lit(None).cast(T.DoubleType()))
-    rows = rows.withColumns({"pair_type": forward_class(), "late": F.lit(False)})
-    return rows.select(*[f.name for f in OUTPUT_SCHEMA.fields])
-
-
-def run_chunked(
-    spark: SparkSession,
-    ledger_input: DataFrame,
-    build,
-    base_path: str,
-    parts: int = 4,
-    timers: bool = False,
-) -> str:
-    """Feed a static ledger (input shapes, with ``seq``) to a stream in ``parts`` arrivals.
-
-    Each arrival is one seq range written as a Parquet folder; after it lands
-    the streaming query is (re)started from its checkpoint and processes
-    exactly the new files.  State, source offsets and sink commits persist in
-    the checkpoint between arrivals, as they would across restarts of a
-    long-running job.  Returns the sink path; the checkpoint is
-    ``checkpoint_of(base_path)``.
-
-    Without timers each run is ``availableNow``.  With processing-time timers
-    (``timers=True``) Spark keeps running no-data batches, so such a run is
-    stopped once a batch has consumed the new files and no data is pending.
-    """
-    bounds = ledger_input.agg(F.min("seq").alias("lo"), F.max("seq").alias("hi")).first()
-    lo, hi = (bounds["lo"] or 0), (bounds["hi"] or 0)
-    step = (hi - lo) // parts + 1
-    inbox, sink, ckpt = f"{base_path}/in", f"{base_path}/out", checkpoint_of(base_path)
-    from ledgerline.operators.prepare import prepare_ledger
-
-    for i in range(parts):
-        chunk = ledger_input.where((F.col("seq") >= lo + i * step) & (F.col("seq") < lo + (i + 1) * step))
-        chunk.write.mode("overwrite").parquet(f"{inbox}/arrival={i:04d}")
-        stream = ledger_file_stream(spark, f"{inbox}/*", ledger_input.schema, files_per_trigger=None)
-        query = run_to_parquet(build(prepare_ledger(stream)), sink, ckpt, available_now=not timers)
-        if timers:
-            try:
-                _await_new_files(query)
-            finally:
-                query.stop()
-        else:
-            query.awaitTermination()
-        if query.exception() is not None:
-            raise query.exception()
-    return sink
-
-
-def _await_new_files(query, timeout_s: float = 600.0) -> None:
-    """Block until a batch of ``query`` has consumed newly arrived files and nothing is pending."""
-    deadline = time.monotonic() + timeout_s
-    while time.monotonic() < deadline:
-        if query.exception() is not None:
-            return
-        consumed = any(
-            src.get("startOffset") != src.get("endOffset")
-            for p in query.recentProgress
-            for src in p.get("sources", [])
-        )
-        # Under timers a trigger is always active (no-data batches), so only
-        # "a completed batch took the new files and no data is pending" counts.
-        if consumed and not query.status["isDataAvailable"]:
-            return
-        time.sleep(0.2)
-    raise TimeoutError("streaming run did not consume the new arrival in time")
+
+def _read(spark: SparkSession, path: str, *kinds: str) -> DataFrame:
+    last = committed(spark, path)
+    if last < 0:
+        return spark.createDataFrame([], _WRITTEN)
+    rows = spark.read.schema(_WRITTEN).parquet(f"{path.rstrip('/')}/rows")
+    return rows.where((F.col("batch") <= last) & F.col("kind").isin(*kinds))
+
+
+def resolved_rows(spark: SparkSession, path: str) -> DataFrame:
+    """On-time rows whose successor is known (or whose timer ran out)."""
+    return _read(spark, path, RESOLVED).select(*OUTPUT_COLUMNS)
+
+
+def late_rows(spark: SparkSession, path: str) -> DataFrame:
+    """Rows that arrived after a later one of their account, classified without successor."""
+    return _read(spark, path, LATE).select(*OUTPUT_COLUMNS)
+
+
+def pending_rows(spark: SparkSession, path: str) -> DataFrame:
+    """The last row of each account that still waits for a successor, classified without one."""
+    return _last_by_batch(_read(spark, path, PENDING, CLOSED)).where(F.col("kind") == PENDING).select(*OUTPUT_COLUMNS)
+
+
+def all_rows(spark: SparkSession, path: str) -> DataFrame:
+    """Every row of the stream once, with ``late``: resolved, late and pending."""
+    on_time = resolved_rows(spark, path).unionByName(pending_rows(spark, path)).withColumn("late", F.lit(False))
+    return on_time.unionByName(late_rows(spark, path).withColumn("late", F.lit(True)))
+
+
+def all_tally(spark: SparkSession, path: str, customers: DataFrame, mappings: DataFrame | None = None) -> DataFrame:
+    """The tally written by ``start_tally`` and that of the rows still pending: no numbered debit is left out."""
+    waiting = tally_of(pending_rows(spark, path).withColumn("late", F.lit(False)), customers, mappings)
+    last = committed(spark, path)
+    if last < 0:
+        return waiting
+    done = spark.read.schema(_with(waiting.schema, "batch", T.LongType())).parquet(f"{path.rstrip('/')}/tally")
+    return done.where(F.col("batch") <= last).drop("batch").unionByName(waiting)
