@@ -28,14 +28,16 @@ def stored(frame: DataFrame, label: str) -> DataFrame:
     return spark.read.schema(frame.schema).parquet(path)
 
 
-#: Rows that ``joined`` broadcasts at most.
-BROADCAST_ROWS = 200_000
+#: Rows, and bytes of their values as JSON, that ``joined`` broadcasts at most.
+BROADCAST_ROWS, BROADCAST_BYTES = 200_000, 32 << 20
 
 
 def joined(rows: DataFrame, few: DataFrame, on: list[str], how: str, most: int = BROADCAST_ROWS) -> DataFrame:
-    """``rows`` joined with ``few``: by broadcast if that has been counted as ``most`` rows or fewer, else by shuffle."""
+    """``rows`` joined with ``few``: by broadcast if that has been measured as small, else by shuffle."""
     few = stored(few, "joined")
-    return rows.join(F.broadcast(few) if few.count() <= most else few, on, how)
+    size = few.agg(F.count(F.lit(1)).alias("n"), F.sum(F.octet_length(F.to_json(F.struct(*few.columns)))).alias("bytes")).first()
+    small = size.n <= most and (size.bytes or 0) <= BROADCAST_BYTES
+    return rows.join(F.broadcast(few) if small else few, on, how)
 
 
 def components(edges: DataFrame, label: str, max_rounds: int = 60) -> DataFrame:

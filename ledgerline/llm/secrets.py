@@ -18,12 +18,21 @@ after, secret).  Where a caller has none of their own, ``labelled_findings``
 makes them from rules: tokens of providers' formats in assignments, against
 checksums, identifiers, paths, numbers and compound words.
 
+A finding is a place: the word's number and the value's position in it, so that
+masking changes the value there and nothing else of the text, in one pass over
+the text's words.
+
 Defined results: null or empty text: no candidate; repeated rows: a finding
-each; null doc_id: kept; a text or table without candidates: no rows.
+each; null doc_id: kept; a text or table without candidates: no rows; long
+words: every value in them (time grows with the square of the values in a
+single word only); values that overlap: findings each, masked as one;
+columns of the input named like a finding's are ignored, and kept by masking.
 """
 
 from __future__ import annotations
 
+import math
+
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import RandomForestClassifier
 from pyspark.ml.feature import VectorAssembler
@@ -38,8 +47,10 @@ MIN_ASSIGNED = 6
 TRAINING_ROWS = 4000
 TREES, DEPTH, SEED = 24, 7, 11
 THRESHOLD = 0.5
-#: Documents' words of letters so often used count as dictionary words.
-DICTIONARY_COUNT = 20
+#: Words of letters that come so often per document, all documents together, count as dictionary words.
+DICTIONARY_SHARE = 1e-4
+#: Characters before a value that its features look at.
+CONTEXT = 180
 #: Names of credentials (fixed values).
 NAMES = "token|secret|passwd|password|pwd|api[_-]?key|apikey|access[_-]?key|auth|credential|private[_-]?key|client[_-]?secret|bearer"
 
@@ -54,7 +65,8 @@ _ASSIGNED = (
     f"(?<=(?i:{NAMES}){_QUOTE}{{0,2}}[=:]{_QUOTE}{{0,3}}){_IN}{{{MIN_ASSIGNED - 1},}}{_END}"
     f"|(?<=://[A-Za-z0-9._-]{{0,64}}:){_IN}{{{MIN_ASSIGNED - 1},}}{_END}(?=[^/]*@)"
 )
-_FIRST = f"^[\"\\'`(\\\\[{{<]*({_IN}{{{MIN_ASSIGNED - 1},}}{_END})"
+_OPEN = "^[\"\\'`(\\\\[{<]*"
+_FIRST = f"{_OPEN}({_IN}{{{MIN_ASSIGNED - 1},}}{_END})"
 _TELLING = "(v rlike '[0-9]' or v rlike '[a-z][A-Z]')"
 
 FEATURES = (
@@ -64,7 +76,7 @@ FEATURES = (
 
 
 def candidates(docs: DataFrame) -> DataFrame:
-    """row, doc_id, place (word number), value, before (two words), inside (text before it in its word), after."""
+    """row, doc_id, place (word number), start (in the word), value, before (two words), inside (text before it in its word), after."""
     rows = docs.select(
         F.col("doc_id").cast("long").alias("doc_id"),
         F.xxhash64("doc_id", "text").alias("row"),
@@ -88,14 +100,20 @@ def candidates(docs: DataFrame) -> DataFrame:
         F.expr("coalesce(get(w, place + 1), '')").alias("after"),
         F.expr(named.replace("w[i]", "w[place]").replace("i - ", "place - ").replace("i >= 1", "place >= 1")).alias("named"),
     )
+    # Where a pattern's matches stand follows from the texts between them.
+    spans = (
+        "transform(regexp_extract_all(word, '{0}', 0), (v, i) -> named_struct('start',"
+        " aggregate(slice(split(word, '{0}', -1), 1, i + 1), 0, (a, x) -> a + length(x))"
+        " + aggregate(slice(regexp_extract_all(word, '{0}', 0), 1, i), 0, (a, x) -> a + length(x)), 'value', v))"
+    )
+    first = f"named_struct('start', length(regexp_extract(word, '{_OPEN}', 0)), 'value', regexp_extract(word, '{_FIRST}', 1))"
     values = (
-        f"array_distinct(concat(filter(regexp_extract_all(word, '{_RUN}', 0), v -> {_TELLING}),"
-        f" regexp_extract_all(word, '{_ASSIGNED}', 0),"
-        f" if(named, filter(array(regexp_extract(word, '{_FIRST}', 1)), v -> v <> ''), array())))"
+        f"array_distinct(concat(filter({spans.format(_RUN)}, s -> {_TELLING.replace('v rlike', 's.value rlike')}),"
+        f" {spans.format(_ASSIGNED)}, if(named, filter(array({first}), s -> s.value <> ''), array())))"
     )
     return (
-        found.withColumn("value", F.explode(F.expr(values)))
-        .withColumn("inside", F.expr("substring(word, 1, greatest(0, instr(word, value) - 1))"))
+        found.select("*", F.expr(f"inline({values})"))
+        .withColumn("inside", F.expr(f"substring(word, greatest(1, start + 1 - {CONTEXT}), least(start, {CONTEXT}))"))
         .drop("word", "named")
     )
 
@@ -138,14 +156,15 @@ def described(found: DataFrame, words: DataFrame) -> DataFrame:
     )
 
 
-def dictionary(docs: DataFrame, at_least: int = DICTIONARY_COUNT) -> DataFrame:
-    """Words of letters that all documents together hold ``at_least`` times."""
+def dictionary(docs: DataFrame, share: float = DICTIONARY_SHARE) -> DataFrame:
+    """Words of letters that all documents together hold ``share`` times a document, twice at least."""
+    at_least = max(2, math.ceil(share * docs.count()))
     words = docs.select(F.explode(F.expr("split(lower(coalesce(text, '')), '[^a-z]+')")).alias("word"))
     return words.where("length(word) between 3 and 24").groupBy("word").count().where(F.col("count") >= at_least).select("word")
 
 
 def labelled_findings(spark: SparkSession, rows: int = TRAINING_ROWS) -> DataFrame:
-    """(value, before, inside, after, secret), half of them secrets, by rule from row numbers."""
+    """(value, before, inside, after, secret, kind), nearly half of them secrets, by rule from row numbers; kind is the rule's number."""
     h = "sha2(concat('{}', id), 256)"
     b64 = "base64(unhex(substring({}, 1, {})))"
     a, b = h.format("a"), h.format("b")
@@ -155,29 +174,36 @@ def labelled_findings(spark: SparkSession, rows: int = TRAINING_ROWS) -> DataFra
         (f"substring({a}, 1, 40)", 1), (f"upper(substring({a}, 1, 40))", 1), (f"substring({a}, 1, 32)", 1), (f"{b64.format(a, 48)}", 1), (f"concat('AKIA', upper(substring({a}, 1, 16)))", 1),
         (f"concat('ghp_', regexp_replace({b64.format(a, 54)}, '[^A-Za-z0-9]', 'x'))", 1), (f"concat('sk-', regexp_replace({b64.format(b, 48)}, '[^A-Za-z0-9]', 'Q'))", 1),
         (f"concat('eyJ', {b64.format(a, 30)}, '.', {b64.format(b, 40)})", 1), (f"concat(substring({a}, 1, 4), upper(substring({b}, 3, 5)), '-', substring({a}, 9, 6))", 1),
+        (f"concat({word.format(3)}, string(10 + id * 37 % 9000), substring({b}, 1, int(id % 3)))", 1),
+        (f"concat(initcap({word.format(7)}), '_', substring({a}, 1, 5), string(id % 97))", 1),
         # others
         (f"substring({b}, 1, 40)", 0), (f"{b}", 0), ("string(1000000000000000 + id * 7919317931)", 0),
         (f"concat_ws('-', substring({a}, 1, 8), substring({a}, 9, 4), substring({a}, 13, 4), substring({a}, 17, 4), substring({a}, 21, 12))", 0),
         (f"concat('/usr/lib/', {word.format(1)}, '/', {word.format(5)}, string(id % 9), '.so')", 0),
         (f"concat({word.format(1)}, {word.format(5)}, {word.format(7)}, string(id % 100))", 0), (f"concat({word.format(5)}, initcap({word.format(7)}), initcap({word.format(11)}))", 0),
         (f"concat({word.format(7)}, string(id % 97), '@mail', string(id % 9), '.example.com')", 0), (f"concat('2024-0', string(1 + id % 9), '-1', string(id % 9), 'T10:00:0', string(id % 9), 'Z')", 0),
+        # ordinary words after a credential's name ("the secret: people ...")
+        (f"{word.format(1)}", 2), (f"concat({word.format(5)}, 's')", 2), (f"concat({word.format(7)}, '-', {word.format(11)})", 2),
+        (f"initcap({word.format(11)})", 2), (f"translate(substring({a}, 1, int(6 + id % 7)), '0123456789', 'oiaeuslrnt')", 2),
+        (f"translate(substring({b}, 1, int(6 + id % 9)), '0123456789', 'ghklmnoprs')", 2),
     ]
     secret_before = "element_at(array('token =','api_key:','set password =','my secret is','x auth =','Bearer','aws access_key =','the token ='), int(1 + id * 3 % 8))"
     secret_inside = "element_at(array('\"','','\"','''','token=','password=\"','api_key:','\"'), int(1 + id * 5 % 8))"
     plain_before = "element_at(array('the commit','in this','sha256 checksum','order number','see file','of the','uuid is','and then','card no','mail to'), int(1 + id * 3 % 10))"
     plain_inside = "element_at(array('','','(','sha1:','\"','','',''), int(1 + id * 5 % 8))"
     pick = "case kind " + " ".join(f"when {k} then {v}" for k, (v, _) in enumerate(values)) + " end"
-    secrets = ", ".join(str(k) for k, (_, s) in enumerate(values) if s)
+    secrets, named = (", ".join(str(k) for k, (_, s) in enumerate(values) if s in kinds) for kinds in ((1,), (1, 2)))
     return (
         spark.range(0, rows, 1, 1)
         .withColumn("kind", F.expr(f"int(id % {len(values)})"))
         .withColumn("secret", F.expr(f"double(kind in ({secrets}))"))
         .select(
             F.expr(pick).alias("value"),
-            F.expr(f"if(secret = 1, {secret_before}, {plain_before})").alias("before"),
-            F.expr(f"if(secret = 1, {secret_inside}, {plain_inside})").alias("inside"),
+            F.expr(f"if(kind in ({named}), {secret_before}, {plain_before})").alias("before"),
+            F.expr(f"if(kind in ({named}), {secret_inside}, {plain_inside})").alias("inside"),
             F.lit("the").alias("after"),
             "secret",
+            "kind",
         )
     )
 
@@ -195,31 +221,49 @@ def train(findings: DataFrame, words: DataFrame, rows: int = TRAINING_ROWS) -> P
 
 
 def scan(docs: DataFrame, findings: DataFrame | None = None, threshold: float = THRESHOLD) -> DataFrame:
-    """All candidates with their score and verdict: row, doc_id, place, value, score, is_secret."""
+    """All candidates with their score and verdict: row, doc_id, place, start, value, score, is_secret."""
     docs = docs.select("doc_id", "text")
     words = stored(dictionary(docs), "secret-dictionary")
     model = train(findings if findings is not None else labelled_findings(docs.sparkSession), words)
     found = stored(candidates(docs), "secret-candidates")
     scored = model.transform(described(found, words)).withColumn("score", F.round(vector_to_array("probability")[1], 6))
-    return scored.select("row", "doc_id", "place", "value", "score", (F.col("score") >= threshold).alias("is_secret"))
+    return scored.select("row", "doc_id", "place", "start", "value", "score", (F.col("score") >= threshold).alias("is_secret"))
+
+
+_SPACE = "[\\\\x20\\\\x09-\\\\x0D]"
+#: A text cut before the white space in front of each word.
+_PIECES = f"split(text, '(?<=[^\\\\x20\\\\x09-\\\\x0D])(?={_SPACE})')"
 
 
 def redacted(docs: DataFrame, found: DataFrame, mark: str = "[SECRET]") -> DataFrame:
-    """The documents with every value found secret in them replaced by ``mark``.
+    """The documents with every value found secret replaced by ``mark`` where it was found, and nothing else changed.
 
     All columns are kept; n_chars, if there, counts the changed text.
     """
-    values = found.where("is_secret").groupBy("row").agg(F.array_sort(F.collect_set("value")).alias("_values"))
+    words = found.where("is_secret").groupBy("row", "place").agg(
+        F.sort_array(F.collect_set(F.struct("start", F.length("value").alias("size")))).alias("cuts")
+    )
+    edits = words.groupBy(F.col("row").alias("_row")).agg(F.sort_array(F.collect_list(F.struct("place", "cuts"))).alias("_edits"))
     rows = docs.withColumn("_row", F.xxhash64(F.col("doc_id").cast("long"), "text"))
-    rows = joined(rows, values.withColumnRenamed("row", "_row"), ["_row"], "left")
-    # Longer values first, so that none is left in part.
-    order = "array_sort(_values, (x, y) -> length(y) - length(x))"
-    text = F.when(F.col("_values").isNull(), F.col("text")).otherwise(
-        F.expr(f"aggregate({order}, text, (t, v) -> replace(t, v, '{mark}'))")
+    rows = joined(rows, edits, ["_row"], "left")
+    # The words are numbered from 1 where white space comes first.
+    number = f"(get(_edits, i).place - if(text rlike '^{_SPACE}', 1, 0))"
+    before = f"if(i = 0, 0, {number.replace('get(_edits, i)', 'get(_edits, i - 1)')} + 1)"
+    kept = f"array_join(slice(_pieces, {before} + 1, if(i < size(_edits), {number}, size(_pieces)) - {before}), '')"
+    piece = f"get(_pieces, {number})"
+    lead = f"length(regexp_extract({piece}, '^{_SPACE}*', 0))"
+    # Over a word's values in order: text up to the value and a mark, or a longer end where two overlap.
+    edited = (
+        f"aggregate(get(_edits, i).cuts, named_struct('at', 0, 'out', ''), (a, c) -> named_struct("
+        f"'at', greatest(a.at, {lead} + c.start + c.size), 'out', if({lead} + c.start < a.at, a.out,"
+        f" concat(a.out, substring({piece}, a.at + 1, {lead} + c.start - a.at), '{mark}'))),"
+        f" a -> concat(a.out, substring({piece}, a.at + 1)))"
     )
-    rows = rows.withColumn("text", text)
+    whole = f"array_join(transform(sequence(0, size(_edits)), i -> concat({kept}, if(i < size(_edits), {edited}, ''))), '')"
+    changed = F.col("_edits").isNotNull()
+    rows = rows.withColumn("_pieces", F.when(changed, F.expr(_PIECES))).withColumn("text", F.when(changed, F.expr(whole)).otherwise(F.col("text")))
     if "n_chars" in docs.columns:
-        rows = rows.withColumn("n_chars", F.when(F.col("_values").isNull(), F.col("n_chars")).otherwise(F.length("text").cast("long")))
+        rows = rows.withColumn("n_chars", F.when(changed, F.length("text").cast("long")).otherwise(F.col("n_chars")))
     return rows.select(*docs.columns)
 
 

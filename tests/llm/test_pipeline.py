@@ -4,14 +4,14 @@ from tests.llm.test_quality import kept
 
 
 def rows():
-    good = " ".join(f"Word{i} goes on, and on, to word{i * i}." for i in range(12))
+    good = " ".join(f"Word{i} goes{i} on, and on{i}, to word{i * i}." for i in range(12))
     key = "0123456789abcdef0123456789abcdef01234567"
     texts = [
         (1, good), (2, good), (3, good + " One more."), (4, good.replace("Word", "Term").replace("word", "term")),
         (5, "too short"), (6, None), (7, ""), (8, "\n".join(["HOME | ABOUT | NEWS | HELP | MORE"] * 8)),
-        (9, " ".join(f"Alone{i} stands, with token = \"{key}\" near it." for i in range(8))),
-        (10, " ".join(f"Front{i} it is." for i in range(20)) + " one two three four five six seven eight nine ten eleven twelve. " + " ".join(f"Back{i} it is." for i in range(20))),
-        (None, " ".join(f"Nameless{i} it is, so far." for i in range(20))), (4, good.replace("Word", "Term").replace("word", "term")),
+        (9, " ".join(f"Alone{i} stands far{i} off{i}, with token = \"{key}\" near{i} it{i}." for i in range(8))),
+        (10, " ".join(f"Front{i} it{i} is." for i in range(20)) + " one two three four five six seven eight nine ten eleven twelve. " + " ".join(f"Back{i} it{i} is." for i in range(20))),
+        (None, " ".join(f"Nameless{i} it{i} is, so far." for i in range(20))), (4, good.replace("Word", "Term").replace("word", "term")),
     ]
     return [(i, t, "en", "s", len(t or "")) for i, t in texts]
 
@@ -30,6 +30,7 @@ def test_stages(spark, tmp_path):
             assert tuple(docs.columns) == cp.COLUMNS
     ids = {name: sorted((r.doc_id for r in found), key=str) for name, found in seen.items()}
     want = [(i, t) for i, t, *_ in rows() if kept(t)]
+    assert {1, 2, 3, 4, 9, 10, None} == {i for i, _ in want}
     assert ids["quality rules"] == sorted((i for i, _ in want), key=str)
     assert ids["n-gram Jaccard join"] == sorted({c if c is not None else None for _, n, c in brute(want)}, key=str)
     assert ids["benchmark decontamination"] == [i for i in ids["n-gram Jaccard join"] if i != 10]

@@ -52,6 +52,50 @@ def test_held_out_accuracy_of_the_forest(spark):
     assert right >= 0.95 * rest.count()
 
 
+def test_formats_that_training_did_not_see(spark):
+    """Whole formats held out: neither their values nor anything made alike is among the findings trained on."""
+    made = sc.labelled_findings(spark, 6000)
+    words = spark.createDataFrame([(w,) for w in WORDS.split()], "word string")
+    for out, least in (((5, 6), 0.95), ((7,), 0.95), ((8,), 0.9), ((12, 14), 0.95), ((18, 20), 0.9)):
+        model = sc.train(made.where(~made.kind.isin(*out)), words)
+        rest = sc.described(made.where(made.kind.isin(*out)), words)
+        assert model.transform(rest).where("prediction = secret").count() >= least * rest.count(), out
+
+
+CLEAN = [
+    "My secret: people are people and people like people peopled.",
+    "auth: server the server and servers",
+    'the "password": "changes", then changes',
+    "The secret is patience, and the token: nothing more.",
+    "Bearer: carriers of messages; secret: Handler, private_key: windows-update",
+]
+
+
+def test_masking_changes_nothing_but_the_value_in_its_place(spark):
+    rows = [(i, t) for i, t in enumerate(CLEAN)] + [
+        (10, f"\n\t token =  {KEY}\tand service {KEY[:6]} x\n"),
+        (11, f' x="{KEY}" password="{OTHER}",\n  password="{OTHER}" \u00e9\U0001f600 tail '),
+        (12, f"token={KEY};token={OTHER};secret={KEY}"),
+        (13, "password:Hunter42x then Hunter42x and password:Hunter42x"),
+        (14, " ".join(f"token={KEY}" for _ in range(3000))),
+    ]
+    frame = spark.createDataFrame([(*r, 7, "x") for r in rows], "doc_id long, text string, n_chars long, place string").repartition(3)
+    left = {r.doc_id: r for r in sc.masked(frame).collect()}
+    assert [left[i].text for i in range(len(CLEAN))] == CLEAN and left[0].n_chars == 7 and left[0].place == "x"
+    assert left[10].text == f"\n\t token =  [SECRET]\tand service {KEY[:6]} x\n"
+    assert left[11].text in (rows[6][1].replace(OTHER, "[SECRET]"), rows[6][1].replace(OTHER, "[SECRET]").replace(KEY, "[SECRET]"))
+    assert left[12].text == "token=[SECRET];token=[SECRET];secret=[SECRET]"
+    assert left[13].text == "password:[SECRET] then Hunter42x and password:[SECRET]"
+    assert left[14].text == " ".join(["token=[SECRET]"] * 3000) and left[14].n_chars == len(left[14].text)
+
+
+def test_overlapping_values_are_masked_as_one(spark):
+    docs = spark.createDataFrame([(1, "a bcdefghij k")], "doc_id long, text string")
+    found = spark.createDataFrame([(1, 1, 1, "cdef", True), (1, 1, 3, "efgh", True), (1, 1, 0, "zz", False)], "doc_id long, place int, start int, value string, is_secret boolean")
+    found = found.join(docs.select("doc_id", sc.F.xxhash64("doc_id", "text").alias("row")), "doc_id")
+    assert sc.redacted(docs, found).first().text == "a b[SECRET]ij k"
+
+
 def test_native_plan(spark):
     frame = spark.createDataFrame(docs(), "doc_id long, text string, value string, score double")
     plan = sc.report(frame)._jdf.queryExecution().executedPlan().toString()
