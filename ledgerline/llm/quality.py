@@ -1,10 +1,14 @@
 """Line-first quality rules, in DataFrame functions only.
 
 Every line is judged by itself: navigation (many ``|`` between few words),
-boilerplate (phrases of web pages), symbols, shouting, and missing punctuation.
-Lines that fail are removed; a document that loses more than ``MAX_LOST`` per
-cent of its text so is rejected.  Base counts (repeated words, lines and so on)
-reject documents before that.
+boilerplate (a phrase of web pages among few words), symbols, shouting, and
+missing punctuation (of any script).  A line of more than ``LONG_LINE``
+characters is judged sentence by sentence, so that one phrase condemns a
+sentence and not a text without line breaks.  What fails is removed from the
+text; a document that loses more than ``MAX_LOST`` per cent of its text so is
+rejected.  Base counts (repeated words, lines and so on) reject documents
+before that.  ``keep`` hands on the cleaned texts; one without failing lines is
+handed on as it is, character by character.
 
 Everything happens within a row; nothing is shuffled, and a row's cost grows
 with its own text alone (repeats within a text are found by sorting window
@@ -30,6 +34,13 @@ REPEAT_WINDOW = 5
 MAX_LOST = 30
 #: A line of so many words needs some punctuation.
 UNPUNCTUATED_WORDS = 8
+#: Longer lines are judged by sentences; where those end (fixed values): stops before a blank, and stops that need none.
+LONG_LINE = 300
+STOPS, FULL_STOPS = ".!?\u2026\u0964\u0965\u06d4\u061f\u1362", "\u3002\uff01\uff1f"
+#: Marks that are no punctuation here, though Unicode counts them so.
+NO_PUNCTUATION = "#%&*@/"
+#: Fewer words than this for each part between bars are navigation; a line of more words than this is no furniture.
+NAVIGATION_WORDS, BOILERPLATE_WORDS = 4, 20
 #: Phrases of page furniture (fixed values).
 BOILERPLATE = (
     "javascript", "cookie policy", "privacy policy", "terms of use", "terms of service", "all rights reserved",
@@ -37,16 +48,24 @@ BOILERPLATE = (
 )
 
 
+_SQL_SPACE = SPACE.replace("\\", "\\\\")
+#: SQL: the parts of a line that are judged, which put together are the line.
+_PARTS = f"if(length(x) > {LONG_LINE}, split(x, '(?<=[{STOPS}])(?=[ \\t])|(?<=[{FULL_STOPS}])(?=.)', -1), array(x))"
+
+
 def line_rules(line: str) -> dict[str, str]:
     """SQL conditions under which the line (an SQL expression) fails, by rule; all three-valued logic is avoided."""
     phrases = "|".join(BOILERPLATE)
+    words = f"size(filter(split({line}, '{_SQL_SPACE}'), w -> w <> ''))"
+    # Bars that stand around a word (|x|) separate nothing.
+    bars = f"length(regexp_replace(regexp_replace({line}, '(?<![^ \\\\t(])[|][^| \\\\t]+[|](?![^ \\\\t,.;:)])', ''), '[^|]', ''))"
     return {
-        "navigation": f"length(regexp_replace({line}, '[^|]', '')) >= 3",
+        "navigation": f"length(regexp_replace({line}, '[^|]', '')) >= 3 and {bars} >= 3 and {words} < {NAVIGATION_WORDS} * (1 + {bars})",
         "symbols": f"10 * length(regexp_replace({line}, '[^{SYMBOLS}]', '')) > length({line})",
         "shouting": f"upper({line}) = {line} and lower({line}) <> {line} and length({line}) >= 20",
-        "boilerplate": f"{line} rlike '(?i)\\\\b({phrases})\\\\b'",
+        "boilerplate": f"{line} rlike '(?i)\\\\b({phrases})\\\\b' and {words} <= {BOILERPLATE_WORDS}",
         "punctuation": (
-            f"{line} not rlike '[.,;:!?]' and"
+            f"{line} not rlike '[\\\\p{{Po}}&&[^{NO_PUNCTUATION}\\\\\\\\]]' and"
             f" {line} rlike '^[ \\\\x09-\\\\x0D]*([^ \\\\x09-\\\\x0D]+[ \\\\x09-\\\\x0D]+){{{UNPUNCTUATED_WORDS - 1}}}[^ \\\\x09-\\\\x0D]'"
         ),
     }
@@ -71,7 +90,7 @@ def measured(docs: DataFrame) -> DataFrame:
     """doc_id, text, the documents' whole rows (``doc``), the base counts and the lines."""
     some = "x -> x <> ''"
     rows = docs.select("doc_id", "text", F.struct(*docs.columns).alias("doc"), F.coalesce("text", F.lit("")).alias("t"))
-    rows = rows.withColumn("words", F.expr(f"filter(split(t, '{SPACE.replace(chr(92), chr(92) * 2)}'), {some})"))
+    rows = rows.withColumn("words", F.expr(f"filter(split(t, '{_SQL_SPACE}'), {some})"))
     rows = rows.withColumn("hashes", F.expr(_repeat_words("words")))
     rows = rows.withColumn(
         "lines", F.expr("filter(split(t, '\\n', -1), x -> x rlike '[^\\\\x20\\\\x09-\\\\x0D]')")
@@ -96,7 +115,8 @@ def measured(docs: DataFrame) -> DataFrame:
         "doc_id",
         "text",
         "doc",
-        "lines",
+        "t",
+        F.size("lines").cast("long").alias("n_lines"),
         F.size("words").cast("long").alias("n_words"),
         F.length(F.array_join("words", "")).cast("long").alias("word_chars"),
         F.length(F.regexp_replace("t", f"[^{SYMBOLS}]+", "")).cast("long").alias("n_symbols"),
@@ -106,12 +126,14 @@ def measured(docs: DataFrame) -> DataFrame:
 
 
 def judged(docs: DataFrame) -> DataFrame:
-    """doc_id, text, the base counts, base_failed, kept, n_lines, n_failed_lines, lost_chars and clean_text."""
-    fails = " or ".join(f"({rule})" for rule in line_rules("x").values())
-    rows = measured(docs).withColumn("good", F.expr(f"filter(lines, x -> not ({fails}))"))
-    chars = "aggregate({}, 0L, (a, x) -> a + length(x))"
+    """doc_id, text, the base counts, base_failed, kept, n_lines, n_failed (lines, or sentences of long ones), lost_chars and clean_text."""
+    fails = " or ".join(f"({rule})" for rule in line_rules("p").values())
+    rows = measured(docs).withColumn("parts", F.expr(f"transform(split(t, '\\n', -1), x -> {_PARTS})"))
+    rows = rows.withColumn("good", F.expr(f"transform(parts, x -> filter(x, p -> not ({fails})))"))
+    chars = "aggregate({}, 0L, (a, x) -> a + length(array_join(x, '')))"
+    count = "aggregate({}, 0L, (a, x) -> a + size(x))"
     return (
-        rows.withColumn("all_chars", F.expr(chars.format("lines")))
+        rows.withColumn("all_chars", F.expr(chars.format("parts")))
         .withColumn("lost_chars", F.expr(f"all_chars - {chars.format('good')}"))
         .withColumn(
             "base_failed",
@@ -120,10 +142,10 @@ def judged(docs: DataFrame) -> DataFrame:
         .withColumn("kept", F.expr(f"not base_failed and 100 * lost_chars <= {MAX_LOST} * all_chars"))
         .select(
             "doc_id", "text", "doc", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept",
-            F.size("lines").cast("long").alias("n_lines"),
-            F.expr("cast(size(lines) - size(good) as long)").alias("n_failed_lines"),
+            "n_lines",
+            F.expr(f"{count.format('parts')} - {count.format('good')}").alias("n_failed"),
             "lost_chars",
-            F.array_join("good", "\n").alias("clean_text"),
+            F.expr("array_join(transform(filter(good, x -> size(x) > 0), x -> array_join(x, '')), '\n')").alias("clean_text"),
         )
     )
 
@@ -133,7 +155,12 @@ def verdicts(docs: DataFrame) -> DataFrame:
 
 
 def keep(docs: DataFrame) -> DataFrame:
-    """The documents that are kept, with their columns and texts as they are."""
+    """The documents that are kept, their failing lines removed; n_chars, if there, counts the changed text."""
     # The row number keeps the optimizer from unfolding the whole judgement into the filter, many times over.
     rows = judged(docs).withColumn("number", F.monotonically_increasing_id())
-    return rows.where("kept and number >= 0").select("doc.*")
+    clean = {"text": F.col("clean_text"), "n_chars": F.length("clean_text").cast(docs.schema["n_chars"].dataType) if "n_chars" in docs.columns else None}
+    fields = [
+        F.when(F.col("n_failed") > 0, clean[c]).otherwise(F.col(f"doc.`{c}`")).alias(c) if c in clean else F.col(f"doc.`{c}`").alias(c)
+        for c in docs.columns
+    ]
+    return rows.where("kept and number >= 0").select(*fields)

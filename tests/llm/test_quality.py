@@ -1,5 +1,6 @@
 import random
 import re
+import unicodedata
 from collections import Counter
 
 from ledgerline.llm import quality as q
@@ -17,22 +18,33 @@ def base(text):
 
 
 def line_fails(x):
-    n = len(WORD.findall(x))
+    n, bars = len(WORD.findall(x)), re.sub(r"(?<![^ \t(])\|[^| \t]+\|(?![^ \t,.;:)])", "", x).count("|")
     return (
-        x.count("|") >= 3
+        bars >= 3 and n < 4 * (1 + bars)
         or 10 * sum(c in "#*$%&|<>" for c in x) > len(x)
         or (x.upper() == x and x.lower() != x and len(x) >= 20)
-        or bool(re.search(r"(?i)\b(" + "|".join(q.BOILERPLATE) + r")\b", x))
-        or (not re.search(r"[.,;:!?]", x) and n >= q.UNPUNCTUATED_WORDS)
+        or bool(re.search(r"(?i)\b(" + "|".join(q.BOILERPLATE) + r")\b", x)) and n <= 20
+        or (not any(unicodedata.category(c) == "Po" and c not in "#%&*@/\\" for c in x) and n >= q.UNPUNCTUATED_WORDS)
     )
 
 
+def parts(line):
+    if len(line) <= 300:
+        return [line]
+    return re.split("(?<=[.!?\u2026\u0964\u0965\u06d4\u061f\u1362])(?=[ \t])|(?<=[\u3002\uff01\uff1f])(?=.)", line)
+
+
+def cleaned(text):
+    good = [[p for p in parts(x) if not line_fails(p)] for x in (text or "").split("\n")]
+    return "\n".join("".join(x) for x in good if x)
+
+
 def kept(text):
     if base(text)[5]:
         return False
-    lines = [x for x in (text or "").split("\n") if WORD.search(x)]
-    lost = sum(len(x) for x in lines if line_fails(x))
-    return 100 * lost <= q.MAX_LOST * sum(map(len, lines))
+    lines = [parts(x) for x in (text or "").split("\n")]
+    lost = sum(len(p) for x in lines for p in x if line_fails(p))
+    return 100 * lost <= q.MAX_LOST * sum(len(p) for x in lines for p in x)
 
 
 def corpus():
@@ -50,7 +62,29 @@ def corpus():
              "\n".join(f"SHOUTING LINE {i} GOES ON, AND ON" for i in range(9)),
              "Please Click Here now.\n" + "\n".join(f"Line {i} of the text goes on, and on, to {i * i}." for i in range(2)),
              "one two three four five six seven eight nine ten eleven twelve"]
-    return docs
+    return docs + ARTICLES
+
+
+ONE_LINE = " ".join(f"Sentence {i} of the{i} article says that{i} {i * i} is the{i} square of it{i}, more or less." for i in range(200))
+HINDI = "\n".join(f"\u092f\u0939 \u092a\u0902\u0915\u094d\u0924\u093f {i} \u0915\u0941\u091b \u0936\u092c\u094d\u0926 \u0915\u0939\u0924\u0940 {i * i} \u0939\u0948{i} \u0914\u0930 \u0930\u0941\u0915\u0924\u0940{i} \u0939\u0948\u0964" for i in range(40))
+FURNITURE = ["HOME | ABOUT | NEWS | HELP", "Click here to log in.", "Read more"]
+LINES = [f"Line {i} of the{i} text goes on{i}, and on, to {i * i}." for i in range(30)]
+ARTICLES = [
+    ONE_LINE, ONE_LINE + " Read more about it.", ONE_LINE.replace("Sentence 9 ", "Log in. Sentence 9 "), ONE_LINE.replace("more or less", "with |x|, |y| and |z|", 1),
+    ONE_LINE.replace("Sentence 7 of", "JavaScript, which is what the sentence here at hand with its number 7 of"), HINDI, HINDI.replace("\n", " "),
+    "\n".join([FURNITURE[0], *LINES[:15], "", FURNITURE[1], *LINES[15:], FURNITURE[2], ""]), "\u3002".join(f"\u53e5\u5b50 {i}" for i in range(100)) + "\u3002",
+]
+
+
+def test_articles_are_kept_and_page_furniture_goes(spark):
+    frame = spark.createDataFrame([(i, t, len(t), "s") for i, t in enumerate(ARTICLES)], "doc_id long, text string, n_chars int, clean_text string")
+    got = {r.doc_id: r for r in q.keep(frame.repartition(2)).collect()}
+    assert set(range(8)) <= set(got) and got[0].clean_text == "s"
+    assert all(got[i].text == cleaned(ARTICLES[i]) and got[i].n_chars == len(got[i].text) for i in got)
+    # Texts without furniture come back as they were; of the others only the furniture is gone.
+    assert all(got[i].text == ARTICLES[i] for i in (0, 3, 4, 5, 6))
+    assert got[1].text == ONE_LINE and got[2].text == ONE_LINE.replace("Sentence 9 ", " Sentence 9 ").replace("  Sentence 9", " Sentence 9")
+    assert got[7].text == "\n".join([*LINES[:15], "", *LINES[15:], ""])
 
 
 def test_equals_brute_force(spark):
