@@ -6,7 +6,7 @@ and distrust, a personalised PageRank from hosts by their blocked pages along
 reversed links (who links to a blocked host is suspect).  A page without a
 rule is blocked where its host's share of distrust passes the threshold.
 
-Links are the absolute ``href`` targets in the pages' html, counted by pairs of
+Links are the absolute ``href`` targets (``//host/`` too) in the pages' html, counted by pairs of
 hosts.  An iteration joins the scores with the edges and sums by host; sums
 combine before the shuffle, so a host with very many links in is no hot key,
 and one with many links out is split by Spark's skew-join handling.  Scores are
@@ -39,9 +39,10 @@ RULES = (
     ("net/fr/", "block"),
 )
 DAMPING = 0.85
-ITERATIONS = 20
-#: Sum of changes at which the iterations end before that.
-SETTLED = 1e-6
+#: Iterations go on until the scores' changes sum up to less than this; mass that moves on shrinks by the damping
+#: in each, so it takes 114 of them at most (log SETTLED / log DAMPING).  More than the bound is an error.
+SETTLED = 1e-8
+MOST_ITERATIONS = 200
 WRITE_EVERY = 5
 #: A host is blocked when distrust makes up more than this share of its trust and distrust.
 THRESHOLD = 0.5
@@ -80,10 +81,12 @@ def host_links(pages: DataFrame) -> DataFrame:
     """(src, dst, n): links between different hosts."""
     links = pages.select(
         host_of(F.col("url")).alias("src"),
-        F.explode(F.regexp_extract_all("html", F.lit(r"""(?i)href\s*=\s*["']?([a-z][a-z0-9+.-]*://[^"'\s>]+)"""), 1)).alias("to"),
+        F.explode(F.regexp_extract_all("html", F.lit(r"""(?i)href\s*=\s*["']?((?:[a-z][a-z0-9+.-]*:)?//[^"'\s>]+)"""), 1)).alias("to"),
     )
+    # ``//host/`` has the scheme of its page.
+    whole = F.when(F.startswith("to", F.lit("//")), F.concat(F.lit("page:"), "to")).otherwise(F.col("to"))
     return (
-        links.select("src", host_of(F.col("to")).alias("dst"))
+        links.select("src", host_of(whole).alias("dst"))
         .where("src <> '' and dst <> '' and src <> dst")
         .groupBy("src", "dst")
         .agg(F.count(F.lit(1)).alias("n"))
@@ -91,7 +94,7 @@ def host_links(pages: DataFrame) -> DataFrame:
 
 
 def personalised(
-    edges: DataFrame, seeds: DataFrame, label: str, damping: float = DAMPING, iterations: int = ITERATIONS
+    edges: DataFrame, seeds: DataFrame, label: str, damping: float = DAMPING, most: int = MOST_ITERATIONS
 ) -> DataFrame:
     """(host, score) of the PageRank along ``edges`` (src, dst, n) from ``seeds`` (host, weight, summing to 1)."""
     total = edges.groupBy("src").agg(F.sum("n").alias("out"))
@@ -100,22 +103,17 @@ def personalised(
     if not steps.limit(1).count():
         return base
     now = base
-    for k in range(1, iterations + 1):
+    for k in range(1, most + 1):
         moved = now.join(steps, F.col("host") == F.col("src")).select(
             F.col("dst").alias("host"), (F.col("score") * F.col("w") * damping).alias("score")
         )
         new = base.unionAll(moved).groupBy("host").agg(F.sum("score").alias("score"))
-        if k % WRITE_EVERY == 0 or k == iterations:
+        if k % WRITE_EVERY == 0:
             new = stored(new, label)
-            # Mass that an iteration adds shrinks by the damping; the sum tells when nothing moves any more.
-            if k == WRITE_EVERY:
-                before = 0.0
-            mass = new.agg(F.sum("score")).first()[0] or 0.0
-            if abs(mass - before) < SETTLED and _change(now, new) < SETTLED:
+            if _change(now, new) < SETTLED:
                 return new
-            before = mass
         now = new
-    return now
+    raise RuntimeError(f"scores still change after {most} iterations")
 
 
 def _change(old: DataFrame, new: DataFrame) -> float:

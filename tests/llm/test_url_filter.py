@@ -1,6 +1,8 @@
 import random
 import re
 
+import pytest
+
 from ledgerline.llm import url_filter as uf
 
 CASES = {
@@ -35,7 +37,8 @@ def brute(pages):
     hosts, edges, judged = set(), {}, []
     for p, u, html in pages:
         hosts.add(host(u))
-        for to in re.findall(r"""(?i)href\s*=\s*["']?([a-z][a-z0-9+.-]*://[^"'\s>]+)""", html or ""):
+        for to in re.findall(r"""(?i)href\s*=\s*["']?((?:[a-z][a-z0-9+.-]*:)?//[^"'\s>]+)""", html or ""):
+            to = "x:" + to if to.startswith("//") else to
             if host(u) and host(to) and host(u) != host(to):
                 edges[host(u), host(to)] = edges.get((host(u), host(to)), 0) + 1
                 hosts.add(host(to))
@@ -51,7 +54,7 @@ def brute(pages):
         for (a, _), n in step.items():
             out[a] = out.get(a, 0) + n
         now = dict(seed)
-        for _ in range(uf.ITERATIONS):
+        for _ in range(300):
             new = dict(seed)
             for (a, b), n in step.items():
                 new[b] = new.get(b, 0) + uf.DAMPING * now.get(a, 0) * n / out[a]
@@ -69,7 +72,7 @@ def pages(seed):
     hosts = [f"h{i}.{t}" for i in range(12) for t in ("com", "net", "org")] + ["www.example.com", "x.example.com"]
     rows = []
     for p in range(150):
-        links = "".join(f'<a HREF="{rng.choice(["http", "HTTPS"])}://{rng.choice(hosts)}/{rng.choice("ab")}">x</a><a href="/own">' for _ in range(rng.randrange(4)))
+        links = "".join(f'<a HREF="{rng.choice(["http:", "HTTPS:", ""])}//{rng.choice(hosts)}/{rng.choice("ab")}">x</a><a href="/own">' for _ in range(rng.randrange(4)))
         rows.append((p, f"http://{rng.choice(hosts)}/{rng.choice(['en', 'fr', 'es'])}/{p}", links if p % 9 else None))
     return [*rows, (150, None, links), (151, "nothing", links), (3, *rows[3][1:])]
 
@@ -86,6 +89,18 @@ def test_scores_and_verdicts_equal_dense_iteration(spark):
         assert {"block", "allow"} == {v for _, r, v in want if r is None}
 
 
+def test_distrust_reaches_the_end_of_a_chain(spark, monkeypatch):
+    chain = [(i, f"http://h{i}.org/", f'<a href="http://h{i + 1}.org/">') for i in range(25)]
+    rows = [*chain, (25, "http://h25.org/", '<a href="//bad.net/fr/">'), (26, "http://bad.net/fr/", ""), (27, "http://other.org/", "")]
+    frame = spark.createDataFrame(rows, "page_id long, url string, html string")
+    got = {r.page_id: r.verdict for r in uf.judge(frame).collect()}
+    assert got == {i: "allow" if i == 27 else "block" for i in range(28)}
+    edges = uf.host_links(frame)
+    seeds = spark.createDataFrame([("h0.org", 1.0)], "host string, weight double")
+    with pytest.raises(RuntimeError, match="after 5 iterations"):
+        uf.personalised(edges, seeds, "few", most=5)
+
+
 def test_no_links_and_empty_table(spark):
     frame = spark.createDataFrame([(1, "http://a.net/fr/", "<p>"), (2, "http://a.net/en/", None), (3, "http://b.org/", "")], "page_id long, url string, html string")
     assert {(r.page_id, r.verdict) for r in uf.judge(frame).collect()} == {(1, "block"), (2, "block"), (3, "allow")}
