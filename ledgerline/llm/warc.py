@@ -36,6 +36,8 @@ from ledgerline.session import scratch_path
 
 REVISIT_BYTES = 100
 READ_BYTES = 1 << 16
+#: Tasks that read archives at most; beyond that a task reads several, one after another.
+READ_TASKS = 10_000
 RECORD = "urn:page:"
 #: Fixed values of the format.
 VERSION = b"WARC/1.1"
@@ -142,7 +144,9 @@ def write(pages: DataFrame, folder: str) -> DataFrame:
         .select("digest", "first")
     )
     # An equal page_id is the response itself; the rest refer to it.
-    dealt = rows.join(first, "digest", "left").select(
+    # Rows that can't be revisits have a key of their own, so that the many empty payloads don't meet in one task.
+    key = F.when(F.octet_length("html") >= REVISIT_BYTES, F.col("digest")).otherwise(F.concat(F.lit("short "), F.xxhash64("page_id", "url").cast("string")))
+    dealt = rows.withColumn("key", key).join(first.withColumnRenamed("digest", "key"), "key", "left").select(
         "page_id", "url", "html", F.expr("if(page_id <=> first, null, first)").alias("refers_to")
     )
     return stored(dealt.mapInArrow(partial(_write_archive, folder=folder), "file string, records long"), "warc-list")
@@ -180,8 +184,12 @@ def _batch(rows: list[tuple]) -> pa.RecordBatch:
 
 
 def read(archives: DataFrame) -> DataFrame:
-    """A row per record of the archives: page_id, payload_bytes, payload_digest, record_type, refers_to."""
-    return archives.select("file", "records").repartition("file").mapInArrow(_read_archives, COLUMNS)
+    """A row per record of the archives: page_id, payload_bytes, payload_digest, record_type, refers_to.
+
+    Every archive is a task of its own, up to ``READ_TASKS`` tasks.
+    """
+    tasks = max(1, min(archives.count(), READ_TASKS))
+    return archives.select("file", "records").repartitionByRange(tasks, "file").mapInArrow(_read_archives, COLUMNS)
 
 
 def round_trip(pages: DataFrame) -> DataFrame:

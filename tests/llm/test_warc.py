@@ -34,6 +34,22 @@ def test_round_trip(spark):
     assert sorted((tuple(r) for r in warc.round_trip(frame.repartition(3)).collect()), key=str) == brute(PAGES)
 
 
+@pytest.mark.parametrize("most", [10_000, 3])
+def test_archives_are_read_in_many_tasks(spark, tmp_path, monkeypatch, most):
+    monkeypatch.setattr(warc, "READ_TASKS", most)
+    frame = spark.createDataFrame([(i, "u", f"{i} " * 60) for i in range(200)], "page_id long, url string, html string").repartition(12)
+    # Small partitions stay apart, so that there are many archives.
+    before = spark.conf.get("spark.sql.adaptive.coalescePartitions.enabled")
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    archives = warc.write(frame, str(tmp_path / "w"))
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", before)
+    n = archives.count()
+    found = warc.read(archives)
+    assert n > 3 and found.rdd.getNumPartitions() == min(n, most)
+    used = found.select("page_id", warc.F.spark_partition_id().alias("p")).collect()
+    assert len(used) == 200 and len({r.p for r in used}) == min(n, most)
+
+
 def test_empty_table(spark):
     assert warc.round_trip(spark.createDataFrame([], "page_id long, url string, html string")).collect() == []
 
