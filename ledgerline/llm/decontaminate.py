@@ -64,9 +64,11 @@ def simhashes(h: np.ndarray, size: int) -> np.ndarray:
 
 
 def _sums(h: np.ndarray) -> np.ndarray:
+    # As many bits as the sum of all words needs.
+    kind = np.int16 if len(h) < 1 << 15 else np.int32
     bits = np.unpackbits(h.view(np.uint8).reshape(-1, 8), axis=1)
-    sums = np.zeros((len(h) + 1, 64), np.int16)
-    np.cumsum(bits.view(np.int8) * np.int8(2) - np.int8(1), axis=0, dtype=np.int16, out=sums[1:])
+    sums = np.zeros((len(h) + 1, 64), kind)
+    np.cumsum(bits.view(np.int8) * np.int8(2) - np.int8(1), axis=0, dtype=kind, out=sums[1:])
     return sums
 
 
@@ -141,11 +143,11 @@ class Benchmark:
             for step, rows in sorted(classes.items())
         }
 
-    def weights(self, shingles: np.ndarray) -> np.ndarray:
-        """Of a shingle that d of N items have: log2(1 + N / d); d is 1 where none has it."""
+    def weights(self, shingles: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Of a shingle that d of N items have: log2(1 + N / d); d is 1 where none has it.  And which ones none has."""
         at = np.minimum(np.searchsorted(self.known, shingles), len(self.known) - 1)
-        items = np.where(self.known[at] == shingles, self.items[at], 1)
-        return np.log2(1 + self.total / items)
+        known = self.known[at] == shingles
+        return np.log2(1 + self.total / np.where(known, self.items[at], 1)), ~known
 
     def similarity(self, item: int, words: np.ndarray) -> float:
         """Weighted Jaccard similarity of an item's shingles and those given."""
@@ -161,8 +163,7 @@ class Benchmark:
         x, y = np.zeros(len(every)), np.zeros(len(every))
         x[np.searchsorted(every, own)] = times
         y[np.searchsorted(every, other)] = counts
-        w = self.weights(every)
-        new = ~np.isin(every, self.known)
+        w, new = self.weights(every)
         return float((w * np.minimum(x, y)).sum()), float((w * np.maximum(x, y)).sum()), every[new], y[new].astype(np.int64), float((w * y)[new].sum())
 
 

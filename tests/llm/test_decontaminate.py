@@ -28,6 +28,11 @@ def test_simhash_is_the_majority_of_bits():
         assert (np.unpackbits(got[i : i + 1].view(np.uint8)) == (bits[i : i + 7].sum(axis=0) > 3.5)).all()
 
 
+def test_sums_of_very_long_windows_do_not_overflow():
+    h = np.full(40_000, 0xF0F0F0F0F0F0F0F0, np.uint64)
+    assert set(dc.simhashes(h, 33_000).tolist()) == {0xF0F0F0F0F0F0F0F0}
+
+
 def weighted(item, segment, bench):
     """Weighted Jaccard similarity of two word lists, by counting."""
     grams = lambda w: [tuple(w[i : i + 5]) for i in range(len(w) - 4)] if len(w) >= 5 else [tuple(w)]
