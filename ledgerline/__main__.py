@@ -14,6 +14,7 @@ import argparse
 from pyspark.sql import SparkSession
 
 from ledgerline.config import DEFAULT_SPAN, TallyOptions
+from ledgerline.functions.dates import EXTRA_DATE_FORMATS
 from ledgerline.plans.jobs import run_pipeline
 
 
@@ -29,6 +30,9 @@ def parse_args(argv: list[str] | None = None) -> argparse.Namespace:
     p.add_argument("--balance-mode", choices=("minmax", "boundary"), default="minmax")
     p.add_argument("--attribution", choices=("own", "shifted"), default="own")
     p.add_argument("--money", choices=("double", "cents"), default="double", help="amount equality rule")
+    p.add_argument("--format", choices=("csv", "parquet"), help="format of the inputs (default: by ending, else by the files)")
+    p.add_argument("--multi-line", choices=("auto", "yes", "no"), default="auto", help="line breaks inside quoted CSV values")
+    p.add_argument("--date-layout", action="append", default=[], metavar="PATTERN", help="text dates besides ISO, e.g. dd.MM.yyyy; may be repeated")
     p.add_argument("--span", type=int, default=DEFAULT_SPAN, help="rows per window group bound (seq units)")
     return p.parse_args(argv)
 
@@ -48,7 +52,9 @@ def main(argv: list[str] | None = None) -> None:
         money=a.money,
     )
     spark = SparkSession.builder.appName("ledgerline").getOrCreate()
-    run_pipeline(spark, a.customers, a.ledger, a.output, a.mapping, options, a.form)
+    multi_line = {"auto": None, "yes": True, "no": False}[a.multi_line]
+    layouts = (*a.date_layout, *EXTRA_DATE_FORMATS)
+    run_pipeline(spark, a.customers, a.ledger, a.output, a.mapping, options, a.form, a.format, multi_line, layouts)
 
 
 if __name__ == "__main__":

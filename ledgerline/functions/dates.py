@@ -17,15 +17,20 @@ EXTRA_DATE_FORMATS = ("yyyy/MM/dd",)
 ISO_DATE_TEXT = r"^\s*\d{4}-\d{1,2}-\d{1,2}([ T].*)?$"
 
 
-def as_date(c: Column, dtype: T.DataType) -> Column:
-    """Cast a column of type ``dtype`` to DATE, leniently for text."""
+def as_date(c: Column, dtype: T.DataType, layouts: tuple[str, ...] = EXTRA_DATE_FORMATS) -> Column:
+    """Cast a column of type ``dtype`` to DATE, leniently for text.
+
+    Text is read as ISO, else by the first of ``layouts`` (date patterns such
+    as ``dd.MM.yyyy``) that fits it; put the intended one of ambiguous patterns
+    first.
+    """
     if isinstance(dtype, T.DateType):
         return c
     if isinstance(dtype, (T.TimestampType, T.TimestampNTZType)):
         return c.cast("date")
     text = c.cast("string")
     parsed = [F.when(text.rlike(ISO_DATE_TEXT), text.try_cast("date"))]
-    parsed += [F.try_to_date(text, fmt) for fmt in EXTRA_DATE_FORMATS]
+    parsed += [F.try_to_date(F.trim(text), fmt) for fmt in layouts]
     return F.coalesce(*parsed)
 
 

@@ -7,8 +7,9 @@ bucket``: ordinary accounts form one bucket, hot accounts (see ``skew``) are
 cut into ``seq div span`` buckets, so a group stays bounded.  Rows at bucket
 edges still need the neighbour in the adjacent non-empty bucket; for that,
 each bucket of a hot account contributes its first and last row to a small
-"edge" table (partial aggregation, one row per bucket), a window over the
-*buckets* of an account finds the neighbouring edges, and these edge rows are
+"edge" table (partial aggregation, one row per bucket), the same method over
+the *buckets* of an account finds the neighbouring edges (a window where an
+account can't have more than ``FAN`` buckets), and these edge rows are
 added to the adjacent bucket as ghost rows before the one big window.  Ghosts
 sort before/after every real row of the bucket, so the plain ``lead``/``lag``
 finds them, and they are dropped afterwards.
@@ -25,9 +26,11 @@ from collections.abc import Mapping
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from ledgerline.operators.sequence import FAN, FAN_BITS, order_bits
 from ledgerline.operators.skew import BUCKET, HOT, Split, as_split, with_buckets
 
 _GHOST = "_nb_ghost"
+_EDGE = "_nb_edge"
 
 
 def add_neighbors(
@@ -38,6 +41,7 @@ def add_neighbors(
     lag: Mapping[str, str] | None = None,
     span: "int | Split | None" = None,
     hot: DataFrame | None = None,
+    bits: int = 64,
 ) -> DataFrame:
     """Add ``lead`` columns (next row's value) and ``lag`` columns (previous row's).
 
@@ -45,6 +49,8 @@ def add_neighbors(
     within ``key``.  ``span=None`` uses one window per key (only for keys known
     to be small); an int or ``Split`` cuts hot keys into ``order`` buckets.
     ``hot`` (``skew.hot_keys``) may come from a cheaper source than ``df``.
+    ``bits``: the order's values need no more; it bounds how often the buckets
+    of a key may have to be bucketed themselves.
     """
     lead = dict(lead or {})
     lag = dict(lag or {})
@@ -71,13 +77,20 @@ def add_neighbors(
         edge_aggs += [F.max_by(c, order).alias(f"_t_{c}") for c in lag_src if c != order]
         edge_aggs.append(F.max(order).alias(f"_t_{order}"))
     edges = base.where(F.col(HOT)).groupBy(key, BUCKET).agg(*edge_aggs)
-    by_bucket = Window.partitionBy(key).orderBy(BUCKET)
-    near = []
-    if lead:
-        near += [F.lead(f"_h_{c}").over(by_bucket).alias(f"_nh_{c}") for c in lead_src]
-    if lag:
-        near += [F.lag(f"_t_{c}").over(by_bucket).alias(f"_pt_{c}") for c in lag_src]
-    edges = edges.select(key, BUCKET, *near)
+    lead_of = {f"_nh_{c}": f"_h_{c}" for c in lead_src} if lead else {}
+    lag_of = {f"_pt_{c}": f"_t_{c}" for c in lag_src} if lag else {}
+    left = order_bits(split.span, bits)
+    if left > FAN_BITS:
+        # Of a sparse order a key may have very many buckets: their edges are neighbours by the same method.
+        edges = edges.withColumnRenamed(BUCKET, _EDGE)
+        edges = add_neighbors(edges, key, _EDGE, lead_of, lag_of, Split(FAN, FAN), bits=left)
+        edges = edges.withColumnRenamed(_EDGE, BUCKET)
+    else:
+        by_bucket = Window.partitionBy(key).orderBy(BUCKET)
+        edges = edges.withColumns(
+            {**{o: F.lead(s).over(by_bucket) for o, s in lead_of.items()}, **{o: F.lag(s).over(by_bucket) for o, s in lag_of.items()}}
+        )
+    edges = edges.select(key, BUCKET, *lead_of, *lag_of)
 
     # Both ghost kinds come out of the one edge table (one scan, one aggregation).
     all_src = sorted(set(lead_src if lead else []) | set(lag_src if lag else []))

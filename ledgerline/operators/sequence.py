@@ -16,32 +16,52 @@ from ledgerline.config import DEFAULT_SPAN
 
 # Row index bits reserved per file when packing (file ordinal, row index) into one LONG.
 ROW_INDEX_BITS = 40
+# Children of a node in the tree of buckets.
+FAN_BITS = 21
+FAN = 1 << FAN_BITS
 
 
 def dense_position(df: DataFrame, order: str = "seq", out: str = "original_order", span: int = DEFAULT_SPAN) -> DataFrame:
     """Add ``out`` = 1-based position of each row in ``order`` over the whole table.
 
     Rows are grouped in buckets of ``span`` order units: a window numbers rows
-    inside a bucket (at most ``span`` rows when ``order`` is unique) and a
-    prefix sum over per-bucket counts gives each bucket's offset.  The bucket
-    table has one row per non-empty bucket, so its single ordered window is
-    bounded by the order range divided by ``span``, not by the row count.
+    inside a bucket (at most ``span`` rows when ``order`` is unique).  A
+    bucket's offset is a prefix sum over a tree: ``FAN`` neighbouring buckets
+    have a parent, ``FAN`` neighbouring parents one of theirs, and so on up to
+    the root, so however sparse the order is, no window holds more than ``FAN``
+    nodes (or a bucket's rows).  The tables above the buckets shrink quickly
+    where the order is dense.
     """
-    bucket = F.expr(f"`{order}` div {int(span)}")
-    with_b = df.withColumn("_pos_b", bucket)
+    with_b = df.withColumn("_pos_b", F.expr(f"`{order}` div {int(span)}"))
     counts = with_b.groupBy("_pos_b").agg(F.count(F.lit(1)).alias("_pos_n"))
-    earlier = Window.orderBy("_pos_b").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = counts.select(
-        F.col("_pos_b").alias("_pos_ob"), F.coalesce(F.sum("_pos_n").over(earlier), F.lit(0)).alias("_pos_off")
-    )
+    offsets = _sums_before(counts, order_bits(span)).withColumnRenamed("_pos_b", "_pos_ob")
     inside = Window.partitionBy("_pos_b").orderBy(order)
     numbered = with_b.withColumn("_pos_rn", F.row_number().over(inside))
-    joined = numbered.join(offsets, F.col("_pos_b") == F.col("_pos_ob"), "left")
+    joined = numbered.join(offsets, F.col("_pos_b").eqNullSafe(F.col("_pos_ob")), "left")
     return joined.withColumn(out, (F.col("_pos_off") + F.col("_pos_rn")).cast("long")).drop(
         "_pos_b", "_pos_ob", "_pos_off", "_pos_rn"
     )
 
 
+def order_bits(span: int, bits: int = 64) -> int:
+    """Bits that the numbers of buckets of ``span`` units may have, of an order of ``bits`` bits."""
+    return bits - (int(span).bit_length() - 1)
+
+
+def _sums_before(counts: DataFrame, bits: int) -> DataFrame:
+    """``_pos_off``: the sum of ``_pos_n`` of all nodes before each node ``_pos_b``, whose numbers have ``bits`` bits."""
+    nodes = counts.withColumn("_pos_p", F.expr(f"_pos_b div {FAN}"))
+    before = Window.partitionBy("_pos_p").orderBy("_pos_b").rowsBetween(Window.unboundedPreceding, -1)
+    own = nodes.withColumn("_pos_in", F.coalesce(F.sum("_pos_n").over(before), F.lit(0)))
+    if bits <= FAN_BITS:  # all have the same parent
+        return own.select("_pos_b", F.col("_pos_in").alias("_pos_off"))
+    parents = nodes.groupBy(F.col("_pos_p").alias("_pos_b")).agg(F.sum("_pos_n").alias("_pos_n"))
+    above = _sums_before(parents, bits - FAN_BITS).select(F.col("_pos_b").alias("_pos_up"), "_pos_off")
+    return own.join(above, F.col("_pos_p").eqNullSafe(F.col("_pos_up")), "left").select(
+        "_pos_b", (F.col("_pos_off") + F.col("_pos_in")).alias("_pos_off")
+    )
+
+
 def positional_chunks(df: DataFrame, chunk_size: int, order: str = "seq", span: int = DEFAULT_SPAN) -> DataFrame:
     """Label every row with the chunk a positional slice of ``chunk_size`` rows puts it in.
 

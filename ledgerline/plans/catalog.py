@@ -106,6 +106,16 @@ def ledger_sequence(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sequence.dense_position(led, "seq", "original_order", span=4096)
 
 
+@register(
+    "ledger_sequence_sparse",
+    "select account_number, seq * 8388608 seq, cast(row_number() over (order by seq) as bigint) original_order from ledger",
+)
+def ledger_sequence_sparse(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Positions along an order with a bucket for every row."""
+    led = fixture_inputs(spark, sf_dir).ledger.select("account_number", (F.col("seq") * (1 << 23)).alias("seq"))
+    return sequence.dense_position(led, "seq", "original_order")
+
+
 @register(
     "ledger_slice",
     f"""select account_number, seq, original_order, (original_order - 1) // {REPORT_CHUNK} chunk

@@ -12,6 +12,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from ledgerline.config import TallyOptions
+from ledgerline.functions.dates import EXTRA_DATE_FORMATS
 from ledgerline.operators import activity, report, rollup, tally
 from ledgerline.operators.prepare import prepare_customers, prepare_ledger, prepare_mappings
 from ledgerline.operators.sequence import sequence_from_files
@@ -51,15 +52,23 @@ def read_inputs(
     mapping_path: str | None = None,
     order_col: str = "seq",
     money: str = "double",
+    fmt: str | None = None,
+    multi_line: bool | None = None,
+    layouts: tuple[str, ...] = EXTRA_DATE_FORMATS,
 ) -> Inputs:
-    """Read and prepare the inputs; a ledger without ``order_col`` is ordered by file order."""
-    mappings = prepare_mappings(readers.read_mappings(spark, mapping_path)) if mapping_path else None
-    raw_ledger = readers.read_ledger(spark, ledger_path)
+    """Read and prepare the inputs; a ledger without ``order_col`` is ordered by file order.
+
+    ``fmt`` and ``multi_line`` are the readers' (``readers.read_input``), for
+    all three inputs; ``layouts`` the patterns of text dates besides ISO.
+    """
+    how = {"fmt": fmt, "multi_line": multi_line}
+    mappings = prepare_mappings(readers.read_mappings(spark, mapping_path, **how), layouts) if mapping_path else None
+    raw_ledger = readers.read_ledger(spark, ledger_path, **how)
     if order_col not in raw_ledger.columns:
         raw_ledger = sequence_from_files(raw_ledger, order_col)
     return Inputs(
-        customers=prepare_customers(readers.read_customers(spark, accounts_path)),
-        ledger=prepare_ledger(raw_ledger, order_col, money),
+        customers=prepare_customers(readers.read_customers(spark, accounts_path, **how)),
+        ledger=prepare_ledger(raw_ledger, order_col, money, layouts=layouts),
         mappings=mappings,
     )
 
@@ -72,6 +81,9 @@ def run_pipeline(
     mapping_path: str | None = None,
     options: TallyOptions = TallyOptions(),
     form: str = "transaction",
+    fmt: str | None = None,
+    multi_line: bool | None = None,
+    layouts: tuple[str, ...] = EXTRA_DATE_FORMATS,
 ) -> str:
     """Build the report and write it as a CSV folder at ``output_path``.
 
@@ -79,7 +91,7 @@ def run_pipeline(
     (``output/tally_results.csv`` by default, a folder of CSV parts).
     """
     output_path = output_path or options.output_path
-    inp = read_inputs(spark, accounts_path, ledger_path, mapping_path, money=options.money)
+    inp = read_inputs(spark, accounts_path, ledger_path, mapping_path, money=options.money, fmt=fmt, multi_line=multi_line, layouts=layouts)
     if form == "transaction":
         out = per_transaction_report(inp, options)
     elif form == "account":

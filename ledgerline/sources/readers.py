@@ -21,32 +21,62 @@ LEDGER_COLUMNS = (
 MAPPING_COLUMNS = ("AccountNumber", "Date", "TransactionNumber")
 
 
-def _format_of(path: str, fmt: str | None) -> str:
+#: What a CSV input's values may look like: quoted with doubled quotes inside (fixed values).
+QUOTE = '"'
+
+
+def _format_of(spark: SparkSession, path: str, fmt: str | None) -> str:
     if fmt:
         return fmt
     name = path.lower().rstrip("/")
+    if name.endswith(".parquet"):
+        return "parquet"
     for packed in (".gz", ".bz2", ".zst"):
         name = name.removesuffix(packed)
-    return "csv" if name.endswith((".csv", ".txt", ".tsv")) else "parquet"
+    if name.endswith((".csv", ".txt", ".tsv")):
+        return "csv"
+    # A path without a telling ending: Parquet where its files are, else delimited text.
+    files = spark.read.text(path).inputFiles()
+    return "parquet" if files and all(f.lower().endswith(".parquet") for f in files) else "csv"
+
+
+def broken_lines(spark: SparkSession, path: str) -> DataFrame:
+    """(file, lines): files with lines that hold an odd number of quotes, where a quoted value goes on in the next line.
+
+    Every quoted value closes where it opened, and quotes inside are doubled,
+    so a record that ends with its line has an even number of quotes.  The text
+    is read in splits of any size: each line is judged by itself.
+    """
+    lines = spark.read.text(path).select("value", F.col("_metadata.file_path").alias("file"))
+    quotes = F.length("value") - F.length(F.replace("value", F.lit(QUOTE), F.lit("")))
+    return lines.where(quotes % 2 == 1).groupBy("file").agg(F.count(F.lit(1)).alias("lines"))
+
+
+def _read_csv(spark: SparkSession, path: str, multi_line: bool | None) -> DataFrame:
+    # Without inferSchema every column is read as STRING: no inference pass
+    # over the data, and account numbers keep their leading zeros.
+    sep = "\t" if ".tsv" in path.lower().rstrip("/").rpartition("/")[2] else ","
+    if multi_line is None:
+        multi_line = broken_lines(spark, path).limit(1).count() > 0
+    options = {"header": True, "inferSchema": False, "multiLine": multi_line, "sep": sep, "quote": QUOTE, "escape": QUOTE}
+    return spark.read.options(**options).csv(path)
 
 
 def read_input(
-    spark: SparkSession, path: str, columns: Sequence[str], fmt: str | None = None, multi_line: bool = False
+    spark: SparkSession, path: str, columns: Sequence[str], fmt: str | None = None, multi_line: bool | None = None
 ) -> DataFrame:
     """Read one input table; CSV with header and an all-text schema.
 
-    The format follows the path's ending (csv, txt, tsv, packed or not) unless
-    ``fmt`` names it; a folder without an ending is Parquet unless ``fmt`` is
-    ``csv``.  ``multi_line`` allows line breaks inside quoted CSV values, at the
-    price of one task per file.
+    The format follows the path's ending (csv, txt, tsv, packed or not, parquet)
+    unless ``fmt`` names it; any other path is Parquet if its files are, else
+    CSV.  ``multi_line``: whether quoted CSV values hold line breaks.  Files
+    that do are read in one task each, others are split; by default the lines
+    are looked through for open quotes first (``broken_lines``, one parallel
+    pass over the text), so no record is ever cut in two.
     """
-    fmt = _format_of(path, fmt)
+    fmt = _format_of(spark, path, fmt)
     if fmt == "csv":
-        # Without inferSchema every column is read as STRING: no inference pass
-        # over the data, and account numbers keep their leading zeros.
-        sep = "\t" if ".tsv" in path.lower().rstrip("/").rpartition("/")[2] else ","
-        options = {"header": True, "inferSchema": False, "multiLine": multi_line, "sep": sep}
-        df = spark.read.options(**options).csv(path)
+        df = _read_csv(spark, path, multi_line)
     elif fmt == "parquet":
         df = spark.read.parquet(path)
     else:
@@ -57,16 +87,16 @@ def read_input(
     return df
 
 
-def read_customers(spark: SparkSession, path: str, fmt: str | None = None) -> DataFrame:
-    return read_input(spark, path, CUSTOMER_COLUMNS, fmt)
+def read_customers(spark: SparkSession, path: str, fmt: str | None = None, multi_line: bool | None = None) -> DataFrame:
+    return read_input(spark, path, CUSTOMER_COLUMNS, fmt, multi_line)
 
 
-def read_ledger(spark: SparkSession, path: str, fmt: str | None = None) -> DataFrame:
-    return read_input(spark, path, LEDGER_COLUMNS, fmt)
+def read_ledger(spark: SparkSession, path: str, fmt: str | None = None, multi_line: bool | None = None) -> DataFrame:
+    return read_input(spark, path, LEDGER_COLUMNS, fmt, multi_line)
 
 
-def read_mappings(spark: SparkSession, path: str, fmt: str | None = None) -> DataFrame:
-    return read_input(spark, path, MAPPING_COLUMNS, fmt)
+def read_mappings(spark: SparkSession, path: str, fmt: str | None = None, multi_line: bool | None = None) -> DataFrame:
+    return read_input(spark, path, MAPPING_COLUMNS, fmt, multi_line)
 
 
 def read_batches(spark: SparkSession, paths: Sequence[str], schema: T.StructType | None = None) -> DataFrame:

@@ -46,3 +46,34 @@ def test_sequence_from_csv_splits(spark):
         spark.conf.set("spark.sql.files.maxPartitionBytes", old)
     assert [int(r.n) for r in rows] == list(range(2000))
     assert [r.seq for r in rows] == list(range(1, 2001))
+
+
+def plan_of(df):
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
+def test_dense_position_of_any_order(spark):
+    import random
+
+    rng = random.Random(4)
+    seqs = list({rng.randrange(-(1 << 63), 1 << 63) for _ in range(400)} | {rng.randrange(-50, 50) * (1 << 23) for _ in range(80)} | {0, -1, (1 << 63) - 1, -(1 << 63)})
+    df = spark.createDataFrame([(s,) for s in seqs], "seq long").repartition(5)
+    for span in (1, 4096, 1 << 22):
+        found = dense_position(df, span=span)
+        assert {r.seq: r.original_order for r in found.collect()} == {s: i + 1 for i, s in enumerate(sorted(seqs))}
+        assert "SinglePartition" not in plan_of(found)
+
+
+def test_neighbours_of_a_sparse_hot_account(spark):
+    import random
+
+    from ledgerline.operators.neighbors import add_neighbors
+    from ledgerline.operators.skew import Split
+
+    rng = random.Random(5)
+    rows = [("HOT" if i % 3 else f"a{i % 9}", s, float(i)) for i, s in enumerate({rng.randrange(-(1 << 62), 1 << 62) for _ in range(300)})]
+    df = spark.createDataFrame(rows, "k string, seq long, v double").repartition(4)
+    want = add_neighbors(df, "k", "seq", lead={"n": "v"}, lag={"p": "v"})
+    for span in (1, 1 << 22):
+        got = add_neighbors(df, "k", "seq", lead={"n": "v"}, lag={"p": "v"}, span=Split(span, 5))
+        assert sorted(map(str, got.collect())) == sorted(map(str, want.select(got.columns).collect()))
