@@ -22,6 +22,7 @@ from pyspark.sql import functions as F
 from ledgerline.config import DEFAULT_SPAN
 from ledgerline.functions import round_money
 from ledgerline.functions.money import SUM_DECIMAL
+from ledgerline.operators.running import running_totals
 from ledgerline.operators.skew import BUCKET, HOT, WHOLE, Split, as_split, with_buckets
 
 # List separator of the per-account text columns (chr(10), a newline).
@@ -122,6 +123,30 @@ def account_rollup(
     )
 
 
+#: Characters of a part of a list; one element more, however long, ends the part.
+PART_CHARS = 1 << 20
+
+
+def list_parts(
+    rows: DataFrame, column: str, part_chars: int = PART_CHARS, span: "int | Split" = DEFAULT_SPAN
+) -> DataFrame:
+    """The list of ``column`` of each (account, name) in bounded parts: account_number, customer_name, list, part, text.
+
+    For accounts whose list is longer than a value should be.  A running sum of
+    the lengths (hot accounts split) gives each element its part, so no task and
+    no value ever holds a whole list; the parts in order, joined with a newline,
+    are the list that ``account_rollup`` puts into one value.  Part numbers rise;
+    after an element longer than a part some are left out.
+    """
+    some = rows.where(F.col(column).isNotNull()).select(*GROUP, "seq", F.col(column).alias("_text"))
+    sized = some.withColumns({"_k": F.struct(*GROUP), "_size": (F.length("_text") + 1).cast("long")})
+    placed = running_totals(sized, "_k", "seq", "_size", span)
+    # The added rows of the running sum are gone again: every element has its group's columns.
+    parts = placed.withColumn("part", F.expr(f"_before div {int(part_chars)}"))
+    text = F.expr("listagg(_text, chr(10)) WITHIN GROUP (ORDER BY seq)").alias("text")
+    return parts.groupBy(*GROUP, "part").agg(text).select(*GROUP, F.lit(column).alias("list"), "part", "text")
+
+
 def sort_rollup(result: DataFrame) -> DataFrame:
     """ORDER BY account_number (nulls last), customer_name."""
     return result.orderBy(F.asc_nulls_last("account_number"), F.asc_nulls_last("customer_name"))

@@ -20,7 +20,8 @@ from ledgerline.plans import jobs, oracle
 from ledgerline.plans.inputs import fixture_inputs
 from ledgerline.session import scratch_path
 from ledgerline.sources import fixtures
-from ledgerline.sources.readers import read_batches
+from ledgerline.sources import readers
+from ledgerline.sources.readers import read_batches, write_batches
 from ledgerline.streaming import pairing as streaming
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -97,6 +98,45 @@ def ledger_row_count(spark: SparkSession, sf_dir: str) -> DataFrame:
     return prepare.row_count(fixtures.fixture_ledger(spark, sf_dir))
 
 
+def _as_csv(spark: SparkSession, rows: DataFrame, name: str) -> str:
+    path = f"{scratch_path(spark, name)}/{name}.csv"
+    blanks = {"ignoreLeadingWhiteSpace": False, "ignoreTrailingWhiteSpace": False}
+    rows.write.options(header=True, quote=readers.QUOTE, escape=readers.QUOTE, **blanks).csv(path)
+    return path
+
+
+@register(
+    "customers_from_csv",
+    """select account_number, case when account_number like '%1' then concat(customer_name, chr(10), 'of "old"') else customer_name end customer_name,
+              customer_amount from acc""",
+)
+def customers_from_csv(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The customers as CSV files and back; some names hold a line break and quotes."""
+    name = F.when(F.col("AccountNumber").like("%1"), F.concat("CustomerName", F.lit('\nof "old"'))).otherwise(F.col("CustomerName"))
+    path = _as_csv(spark, fixtures.fixture_customers(spark, sf_dir).withColumn("CustomerName", name), "customers")
+    return prepare.prepare_customers(readers.read_customers(spark, path))
+
+
+@register(
+    "ledger_from_csv",
+    """select account_number, date, transaction_type, amount,
+              case when seq % 200 = 2 then ledger_txn_no || chr(10) || '"x", y' else nullif(ledger_txn_no, '') end ledger_txn_no,
+              opening_balance, closing_balance, seq from ledger""",
+)
+def ledger_from_csv(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The ledger as CSV files and back; some numbers hold a line break, quotes and a comma (empty text is null in CSV)."""
+    number = F.when(F.col("seq") % 200 == 2, F.concat("TransactionNumber", F.lit('\n"x", y'))).otherwise(F.col("TransactionNumber"))
+    path = _as_csv(spark, fixtures.fixture_ledger(spark, sf_dir).withColumn("TransactionNumber", number), "ledger")
+    return prepare.prepare_ledger(readers.read_ledger(spark, path)).drop("debit_amount", "credit_amount")
+
+
+@register("mappings_from_csv", "select account_number, txn_date, transaction_number from map")
+def mappings_from_csv(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The mapping as CSV files and back, read in splits: no value holds a line break."""
+    path = _as_csv(spark, fixtures.fixture_mappings(spark, sf_dir), "mappings")
+    return prepare.prepare_mappings(readers.read_mappings(spark, path))
+
+
 @register(
     "ledger_sequence",
     "select account_number, seq, cast(row_number() over (order by seq) as bigint) original_order from ledger",
@@ -274,17 +314,14 @@ def report_projection(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @register("batches_combined", "select * from per_txn")
 def batches_combined(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Results kept per batch, then read back from many Parquet folders as one table.
+    """Results kept per batch (here: the month of their date), then read back from many Parquet folders as one table.
 
-    The tally is computed over the whole ledger (so no pair is lost at a batch
-    edge), its rows are cut into positional batches of the reference's chunk
-    size and written as one folder per batch in a single parallel job; the
-    folders are then read as one table.
+    The tally is computed over the whole ledger, so no pair is lost at a batch edge.
     """
     result = tally_per_transaction(spark, sf_dir)
-    batched = sequence.positional_chunks(result, REPORT_CHUNK).drop("original_order")
+    batched = result.withColumn("batch", F.substring("dates", 1, 7))
     base = scratch_path(spark, "batches")
-    batched.write.partitionBy("chunk").parquet(f"{base}/out")
+    write_batches(batched, "batch", f"{base}/out")
     return read_batches(spark, [f"{base}/out"], batched.schema).select(*result.columns)
 
 
@@ -348,12 +385,32 @@ def account_report_projection(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jobs.per_account_report(inp, ACCOUNT_REPORT_OPTIONS)
 
 
+# Small parts, so that most accounts of the test ledger have several.
+LIST_PART_CHARS = 64
+
+
+@register("account_rollup_list_parts", oracle.list_parts_sql(LIST_PART_CHARS))
+def account_rollup_list_parts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The rollup's two lists in parts of bounded size, as rows."""
+    rows = account_activity(spark, sf_dir)
+    nos, dates = (rollup.list_parts(rows, c, LIST_PART_CHARS, FINE_SPAN) for c in ("transaction_nos", "dates"))
+    return nos.unionAll(dates)
+
+
+@register(
+    "account_rollup_sorted",
+    oracle.rollup_sql("activity", "minmax") + " order by account_number nulls last, customer_name nulls last",
+)
+def account_rollup_sorted(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return rollup.sort_rollup(account_rollup(spark, sf_dir))
+
+
 @register("account_rollup_fine_buckets", oracle.rollup_sql("activity", "minmax"))
 def account_rollup_fine_buckets(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _rollup(spark, sf_dir, "activity", "minmax", FINE_SPAN)
 
 
-@register("account_activity_shifted", None)
+@register("account_activity_shifted", oracle.SHIFTED)
 def account_activity_shifted(spark: SparkSession, sf_dir: str) -> DataFrame:
     inp = fixture_inputs(spark, sf_dir, with_duplicates=False)
     return activity.account_activity_shifted(inp.ledger, inp.customers, inp.mappings)

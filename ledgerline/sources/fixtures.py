@@ -19,12 +19,12 @@ deployment would read its ledger.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ledgerline.config import DEFAULT_SPAN
-from ledgerline.operators.skew import BUCKET, HOT, Split, with_buckets
+from ledgerline.operators.running import running_totals
 
 
 def base_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -84,32 +84,6 @@ def raw_ledger(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def _running_totals(df: DataFrame, key: str, order: str, value: str, span: int) -> DataFrame:
-    """Add ``_before`` (sum of earlier rows) and ``_through`` (including this row).
-
-    Exact DECIMAL prefix sums per ``key`` in ``order``.  Hot keys are cut into
-    ``order`` buckets of ``span`` (others stay whole, see ``operators.skew``);
-    each bucket of a hot key gets one extra leading row carrying the total of
-    the key's earlier buckets (from a small per-bucket table), so the running
-    sum needs no join and no task holds a whole key.
-    """
-    b = with_buckets(df, key, order, Split(span)).withColumnRenamed(BUCKET, "_b")
-    b = b.withColumn("_carry_row", F.lit(False))
-    bucket_sums = b.where(F.col(HOT)).groupBy(key, "_b").agg(F.sum(value).alias("_bsum"))
-    earlier = Window.partitionBy(key).orderBy("_b").rowsBetween(Window.unboundedPreceding, -1)
-    carry = bucket_sums.select(
-        key,
-        "_b",
-        F.sum("_bsum").over(earlier).alias(value),
-        F.lit(-(1 << 63)).cast("long").alias(order),
-        F.lit(True).alias("_carry_row"),
-    ).where(F.col(value).isNotNull())
-    stacked = b.unionByName(carry, allowMissingColumns=True)
-    within = Window.partitionBy(key, "_b").orderBy(order).rowsBetween(Window.unboundedPreceding, 0)
-    running = stacked.withColumn("_through", F.sum(value).over(within)).where(~F.col("_carry_row"))
-    return running.withColumn("_before", F.col("_through") - F.col(value)).drop("_b", "_carry_row", HOT)
-
-
 def ledger_derived(spark: SparkSession, sf_dir: str, span: int = DEFAULT_SPAN) -> DataFrame:
     """``led``: ``raw`` with opening/closing balances (customer balance + running sum)."""
     raw = raw_ledger(spark, sf_dir)
@@ -117,7 +91,7 @@ def ledger_derived(spark: SparkSession, sf_dir: str, span: int = DEFAULT_SPAN) -
         F.col("c_custkey").cast("string").alias("_ck"), F.col("c_acctbal")
     )
     signed = F.when(F.col("ty") == "CR", F.col("amt")).otherwise(-F.col("amt")).cast("decimal(18,2)")
-    with_sums = _running_totals(raw.withColumn("_signed", signed), "account_number", "seq", "_signed", span)
+    with_sums = running_totals(raw.withColumn("_signed", signed), "account_number", "seq", "_signed", span)
     start = F.coalesce(F.col("c_acctbal"), F.lit(0.0)).cast("decimal(18,2)")
     joined = with_sums.join(customer, F.col("account_number") == F.col("_ck"), "left")
     return joined.select(

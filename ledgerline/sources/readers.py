@@ -13,6 +13,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ledgerline.operators.sequence import sequence_from_files
+
 # The column names each input file must carry.
 CUSTOMER_COLUMNS = ("CustomerName", "AccountNumber", "Amount")
 LEDGER_COLUMNS = (
@@ -112,6 +114,11 @@ def read_batches(spark: SparkSession, paths: Sequence[str], schema: T.StructType
     return spark.read.option("mergeSchema", True).parquet(*paths)
 
 
+def write_batches(rows: DataFrame, by: str, path: str) -> None:
+    """Results kept per batch: a Parquet folder for each value of the column ``by`` (the caller's, of few values)."""
+    rows.write.partitionBy(by).parquet(path)
+
+
 def report_text(df: DataFrame) -> DataFrame:
     """Report columns as text: money with two decimals, never ``1.0E7``."""
     cols = []
@@ -140,9 +147,17 @@ def write_report_csv(df: DataFrame, path: str, mode: str = "overwrite") -> None:
         .option("header", True)
         .option("quoteAll", True)
         .option("emptyValue", "")
+        .option("ignoreLeadingWhiteSpace", False)
+        .option("ignoreTrailingWhiteSpace", False)
         .csv(path)
     )
 
 
-def read_report_csv(spark: SparkSession, path: str) -> DataFrame:
-    return spark.read.option("header", True).option("multiLine", True).csv(path)
+def read_report_csv(spark: SparkSession, path: str, row: str | None = None) -> DataFrame:
+    """The report as text; ``row`` names a column to add that numbers its rows as they were written.
+
+    The sink's part files are named in the order of the sorted result's
+    partitions, and a part with line breaks in its values is read in one task.
+    """
+    report = spark.read.option("header", True).option("multiLine", True).csv(path)
+    return sequence_from_files(report, row) if row else report
