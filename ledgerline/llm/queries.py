@@ -62,5 +62,17 @@ def op13_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
     return whitening.digests(table(spark, sf_dir, "embeddings"))
 
 
+def url_filter_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The columns of op4 that the rules alone decide."""
+    return url_filter.judged_by_rules(table(spark, sf_dir, "pages").select("page_id", "url")).drop("url")
+
+
+def quality_base(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The columns of op5 that the base counts alone decide."""
+    base = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed")
+    return quality.verdicts(table(spark, sf_dir, "documents")).select("doc_id", *base)
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {name: f for name, f in globals().items() if name.startswith("op") and callable(f)}
+    own = {name: f for name, f in globals().items() if name.startswith("op") and callable(f)}
+    return own | {"url_filter_rules": url_filter_rules, "quality_base": quality_base}
