@@ -41,6 +41,17 @@ def test_stages(spark, tmp_path):
     assert all(r.doc_tokens >= r.start + r.length for r in seen["packing"])
 
 
+def test_further_columns_go_along(spark, tmp_path):
+    spark.createDataFrame([(1, "one two three four five six seven eight nine ten eleven twelve.")], "item_id long, text string").write.parquet(f"{tmp_path}/benchmark.parquet")
+    more = [(*r, f"row {k}", k, None) for k, r in enumerate(rows())]
+    docs = spark.createDataFrame(more, SCHEMA + ", row string, root int, start string").repartition(2)
+    for _, stage in cp.STAGES[:-1]:
+        columns, docs = docs.columns, cp.stored(stage(spark, docs, str(tmp_path)), "test")
+        assert docs.columns == columns
+    left = {r.doc_id: (r.row, r.root, r.start) for r in docs.collect()}
+    assert left[1] == ("row 0", 0, None) and left[9] == ("row 8", 8, None) and left[None] == ("row 10", 10, None)
+
+
 def test_empty_table(spark, tmp_path):
     spark.createDataFrame([], SCHEMA).write.parquet(f"{tmp_path}/documents.parquet")
     spark.createDataFrame([], "item_id long, text string").write.parquet(f"{tmp_path}/benchmark.parquet")
