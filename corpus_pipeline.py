@@ -4,11 +4,17 @@ A stage takes (spark, docs, sf_dir) and returns a DataFrame.  ``run`` writes
 every stage's result as Parquet to the shared folder and reads it as the next
 one's documents, so a lost executor costs a task, not a stage.
 
-1. quality rules       documents that the line-first rules reject go
+1. quality rules       documents that the line-first rules reject go, failing lines of the others too
 2. n-gram join         one document of each group of linked documents stays
 3. decontamination     documents that hold a benchmark item go
-4. secrets             secrets found are replaced by a mark in the text
+4. secrets             secrets found are replaced by a mark in the text, where they stand
 5. packing             the pieces of what is left, a sequence each
+
+Defined results: null or empty texts go in stage 1 (too few words); null doc_id:
+a document like others, that stays only where its group has no id; of rows
+equal in doc_id and text one stays; very long texts go through whole; an empty
+table stays empty through all stages; further columns go along to stage 4,
+whatever their names; null lang or source: kept as they are.
 """
 
 from __future__ import annotations
@@ -21,10 +27,16 @@ from ledgerline.llm.common import joined, stored, table
 
 #: The columns of documents, which all stages but the last return.
 COLUMNS = ("doc_id", "text", "lang", "source", "n_chars")
+#: A document's hash while a stage looks at it; no column of documents has this name.
+ROW = "__row"
+
+
+def hashed(docs: DataFrame) -> DataFrame:
+    return docs.withColumn(ROW, F.xxhash64(F.col("doc_id").cast("long"), "text"))
 
 
 def keep_good(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that the quality rules keep, as they are."""
+    """Documents that the quality rules keep, without their failing lines."""
     return quality.keep(docs)
 
 
@@ -36,15 +48,13 @@ def keep_one_of_each(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
         F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "row")).alias("first")
     )
     keep = first.select(F.col("first.row").alias("row")).union(found.where("root is null").select("row")).distinct()
-    rows = docs.withColumn("row", F.xxhash64(F.col("doc_id").cast("long"), "text"))
-    return joined(rows, keep, ["row"], "left_semi").dropDuplicates(["row"]).select(*docs.columns)
+    return joined(hashed(docs), keep.withColumnRenamed("row", ROW), [ROW], "left_semi").dropDuplicates([ROW]).select(*docs.columns)
 
 
 def drop_benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents in which no benchmark item is found."""
     leaks = decontaminate.find(docs, table(spark, sf_dir, "benchmark")).select("row").distinct()
-    rows = docs.withColumn("row", F.xxhash64(F.col("doc_id").cast("long"), "text"))
-    return joined(rows, leaks, ["row"], "left_anti").select(*docs.columns)
+    return joined(hashed(docs), leaks.withColumnRenamed("row", ROW), [ROW], "left_anti").select(*docs.columns)
 
 
 def mask_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
