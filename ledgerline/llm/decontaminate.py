@@ -9,7 +9,9 @@ found by a multi-index: 64 bits in so many blocks (four for RADIUS 7) that one a
 least differs in one bit or none, so every pair within the radius is met.  Candidates are verified by the
 weighted Jaccard similarity of 5-word shingles, counted with repetition, of the
 item and the document's words at its place; a shingle weighs the more the fewer
-items of the whole benchmark have it.
+items of the whole benchmark have it.  A place starts where a head window was met, or ends where a tail
+window was, and is as long as the item; where the count of equal shingles says that another length, up to one
+and a half times the item's, is nearer (words were put in or left out), that place is judged too.
 
 The documents stream through map tasks and nothing of them is shuffled.  The
 benchmark is the stated query set: it is dealt into blocks of bounded bytes,
@@ -175,6 +177,18 @@ def _shingles(prefix: np.ndarray, a: int, b: int) -> np.ndarray:
     return mixed(_roll.runs(prefix, starts, starts + size))
 
 
+def _nearest_size(own: np.ndarray, times: np.ndarray, shingles: np.ndarray) -> int:
+    """How many of the first ``shingles`` have the largest unweighted Jaccard similarity with an item's own (the fewest, at ties)."""
+    at = np.minimum(np.searchsorted(own, shingles), len(own) - 1)
+    order = np.argsort(shingles, kind="stable")
+    first = np.concatenate(([0], np.flatnonzero(np.diff(shingles[order])) + 1))
+    # The how-manieth of its kind each shingle is, from 0.
+    nth = np.empty(len(shingles), np.int64)
+    nth[order] = np.arange(len(shingles)) - np.repeat(first, np.diff(np.append(first, len(shingles))))
+    shared = np.cumsum((own[at] == shingles) & (nth < times[at]))
+    return int(np.argmax(shared / (times.sum() + np.arange(1, len(shingles) + 1) - shared))) + 1
+
+
 def places(t: Texts, bench: Benchmark) -> Iterator[tuple[int, int, int, int, np.ndarray]]:
     """(text, item, first word, word after, shingles) of every place where an item may be."""
     h = _hash(t.data, t.starts, t.ends)
@@ -195,9 +209,20 @@ def places(t: Texts, bench: Benchmark) -> Iterator[tuple[int, int, int, int, np.
     inside = at + step <= t.first[text + 1]
     prefix = _roll.prefix(h)
     for k, a, i, s in zip(*(x[inside].tolist() for x in (text, at, item, shift)), strict=True):
-        start = max(a - s, int(t.first[k]))
-        end = min(a - s + bench.sizes[i], int(t.first[k + 1]))
-        yield k, i, start - int(t.first[k]), end - int(t.first[k]), _shingles(prefix, start, end)
+        low, high, size = int(t.first[k]), int(t.first[k + 1]), bench.sizes[i]
+        start, end = max(a - s, low), min(a - s + size, high)
+        yield k, i, start - low, end - low, _shingles(prefix, start, end)
+        if size < SHINGLE or end - start < SHINGLE:
+            continue
+        # The end that was not met by a window may lie elsewhere.
+        if s:
+            some = _shingles(prefix, max(end - size - size // 2, low), end)
+            near = end - SHINGLE + 1 - _nearest_size(*bench.shingles[i], some[::-1]), end
+        else:
+            some = _shingles(prefix, start, min(start + size + size // 2, high))
+            near = start, start + _nearest_size(*bench.shingles[i], some) + SHINGLE - 1
+        if near != (start, end):
+            yield k, i, near[0] - low, near[1] - low, _shingles(prefix, *near)
 
 
 def matches(t: Texts, bench: Benchmark, similarity: float) -> Iterator[tuple[int, int, float, int, int]]:

@@ -106,3 +106,27 @@ def test_similarity_does_not_depend_on_blocks(spark):
     )
     assert one == many and len(one) > 30
     assert dc.RADIUS >= 7
+
+
+def test_copies_with_words_put_in_or_left_out_are_found(spark):
+    rng = random.Random(21)
+    fresh = lambda n: [f"v{rng.randrange(5000)}" for _ in range(n)]
+    items = [fresh(n) for n in (50, 52, 55, 57, 59, 80, 120, 121)]
+    docs, want = [], set()
+    for d in range(200):
+        item = items[d % 8]
+        copy, at = list(item), rng.randrange(len(item))
+        for _ in range(rng.randrange(1, 9)):
+            p = min(len(copy) - 1, max(0, at + rng.randrange(-4, 5)))
+            copy[p : p + rng.randrange(2)] = [] if rng.randrange(2) else fresh(1)
+        docs.append((d, " ".join(fresh(40) + copy + fresh(40))))
+        if weighted(item, copy, items) >= 0.75:
+            want.add((d, d % 8))
+    d = spark.createDataFrame(docs, "doc_id long, text string").repartition(2)
+    b = spark.createDataFrame([(i, " ".join(w)) for i, w in enumerate(items)], "item_id long, text string")
+    got = dc.find(d, b).collect()
+    assert len(want) > 100 and len(want - {(r.doc_id, r.item_id) for r in got}) <= len(want) // 50
+    for r in got:
+        text = docs[r.doc_id][1].split()
+        assert abs(weighted(items[r.item_id], text[r.start_word : r.end_word], items) - r.similarity) < 1e-9
+        assert r.item_id == r.doc_id % 8 and r.similarity >= 0.75
