@@ -211,18 +211,22 @@ def places(t: Texts, bench: Benchmark) -> Iterator[tuple[int, int, int, int, np.
     for k, a, i, s in zip(*(x[inside].tolist() for x in (text, at, item, shift)), strict=True):
         low, high, size = int(t.first[k]), int(t.first[k + 1]), bench.sizes[i]
         start, end = max(a - s, low), min(a - s + size, high)
-        yield k, i, start - low, end - low, _shingles(prefix, start, end)
         if size < SHINGLE or end - start < SHINGLE:
+            yield k, i, start - low, end - low, _shingles(prefix, start, end)
             continue
+        own, times = bench.shingles[i]
         # The end that was not met by a window may lie elsewhere.
         if s:
-            some = _shingles(prefix, max(end - size - size // 2, low), end)
-            near = end - SHINGLE + 1 - _nearest_size(*bench.shingles[i], some[::-1]), end
+            some = _shingles(prefix, max(end - size - size // 2, low), end)[::-1]
         else:
             some = _shingles(prefix, start, min(start + size + size // 2, high))
-            near = start, start + _nearest_size(*bench.shingles[i], some) + SHINGLE - 1
-        if near != (start, end):
-            yield k, i, near[0] - low, near[1] - low, _shingles(prefix, *near)
+        # Nothing in common at any length: no place.
+        if not (own[np.minimum(np.searchsorted(own, some), len(own) - 1)] == some).any():
+            continue
+        plain, near = end - start - SHINGLE + 1, _nearest_size(own, times, some)
+        for n in (plain, near) if near != plain else (plain,):
+            x, y = (end - n - SHINGLE + 1, end) if s else (start, start + n + SHINGLE - 1)
+            yield k, i, x - low, y - low, some[:n]
 
 
 def matches(t: Texts, bench: Benchmark, similarity: float) -> Iterator[tuple[int, int, float, int, int]]:
