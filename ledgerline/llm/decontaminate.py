@@ -45,7 +45,7 @@ RADIUS = 7
 #: Text of a block of the benchmark, in bytes.
 BLOCK_BYTES = 8 << 20
 #: Words whose sums are held at a time.
-CHUNK = 1 << 13
+CHUNK = 1 << 14
 
 SCHEMA = "doc_id long, item_id long, similarity double, start_word long, end_word long, row long"
 
@@ -62,22 +62,27 @@ def grid(size: int) -> int:
 
 def simhashes(h: np.ndarray, size: int) -> np.ndarray:
     """SimHash of every window of ``size`` words, given the words' hashes (a few thousand at most)."""
-    return _of_sums(_sums(h), size)
+    return _of_sums(_sums(h, size), size)
 
 
-def _sums(h: np.ndarray) -> np.ndarray:
-    # As many bits as the sum of all words needs.
-    kind = np.int16 if len(h) < 1 << 15 else np.int32
-    bits = np.unpackbits(h.view(np.uint8).reshape(-1, 8), axis=1)
-    sums = np.zeros((len(h) + 1, 64), kind)
-    np.cumsum(bits.view(np.int8) * np.int8(2) - np.int8(1), axis=0, dtype=kind, out=sums[1:])
+def _sums(h: np.ndarray, longest: int) -> np.ndarray:
+    """Running counts of the words that have each of the 64 bits, for windows of up to ``longest`` words.
+
+    Several counts, each in a lane as wide as a window's count needs, are added as one 64-bit number.  A lane's carries
+    go into the next one, but the difference of two rows is a window's counts, which carry nothing.
+    """
+    lane = np.uint8 if longest < 1 << 8 else np.uint16 if longest < 1 << 16 else np.uint32
+    bits = np.unpackbits(h.view(np.uint8)).astype(lane, copy=False).view(np.uint64).reshape(len(h), 8 * lane().itemsize)
+    sums = np.zeros((len(h) + 1, bits.shape[1]), np.uint64)
+    np.cumsum(bits, axis=0, out=sums[1:])
     return sums
 
 
 def _of_sums(sums: np.ndarray, size: int) -> np.ndarray:
     if len(sums) <= size:
         return np.zeros(0, np.uint64)
-    return np.packbits(sums[size:] > sums[:-size], axis=1).view(np.uint64).ravel()
+    lane = np.dtype(f"u{sums.shape[1] // 8}")
+    return np.packbits(((sums[size:] - sums[:-size]).view(lane) > lane.type(size // 2)).ravel()).view(np.uint64)
 
 
 class MultiIndex:
@@ -104,10 +109,10 @@ class MultiIndex:
         for shift, mask, order, first, used in self.blocks:
             value = (h >> shift & mask).astype(np.int64)
             at = np.flatnonzero(used[value])
-            count = first[value[at] + 1] - first[value[at]]
+            value = value[at]
+            count = first[value + 1] - first[value]
             where = np.repeat(at, count)
-            step = np.arange(len(where)) - np.repeat(np.cumsum(count) - count, count)
-            which = order[np.repeat(first[value[at]], count) + step]
+            which = order[np.arange(len(where)) + np.repeat(first[value] - np.cumsum(count) + count, count)]
             near = np.bitwise_count(h[where] ^ self.prints[which]) <= self.radius
             found.append(where[near] * len(self.prints) + which[near])
         both = np.unique(np.concatenate(found))
@@ -197,7 +202,7 @@ def places(t: Texts, bench: Benchmark) -> Iterator[tuple[int, int, int, int, np.
     longest = max(bench.classes)
     candidates = []
     for lo in range(0, len(h), CHUNK):
-        sums = _sums(h[lo : lo + CHUNK + longest - 1])
+        sums = _sums(h[lo : lo + CHUNK + longest - 1], longest)
         for step, (items, shifts, index) in bench.classes.items():
             at, which = index.within(_of_sums(sums, step)[:CHUNK])
             if len(at):
