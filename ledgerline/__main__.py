@@ -33,6 +33,7 @@ def parse_args(argv: list[str] | None = None) -> argparse.Namespace:
     p.add_argument("--format", choices=("csv", "parquet"), help="format of the inputs (default: by ending, else by the files)")
     p.add_argument("--multi-line", choices=("auto", "yes", "no"), default="auto", help="line breaks inside quoted CSV values")
     p.add_argument("--date-layout", action="append", default=[], metavar="PATTERN", help="text dates besides ISO, e.g. dd.MM.yyyy; may be repeated")
+    p.add_argument("--prune-mapping", action="store_true", help="drop mapping rows that match nothing before the join (a large mapping)")
     p.add_argument("--span", type=int, default=DEFAULT_SPAN, help="rows per window group bound (seq units)")
     return p.parse_args(argv)
 
@@ -50,6 +51,7 @@ def main(argv: list[str] | None = None) -> None:
         balance_mode=a.balance_mode,
         attribution=a.attribution,
         money=a.money,
+        prune_mapping=a.prune_mapping,
     )
     spark = SparkSession.builder.appName("ledgerline").getOrCreate()
     multi_line = {"auto": None, "yes": True, "no": False}[a.multi_line]

@@ -33,6 +33,9 @@ class TallyOptions:
     # Credit attribution of the per-account form: "own" (the row's own paired
     # credit) or "shifted" (the literal LEAD over kept rows).
     attribution: str = "own"
+    # Drop the mapping's rows that match no ledger row by a Bloom filter, before
+    # they are shuffled (for a mapping far larger than the ledger's debits).
+    prune_mapping: bool = False
     # Ledger money: "double" (as read; exact double equality pairs, as in the
     # reference) or "cents" (DECIMAL(18,2) reading: amounts rounded to cents).
     money: str = "double"

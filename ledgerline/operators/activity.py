@@ -15,10 +15,12 @@ from pyspark.sql import functions as F
 
 from ledgerline.config import DEFAULT_SPAN
 from ledgerline.functions import has_number
+from ledgerline.operators.copartition import pair_and_enrich
 from ledgerline.operators.enrich import add_customer, add_mapped_date
 from ledgerline.operators.neighbors import add_neighbors
 from ledgerline.operators.skew import as_split, hot_keys
 from ledgerline.operators.pairing import CR_PAIRED, DR_WITH_PAIRED_CR, DR_WITH_TXN, classify_backward, classify_both
+from ledgerline.operators.prune import matching_mappings
 from ledgerline.session import ensure_checkpoint_dir
 from ledgerline.operators.tally import tally_rows
 
@@ -34,10 +36,15 @@ def account_activity(
     customers: DataFrame,
     mappings: DataFrame | None = None,
     span: int | None = DEFAULT_SPAN,
+    prune_mapping: bool = False,
 ) -> DataFrame:
-    """Kept rows with own-pair credit and dates, enriched and tallied per row."""
-    kept = kept_rows(ledger, span)
-    enriched = add_mapped_date(add_customer(kept, customers), mappings)
+    """Kept rows with own-pair credit and dates, enriched and tallied per row.
+
+    ``prune_mapping``: as in ``tally.tally_per_transaction``.
+    """
+    if prune_mapping:
+        mappings = matching_mappings(mappings, ledger.where(has_number("ledger_txn_no")))
+    enriched = pair_and_enrich(ledger, customers, mappings, kept_rows, span)
     is_dr = F.col("pair_type") == F.lit(DR_WITH_TXN)
     paired = is_dr & (F.col("forward_type") == F.lit(DR_WITH_PAIRED_CR))
     rows = enriched.withColumns(

@@ -27,12 +27,12 @@ def empty_mappings(spark) -> DataFrame:
     return spark.createDataFrame([], schema)
 
 
-def add_customer(rows: DataFrame, customers: DataFrame) -> DataFrame:
-    """rows LEFT JOIN customers USING (account_number): customer_name, customer_amount."""
-    right = customers.select(
-        F.col("account_number").alias("_c_account"), "customer_name", "customer_amount"
-    )
-    return rows.join(right, F.col("account_number") == F.col("_c_account"), "left").drop("_c_account")
+def add_customer(rows: DataFrame, customers: DataFrame, *also: str) -> DataFrame:
+    """rows LEFT JOIN customers USING (account_number and the columns ``also``): customer_name, customer_amount."""
+    keys = {"account_number": "_c_account", **{c: f"_c_{c}" for c in also}}
+    right = customers.select(*(F.col(c).alias(as_) for c, as_ in keys.items()), "customer_name", "customer_amount")
+    cond = [F.col(c) == F.col(as_) for c, as_ in keys.items()]
+    return rows.join(right, cond, "left").drop(*keys.values())
 
 
 def add_mapped_date(rows: DataFrame, mappings: DataFrame | None, number_col: str = "ledger_txn_no") -> DataFrame:

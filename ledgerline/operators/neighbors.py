@@ -44,6 +44,7 @@ def add_neighbors(
     ``lead``/``lag`` map output name -> source column.  ``order`` must be unique
     within ``key``.  ``span=None`` uses one window per key (only for keys known
     to be small); an int or ``Split`` cuts hot keys into ``order`` buckets.
+    A ``carried`` split takes the buckets that the rows have, and keeps them.
     ``hot`` (``skew.hot_keys``) may come from a cheaper source than ``df``.
     """
     lead = dict(lead or {})
@@ -55,7 +56,8 @@ def add_neighbors(
             {**{o: F.lead(s).over(w) for o, s in lead.items()}, **{o: F.lag(s).over(w) for o, s in lag.items()}}
         )
 
-    base = with_buckets(df, key, order, split, hot).withColumn(_GHOST, F.lit(False))
+    base = df if split.carried else with_buckets(df, key, order, split, hot)
+    base = base.withColumn(_GHOST, F.lit(False))
 
     # Edge rows of each (hot key, bucket): one aggregate per value column, so
     # the buffers stay fixed-width for numeric/date/boolean values and Spark
@@ -104,4 +106,4 @@ def add_neighbors(
     out = stacked.withColumns(
         {**{o: F.lead(s).over(w) for o, s in lead.items()}, **{o: F.lag(s).over(w) for o, s in lag.items()}}
     )
-    return out.where(~F.col(_GHOST)).drop(BUCKET, HOT, _GHOST)
+    return out.where(~F.col(_GHOST)).drop(_GHOST, *([] if split.carried else [BUCKET, HOT]))

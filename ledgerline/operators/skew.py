@@ -38,6 +38,8 @@ HOT = "_sk_hot"
 class Split:
     span: int = DEFAULT_SPAN
     hot_rows: int | None = None  # defaults to span
+    # The rows carry their buckets already (``_sk_hot``, ``_sk_bucket``) and keep them.
+    carried: bool = False
 
     @property
     def threshold(self) -> int:
@@ -61,6 +63,11 @@ def hot_keys(df: DataFrame, key: str, split: Split) -> DataFrame:
     )
 
 
+def hinted(hot: DataFrame, split: Split) -> DataFrame:
+    """The hot-key table, to be broadcast where its bound is small."""
+    return F.broadcast(hot) if split.threshold >= BROADCAST_MIN_THRESHOLD else hot
+
+
 def with_buckets(df: DataFrame, key: str, order: str, split: Split, hot: DataFrame | None = None) -> DataFrame:
     """Add ``_sk_hot`` (key is hot) and ``_sk_bucket`` (``order div span`` if hot, else constant).
 
@@ -69,8 +76,7 @@ def with_buckets(df: DataFrame, key: str, order: str, split: Split, hot: DataFra
     """
     if hot is None:
         hot = hot_keys(df, key, split)
-    if split.threshold >= BROADCAST_MIN_THRESHOLD:
-        hot = F.broadcast(hot)
+    hot = hinted(hot, split)
     joined = df.join(hot, F.col(key).eqNullSafe(F.col("_sk_key")), "left").drop("_sk_key")
     is_hot = F.coalesce(F.col(HOT), F.lit(False))
     return joined.withColumn(HOT, is_hot).withColumn(BUCKET, bucket_of(order, split, is_hot))

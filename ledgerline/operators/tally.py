@@ -1,9 +1,9 @@
 """Per-transaction tally: one row per numbered positive debit.
 
 ``tally_value = round(opening_balance + credit - debit, 2)`` where credit is
-the paired credit's amount (0.0 when unpaired).  Plan: neighbour pass (one
-shuffle on account) -> filter to numbered debits -> two left joins -> a
-projection; no action, no Python in the data path.
+the paired credit's amount (0.0 when unpaired).  Plan: neighbour pass, filter
+to numbered debits and two left joins on one shuffle of the ledger (see
+``copartition``) -> a projection; no action, no Python in the data path.
 """
 
 from __future__ import annotations
@@ -13,8 +13,10 @@ from pyspark.sql import functions as F
 
 from ledgerline.config import DEFAULT_SPAN
 from ledgerline.functions import date_text, number_or_null, round_money
-from ledgerline.operators.enrich import add_customer, add_mapped_date, effective_date
-from ledgerline.operators.pairing import paired_debits
+from ledgerline.operators.copartition import pair_and_enrich
+from ledgerline.operators.enrich import effective_date
+from ledgerline.operators.pairing import numbered_debit, paired_debits
+from ledgerline.operators.prune import matching_mappings
 
 # The result columns, in the reference's order, plus the two we carry
 # (closing balance, which its column flag names, and the arrival order).
@@ -60,10 +62,16 @@ def tally_per_transaction(
     customers: DataFrame,
     mappings: DataFrame | None = None,
     span: int | None = DEFAULT_SPAN,
+    prune_mapping: bool = False,
 ) -> DataFrame:
-    """Prepared ledger/customers/mappings -> per-transaction tally rows."""
-    debits = paired_debits(ledger, span)
-    enriched = effective_date(add_mapped_date(add_customer(debits, customers), mappings))
+    """Prepared ledger/customers/mappings -> per-transaction tally rows.
+
+    ``prune_mapping``: drop the mapping's rows that no debit asks for before
+    they are shuffled (``prune``), for a mapping far larger than the debits.
+    """
+    if prune_mapping:
+        mappings = matching_mappings(mappings, ledger.where(numbered_debit()))
+    enriched = effective_date(pair_and_enrich(ledger, customers, mappings, paired_debits, span))
     amounts = enriched.withColumns(
         {
             "debit": F.col("debit_amount"),

@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from ledgerline.config import DEFAULT_CHUNK_SIZE, REPORT_OPTIONS, TallyOptions
 from ledgerline.functions import date_text
 from ledgerline.functions import extract_txn_number as extract_number
-from ledgerline.operators import activity, enrich, pairing, prepare, report, rollup, sequence, tally
+from ledgerline.operators import activity, enrich, pairing, prepare, prune, report, rollup, sequence, tally
 from ledgerline.operators.skew import Split, hot_keys
 from ledgerline.plans import jobs, oracle
 from ledgerline.plans.inputs import fixture_inputs
@@ -265,6 +265,19 @@ def enrich_mapped_date(spark: SparkSession, sf_dir: str) -> DataFrame:
     return enrich.add_mapped_date(debits, inp.mappings).select("account_number", "seq", "ledger_txn_no", "txn_date")
 
 
+@register(
+    "enrich_mapped_date_pruned",
+    f"""select c.account_number, c.seq, c.ledger_txn_no, m.txn_date
+        from cls c left join map m on c.account_number = m.account_number and c.ledger_txn_no = m.transaction_number
+        where {_NUMBERED_DR}""",
+)
+def enrich_mapped_date_pruned(spark: SparkSession, sf_dir: str) -> DataFrame:
+    inp = fixture_inputs(spark, sf_dir)
+    wanted = prune.matching_mappings(inp.mappings, inp.ledger.where(pairing.numbered_debit()))
+    debits = pairing.paired_debits(inp.ledger)
+    return enrich.add_mapped_date(debits, wanted).select("account_number", "seq", "ledger_txn_no", "txn_date")
+
+
 @register(
     "effective_date",
     f"""select c.account_number, c.seq, cast(coalesce(m.txn_date, c.date) as varchar) dates
@@ -287,6 +300,13 @@ def tally_per_transaction(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tally.tally_per_transaction(inp.ledger, inp.customers, inp.mappings)
 
 
+@register("tally_per_transaction_split", "select * from per_txn")
+def tally_per_transaction_split(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Both branches of the plan at work: accounts of more than 12 rows are hot, in buckets of 2,000 positions."""
+    inp = fixture_inputs(spark, sf_dir)
+    return tally.tally_per_transaction(inp.ledger, inp.customers, inp.mappings, span=Split(2000, 12), prune_mapping=True)
+
+
 @register(
     "tally_per_transaction_sorted",
     "select * from per_txn order by account_number nulls last, seq",

@@ -22,13 +22,17 @@ from ledgerline.sources import readers
 
 
 def per_transaction_rows(inp: Inputs, options: TallyOptions = TallyOptions()) -> DataFrame:
-    return tally.tally_per_transaction(inp.ledger, inp.customers, inp.mappings, span=options.neighbor_span)
+    return tally.tally_per_transaction(
+        inp.ledger, inp.customers, inp.mappings, span=options.neighbor_span, prune_mapping=options.prune_mapping
+    )
 
 
 def per_account_rows(inp: Inputs, options: TallyOptions = TallyOptions()) -> DataFrame:
     if options.attribution == "shifted":
         return activity.account_activity_shifted(inp.ledger, inp.customers, inp.mappings, span=options.neighbor_span)
-    return activity.account_activity(inp.ledger, inp.customers, inp.mappings, span=options.neighbor_span)
+    return activity.account_activity(
+        inp.ledger, inp.customers, inp.mappings, span=options.neighbor_span, prune_mapping=options.prune_mapping
+    )
 
 
 def per_account(inp: Inputs, options: TallyOptions = TallyOptions()) -> DataFrame:

@@ -69,7 +69,8 @@ def recommended_conf(ledger_bytes: int, target_partition_bytes: int = 128 << 20)
     of ledger (AQE coalesces small ones and splits skewed join partitions),
     capped at 65,536: shuffle blocks grow as mappers x reducers, so past the
     cap partitions grow instead and sorts spill.  Scans read splits of the
-    target size.
+    target size.  A join on account and number may run on rows hashed on the
+    account alone (``operators.copartition`` keeps large accounts out of it).
     """
     partitions = min(MAX_SHUFFLE_PARTITIONS, max(200, -(-int(ledger_bytes) // target_partition_bytes)))
     return {
@@ -79,6 +80,7 @@ def recommended_conf(ledger_bytes: int, target_partition_bytes: int = 128 << 20)
         "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(target_partition_bytes),
         "spark.sql.shuffle.partitions": str(partitions),
         "spark.sql.files.maxPartitionBytes": str(target_partition_bytes),
+        "spark.sql.requireAllClusterKeysForCoPartition": "false",
     }
 
 

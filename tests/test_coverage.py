@@ -12,6 +12,7 @@ SURVEY_QUERIES = (
     "extract_txn_number", "pair_next_credit_bucketed", "stream_pairing", "stream_tally",
     "stream_late_rows", "stream_pairing_event_time", "ledger_sequence_sparse", "ledger_from_csv", "customers_from_csv",
     "mappings_from_csv", "account_rollup_list_parts", "account_rollup_sorted",
+    "tally_per_transaction_split", "enrich_mapped_date_pruned",
 )
 
 
