@@ -8,8 +8,8 @@ shuffle the ledger's rows again.  Here the ledger is dealt into two branches:
   customer join and (with ``spark.sql.requireAllClusterKeysForCoPartition``
   off, see ``session.recommended_conf``) the mapping join on account and number
   all run on that one shuffle; only the side tables are shuffled to it;
-* hot accounts (see ``skew``; hot in the ledger or in the mapping, so that
-  neither puts a large account into one task) are hashed on (account, bucket).
+* hot accounts (see ``skew``; by their rows in the ledger and the mapping
+  together, so that neither puts a large account into one task) are hashed on (account, bucket).
   Their customers are repeated per bucket, one row for each, and join there.
   Their mapped dates join on account and number, which spreads an account:
   the kept rows of hot accounts are shuffled a second time, no others are.
@@ -43,10 +43,10 @@ def pair_and_enrich(
     split = as_split(span)
     if split is None:
         return add_mapped_date(add_customer(pair(ledger, None), customers), mappings)
-    hot = hot_keys(ledger, KEY, split)
+    accounts = ledger.select(KEY)
     if mappings is not None:
-        hot = hot.unionAll(hot_keys(mappings, KEY, split))
-    hot = hinted(hot.select("_sk_key"), split)
+        accounts = accounts.unionAll(mappings.select(KEY))
+    hot = hinted(hot_keys(accounts, KEY, split).select("_sk_key"), split)
 
     def of(df: DataFrame, how: str) -> DataFrame:
         return df.join(hot, F.col(KEY).eqNullSafe(F.col("_sk_key")), how)
