@@ -142,6 +142,31 @@ def test_tally_equals_batch(spark):
     same(streaming.all_tally(spark, out, *own).drop("late").select(want.columns), want)
 
 
+@pytest.mark.parametrize("delayed", [False, True])
+def test_an_arrival_of_many_files_is_one_micro_batch(spark, monkeypatch, delayed):
+    monkeypatch.setattr(fixtures, "ARRIVAL_FILE_ROWS", 200)
+    whole = fixtures.fixture_ledger
+    monkeypatch.setattr(fixtures, "fixture_ledger", lambda *a, **k: whole(*a, **k).repartition(6))
+    base = scratch_path(spark, "t-files")
+    seen, files = [], []
+
+    def take(schema):
+        stream = streaming.ledger_file_stream(spark, f"{base}/in", schema)
+        query = streaming.start_pairing(prepare_ledger(stream, carry=("arrived_at",)), f"{base}/out")
+        query.awaitTermination()
+        assert query.exception() is None
+        seen.append(streaming.committed(spark, f"{base}/out"))
+        files.append(len([f for f in os.listdir(f"{base}/in".removeprefix("file:")) if f.startswith("part-")]))
+
+    schema = fixtures.ledger_arrivals(spark, SF_SMALL, f"{base}/in", 2, delayed, take)
+    assert seen == list(range(2 + delayed)) and files[0] > 1 and files[1] > files[0] + 1, (seen, files)
+    raw = spark.read.schema(schema).parquet(f"{base}/in")
+    got = streaming.all_rows(spark, f"{base}/out")
+    assert got.count() == raw.count() == fixtures.fixture_ledger(spark, SF_SMALL).count()
+    if not delayed:
+        same(got.select(RESULT), classify_forward(prepare_ledger(raw)).select(RESULT))
+
+
 def test_nothing_has_run(spark):
     out = scratch_path(spark, "t-none")
     assert streaming.all_rows(spark, out).collect() == [] and not os.path.exists(out)
