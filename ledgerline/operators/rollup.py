@@ -16,6 +16,8 @@ and infinities propagate as a double sum would.
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -24,6 +26,7 @@ from ledgerline.functions import round_money
 from ledgerline.functions.money import SUM_DECIMAL
 from ledgerline.operators.running import running_totals
 from ledgerline.operators.skew import BUCKET, HOT, WHOLE, Split, as_split, with_buckets
+from ledgerline.session import scratch_path
 
 # List separator of the per-account text columns (chr(10), a newline).
 LIST_SEPARATOR = "\n"
@@ -128,7 +131,7 @@ PART_CHARS = 1 << 20
 
 
 def list_parts(
-    rows: DataFrame, column: str, part_chars: int = PART_CHARS, span: "int | Split" = DEFAULT_SPAN
+    rows: DataFrame, column: "str | Sequence[str]", part_chars: int = PART_CHARS, span: "int | Split" = DEFAULT_SPAN
 ) -> DataFrame:
     """The list of ``column`` of each (account, name) in bounded parts: account_number, customer_name, list, part, text.
 
@@ -137,14 +140,27 @@ def list_parts(
     no value ever holds a whole list; the parts in order, joined with a newline,
     are the list that ``account_rollup`` puts into one value.  Part numbers rise;
     after an element longer than a part some are left out.
+
+    The lists of several columns are made in one pass.  The running sum reads
+    its rows three times, so their few columns are written once to the shared
+    scratch folder instead of computing ``rows`` again for each.
     """
-    some = rows.where(F.col(column).isNotNull()).select(*GROUP, "seq", F.col(column).alias("_text"))
-    sized = some.withColumns({"_k": F.struct(*GROUP), "_size": (F.length("_text") + 1).cast("long")})
-    placed = running_totals(sized, "_k", "seq", "_size", span)
-    # The added rows of the running sum are gone again: every element has its group's columns.
-    parts = placed.withColumn("part", F.expr(f"_before div {int(part_chars)}"))
+    columns = [column] if isinstance(column, str) else list(column)
+    path = f"{scratch_path(rows.sparkSession, 'list-parts')}/rows"
+    some = rows.where(F.coalesce(*columns).isNotNull()).select(*GROUP, "seq", *columns)
+    some.write.parquet(path)
+    some = rows.sparkSession.read.schema(some.schema).parquet(path)
+    # A row without an element adds nothing to the length of that list.
+    sizes = {f"_size_{c}": F.coalesce(F.length(c) + 1, F.lit(0)).cast("long") for c in columns}
+    sized = some.withColumns({"_k": F.struct(*GROUP), **sizes}).drop(*GROUP)
+    placed = running_totals(sized, "_k", "seq", list(sizes), span)
+    # The added rows of the running sum are gone again: every row has its elements.
+    elements = [
+        F.struct(F.lit(c).alias("list"), F.expr(f"_before__size_{c} div {int(part_chars)}").alias("part"), F.col(c).alias("_text")) for c in columns
+    ]
+    parts = placed.select("_k.*", "seq", F.inline(F.array(*elements))).where(F.col("_text").isNotNull())
     text = F.expr("listagg(_text, chr(10)) WITHIN GROUP (ORDER BY seq)").alias("text")
-    return parts.groupBy(*GROUP, "part").agg(text).select(*GROUP, F.lit(column).alias("list"), "part", "text")
+    return parts.groupBy(*GROUP, "list", "part").agg(text).select(*GROUP, "list", "part", "text")
 
 
 def sort_rollup(result: DataFrame) -> DataFrame:

@@ -4,8 +4,11 @@ import math
 import os
 import tempfile
 
+from pyspark.sql import functions as F
+
 from ledgerline.operators import rollup
 from ledgerline.operators.prepare import prepare_customers
+from ledgerline.operators.skew import Split
 from ledgerline.sources.readers import read_customers, report_text
 
 
@@ -49,3 +52,30 @@ def test_rollup_two_stage_lists_keep_order(spark):
     split = rollup.account_rollup(rows, span=3).first()  # the account is hot: 3-seq buckets
     assert whole.transaction_nos == split.transaction_nos == "\n".join(f"n{i}" for i in range(40))
     assert whole.total_credit == split.total_credit == float(sum(range(40)))
+
+
+def test_parts_of_several_lists_read_their_rows_once(spark):
+    seen = spark.sparkContext.accumulator(0)
+
+    def look(number):
+        seen.add(1)
+        return number
+
+    rows = _rows(spark, [float(i) for i in range(40)])
+    rows = rows.withColumns({
+        "account_number": F.when(F.col("seq") % 5 > 0, "A1"),
+        "transaction_nos": F.when(F.col("seq") % 7 > 0, F.col("transaction_nos")),
+        "dates": F.when(F.col("seq") % 3 > 0, F.col("dates")),
+    })
+    lists = ("transaction_nos", "dates")
+    for split in (Split(span=4, hot_rows=3), Split()):
+        own = [r for c in lists for r in rollup.list_parts(rows, c, 16, split).collect()]
+        assert max(r.part for r in own) > 2
+        seen.value = 0
+        looked = rows.repartition(3).withColumn("seq", F.udf(look, "long")("seq"))
+        assert sorted(rollup.list_parts(looked, lists, 16, split).collect(), key=str) == sorted(own, key=str)
+        assert seen.value == 38  # rows 0 and 21 are in no list
+    whole = rollup.account_rollup(rows, span=None).collect()
+    for w in whole:
+        parts = sorted((r for r in own if r.account_number == w.account_number and r.list == "dates"), key=lambda r: r.part)
+        assert "\n".join(r.text for r in parts) == w.dates
