@@ -167,6 +167,22 @@ def test_an_arrival_of_many_files_is_one_micro_batch(spark, monkeypatch, delayed
         same(got.select(RESULT), classify_forward(prepare_ledger(raw)).select(RESULT))
 
 
+def test_tally_with_a_kept_mapping(spark):
+    raw = ledger(spark, [("A1", "DR", "100", "n1"), ("A1", "CR", "100", None), ("A1", "DR", "5", "n2"), (None, "DR", "7", "n3"), ("A1", "DR", "1", "")])
+    base = scratch_path(spark, "t-kept")
+    for condition in ("seq in (1, 2)", "seq > 2"):
+        arrive(spark, base, raw, condition)
+    held = [("A1", "2024-05-01", "n1"), ("A1", "2024-05-02", "n1"), ("A1", "2024-05-03", None), (None, "2024-05-04", "n3"), (None, "2024-05-05", None), ("A1", "2024-05-06", "")]
+    own = prepare_customers(customers(spark)), prepare_mappings(mappings(spark, held))
+    kept = streaming.kept_mappings(own[1], 3)
+    assert kept.is_cached and kept.rdd.getNumPartitions() == 3 and kept.count() == 3
+    out = run(spark, base, raw, streaming.start_tally, own[0], kept)
+    kept.unpersist()
+    want = tally_per_transaction(prepare_ledger(raw), *own)
+    assert want.count() == 4
+    same(streaming.all_tally(spark, out, *own).drop("late").select(want.columns), want)
+
+
 def test_nothing_has_run(spark):
     out = scratch_path(spark, "t-none")
     assert streaming.all_rows(spark, out).collect() == [] and not os.path.exists(out)
